@@ -172,3 +172,168 @@ def _d4(spark, d):
 @query("top_file_formats")
 def _d5(spark, d):
     return flat(coll.top_file_formats(commit_view(spark, d)))
+
+
+# ---- E: logs and text ----------------------------------------------------------------------
+from ..operators import lists as L  # noqa: E402
+from ..operators import logs, text  # noqa: E402
+from ..sources import lists as list_src  # noqa: E402
+from ..sources import text as text_src  # noqa: E402
+
+LISTING_FRAGMENT = "ITEM"   # E1 on the table folder: names containing "item", any case
+ERROR_NEEDLE = "File does not exist"
+
+
+@query("find_files_by_name")
+def _e1(spark, d):
+    return flat(logs.find_files_by_name(spark, d, LISTING_FRAGMENT))
+
+
+@query("lines_containing")
+def _e2(spark, d):
+    return flat(logs.lines_containing(text_src.error_log_lines(spark, d), ERROR_NEEDLE))
+
+
+@query("first_quoted_requests")
+def _e3(spark, d):
+    return flat(logs.first_quoted_requests(text_src.access_log_lines(spark, d), "line_no", "GET", 3))
+
+
+@query("post_requests")
+def _e4(spark, d):
+    return flat(logs.post_requests(text_src.access_log_lines(spark, d)))
+
+
+@query("largest_post_response")
+def _e5(spark, d):
+    return flat(logs.largest_post_response(text_src.access_log_lines(spark, d)))
+
+
+@query("top_post_client")
+def _e6(spark, d):
+    return flat(logs.top_post_client(text_src.access_log_lines(spark, d)))
+
+
+@query("access_log_to_csv")
+def _e7(spark, d):
+    return flat(logs.access_log_to_csv(text_src.access_log_lines(spark, d)))
+
+
+@query("top_words")
+def _e8(spark, d):
+    return flat(text.top_words(text_src.book_documents(spark, d)))
+
+
+@query("first_sentences")
+def _e9(spark, d):
+    return flat(text.first_sentences(text_src.book_documents(spark, d), "doc_id", 7))
+
+
+@query("fix_lowercase_i")
+def _e10(spark, d):
+    return flat(text.fix_lowercase_i(text_src.book_documents(spark, d)))
+
+
+# ---- F: lists ------------------------------------------------------------------------------
+def _lists(spark, d, expr_fn, name="result"):
+    ls = list_src.order_lists(spark, d)
+    return flat(ls.select("list_id", expr_fn(ls).alias(name)))
+
+
+FOLD_INIT = 7
+FOLD_MOD = 1_000_000_007  # order-sensitive, bounded fold step: (acc * 31 + x) mod p
+
+
+@query("array_map")
+def _f1(spark, d):
+    return _lists(spark, d, lambda ls: L.array_map("xs", lambda x: x + 1))
+
+
+@query("array_filter")
+def _f2(spark, d):
+    return _lists(spark, d, lambda ls: L.array_filter("xs", lambda x: x > 25))
+
+
+@query("array_flatten_deep")
+def _f3(spark, d):
+    nested = list_src.nested_order_lists(spark, d).join(list_src.order_lists(spark, d), "list_id")
+    mixed = F.concat(F.lit("["), F.to_json("xss"), F.lit(","), F.to_json("xs"), F.lit("]"))
+    return flat(nested.select("list_id", L.json_flatten_deep(mixed, "bigint").alias("result")))
+
+
+@query("array_fold_left")
+def _f4(spark, d):
+    return _lists(spark, d, lambda ls: L.array_fold_left("xs", F.lit(FOLD_INIT).cast("bigint"),
+                                                         lambda acc, x: (acc * 31 + x) % FOLD_MOD))
+
+
+@query("array_fold_right")
+def _f5(spark, d):
+    return _lists(spark, d, lambda ls: L.array_fold_right("xs", F.lit(FOLD_INIT).cast("bigint"),
+                                                          lambda x, acc: (acc * 31 + x) % FOLD_MOD))
+
+
+@query("array_zip_shortest")
+def _f6(spark, d):
+    def pairs(ls):
+        z = L.array_zip_shortest("xs", F.slice("xs", 2, F.size("xs")))
+        return F.transform(z, lambda p: F.concat_ws(":", p["0"].cast("string"), p["1"].cast("string")))
+    return _lists(spark, d, pairs)
+
+
+@query("array_first_n")
+def _f7(spark, d):
+    return _lists(spark, d, lambda ls: L.array_first_n("xs", 3))
+
+
+@query("list_max")
+def _f8(spark, d):
+    return _lists(spark, d, lambda ls: L.list_max("xs"))
+
+
+@query("list_sum")
+def _f9(spark, d):
+    return _lists(spark, d, lambda ls: L.list_sum("xs"))
+
+
+@query("list_sum_defined")
+def _f10(spark, d):
+    return _lists(spark, d, lambda ls: L.list_sum_defined("oxs"))
+
+
+@query("list_first_divisible")
+def _f11(spark, d):
+    return _lists(spark, d, lambda ls: L.list_first_divisible("xs", 7))
+
+
+@query("list_even_defined")
+def _f12(spark, d):
+    return _lists(spark, d, lambda ls: L.list_even_defined("oxs"))
+
+
+@query("list_avg_first_n_above")
+def _f13(spark, d):
+    return _lists(spark, d, lambda ls: L.list_avg_first_n_above("xs", 25, 3))
+
+
+@query("list_sum_first_n_above")
+def _f14(spark, d):
+    items = list_src.order_items(spark, d).select(F.col("supp").alias("list_id"), F.col("item_key").alias("pos"),
+                                                  "value")
+    return flat(L.sum_first_n_above(items, 10, 25))
+
+
+@query("passing_students")
+def _f15(spark, d):
+    return flat(L.passing_students(list_src.grades(spark, d)))
+
+
+@query("first_head_sums_tail")
+def _f16(spark, d):
+    return flat(L.first_head_sums_tail(list_src.order_lists(spark, d)))
+
+
+@query("fizzbuzz_label")
+def _f17(spark, d):
+    q = spark.read.parquet(f"{d}/lineitem.parquet").select(F.col("l_quantity").cast("bigint").alias("q"))
+    return flat(q.groupBy(L.fizzbuzz_label("q").alias("label")).agg(F.count(F.lit(1)).alias("n")))

@@ -133,3 +133,101 @@ GROUP BY 1""", "commit_flat"),
 SELECT {_LAST_DOT} AS extension, count(*) AS count FROM file_flat WHERE filename IS NOT NULL
 GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 5""", "file_flat"),
 }
+
+_LONE_I = r"(^|[^\p{L}\p{N}\p{M}_])i([^\p{L}\p{N}\p{M}_]|$)"
+_POSTS = """SELECT time, client, path, CAST(status AS BIGINT) AS status,
+       CASE WHEN regexp_matches(size, '^[0-9]+$') THEN CAST(size AS BIGINT) END AS size
+FROM parsed_log WHERE method = 'POST'"""
+
+ORACLE.update({
+    # ---- E ----
+    "lines_containing": with_views(f"""
+SELECT line_no, line AS value FROM error_log WHERE contains(line, '{cat.ERROR_NEEDLE}')""", "error_log"),
+    "first_quoted_requests": with_views("""
+SELECT line_no, regexp_extract(line, '"(.*)"', 1) AS request FROM access_log
+WHERE contains(line, 'GET') ORDER BY line_no LIMIT 3""", "access_log"),
+    "post_requests": with_views(_POSTS, "parsed_log"),
+    "largest_post_response": with_views(f"""
+SELECT client, path FROM ({_POSTS}) ORDER BY coalesce(size, 0) DESC, client DESC, path DESC LIMIT 1""",
+                                        "parsed_log"),
+    "top_post_client": with_views("""
+SELECT count(*) AS requests, client FROM parsed_log WHERE method = 'POST'
+GROUP BY client ORDER BY 1 DESC, client DESC LIMIT 1""", "parsed_log"),
+    "access_log_to_csv": with_views("""
+SELECT client AS "Client", time AS "Time", method AS "Type", path AS "Path", status AS "Status", size AS "Size"
+FROM parsed_log""", "parsed_log"),
+    "top_words": r"""
+SELECT n, word FROM (
+  SELECT word, count(*) AS n
+  FROM (SELECT unnest(regexp_extract_all(lower(text), '(\p{L}+)', 1)) AS word FROM documents)
+  GROUP BY word)
+ORDER BY n DESC, word DESC LIMIT 10""",
+    "first_sentences": r"""
+SELECT doc_id, pos, sentence FROM (
+  SELECT doc_id, CAST(pos AS BIGINT) AS pos, trim(s) AS sentence FROM (
+    SELECT doc_id, unnest(parts) AS s, generate_subscripts(parts, 1) AS pos
+    FROM (SELECT doc_id, string_split(regexp_replace(text, '\r\n|\r|\n', ' ', 'g'), '.') AS parts
+          FROM documents)))
+WHERE sentence <> '' ORDER BY doc_id, pos LIMIT 7""",
+    "fix_lowercase_i": f"""
+SELECT doc_id, regexp_replace(regexp_replace(text, '{_LONE_I}', '\\1I\\2', 'g'), '{_LONE_I}', '\\1I\\2', 'g')
+       AS text
+FROM documents""",
+    # ---- F ----
+    "array_map": with_views("""
+SELECT list_id, array_to_string(list_transform(xs, lambda x: x + 1), ',') AS result FROM order_list""",
+                            "order_list"),
+    "array_filter": with_views("""
+SELECT list_id, array_to_string(list_filter(xs, lambda x: x > 25), ',') AS result FROM order_list""",
+                               "order_list"),
+    "array_flatten_deep": with_views("""
+, inner_l AS (SELECT list_id, grp, list(value ORDER BY item_key) AS xs FROM order_items GROUP BY list_id, grp),
+  nested AS (SELECT list_id, list(xs ORDER BY grp) AS xss FROM inner_l GROUP BY list_id)
+SELECT n.list_id, array_to_string(list_concat(flatten(n.xss), o.xs), ',') AS result
+FROM nested n JOIN order_list o ON n.list_id = o.list_id""", "order_list"),
+    "array_fold_left": with_views(f"""
+SELECT list_id, list_reduce(xs, lambda acc, x: (acc * 31 + x) % {cat.FOLD_MOD}, CAST({cat.FOLD_INIT} AS BIGINT)) AS result
+FROM order_list""", "order_list"),
+    "array_fold_right": with_views(f"""
+SELECT list_id, list_reduce(list_reverse(xs), lambda acc, x: (acc * 31 + x) % {cat.FOLD_MOD}, CAST({cat.FOLD_INIT} AS BIGINT))
+       AS result
+FROM order_list""", "order_list"),
+    "array_zip_shortest": with_views("""
+SELECT list_id, array_to_string(list_transform(range(1, len(xs)), lambda i: xs[i] || ':' || xs[i + 1]), ',')
+       AS result
+FROM order_list""", "order_list"),
+    "array_first_n": with_views("""
+SELECT list_id, array_to_string(xs[1:3], ',') AS result FROM order_list""", "order_list"),
+    "list_max": with_views("SELECT list_id, list_max(xs) AS result FROM order_list", "order_list"),
+    "list_sum": with_views("""
+SELECT list_id, CAST(coalesce(list_sum(xs), 0) AS BIGINT) AS result FROM order_list""", "order_list"),
+    "list_sum_defined": with_views("""
+SELECT list_id, CAST(coalesce(list_sum(list_filter(oxs, lambda x: x IS NOT NULL)), 0) AS BIGINT) AS result
+FROM order_list""", "order_list"),
+    "list_first_divisible": with_views("""
+SELECT list_id, list_filter(xs, lambda x: x % 7 = 0)[1] AS result FROM order_list""", "order_list"),
+    "list_even_defined": with_views("""
+SELECT list_id, array_to_string(list_filter(oxs, lambda x: x IS NOT NULL AND x % 2 = 0), ',') AS result
+FROM order_list""", "order_list"),
+    "list_avg_first_n_above": with_views("""
+SELECT list_id, CASE WHEN len(s) > 0 THEN CAST(list_sum(s) // len(s) AS BIGINT) END AS result
+FROM (SELECT list_id, list_filter(xs, lambda x: x > 25)[1:3] AS s FROM order_list)""", "order_list"),
+    "list_sum_first_n_above": with_views("""
+SELECT list_id, CAST(sum(value) AS BIGINT) AS total FROM (
+  SELECT supp AS list_id, value, row_number() OVER (PARTITION BY supp ORDER BY item_key) AS rn
+  FROM order_items WHERE value > 25)
+WHERE rn <= 10 GROUP BY list_id""", "order_list"),
+    "passing_students": with_views("""
+SELECT CAST(count_if(n > 0 AND s >= 5.75 * n AND mn >= 4) AS BIGINT) AS passing FROM (
+  SELECT list_id, sum(value % 11) AS s, count(*) AS n, min(value % 11) AS mn FROM order_items GROUP BY list_id)""",
+                                   "order_list"),
+    "first_head_sums_tail": with_views("""
+SELECT CAST(arg_min(len(xs), list_id) AS BIGINT) AS size FROM order_list
+WHERE len(xs) >= 1 AND xs[1] = coalesce(list_sum(xs[2:]), 0)""", "order_list"),
+    "fizzbuzz_label": """
+SELECT label, count(*) AS n FROM (
+  SELECT CASE WHEN q % 15 = 0 THEN 'FizzBuzz' WHEN q % 5 = 0 THEN 'Buzz' WHEN q % 3 = 0 THEN 'Fizz'
+              ELSE CAST(q AS VARCHAR) END AS label
+  FROM (SELECT CAST(l_quantity AS BIGINT) AS q FROM lineitem))
+GROUP BY label""",
+})

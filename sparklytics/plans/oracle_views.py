@@ -118,7 +118,7 @@ order_items AS (
                        CAST(round(l_extendedprice * 100) AS BIGINT))) AS item_key,
          CAST(l_quantity AS BIGINT) AS value,
          CASE WHEN l_linestatus = 'O' THEN NULL ELSE CAST(l_quantity AS BIGINT) END AS opt_value,
-         l_linestatus AS grp
+         l_linestatus AS grp, l_suppkey AS supp
   FROM lineitem),
 order_list AS (
   SELECT list_id, list(value ORDER BY item_key) AS xs, list(opt_value ORDER BY item_key) AS oxs
