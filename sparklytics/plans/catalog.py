@@ -337,3 +337,108 @@ def _f16(spark, d):
 def _f17(spark, d):
     q = spark.read.parquet(f"{d}/lineitem.parquet").select(F.col("l_quantity").cast("bigint").alias("q"))
     return flat(q.groupBy(L.fizzbuzz_label("q").alias("label")).agg(F.count(F.lit(1)).alias("n")))
+
+
+# ---- C: streams (static evaluation of the stream functions; *_replay keys run the stream) ------
+from ..sources.commits import event_commit_view, events_to_commits, events_to_geo, geo_view  # noqa: E402
+from ..streaming import queries as sq  # noqa: E402
+from ..streaming.replay import replay  # noqa: E402
+
+
+def _ec(spark, d):
+    return event_commit_view(spark, d)
+
+
+@query("stream_commit_shas")
+def _c0(spark, d):
+    return flat(sq.commit_shas(_ec(spark, d)))
+
+
+@query("stream_large_additions")
+def _c1(spark, d):
+    return flat(sq.large_additions(_ec(spark, d)))
+
+
+@query("stream_large_deletion_files")
+def _c2(spark, d):
+    return flat(sq.large_deletion_files(_ec(spark, d)))
+
+
+@query("stream_extension_counts")
+def _c3(spark, d):
+    return flat(sq.extension_counts(_ec(spark, d)))
+
+
+@query("stream_extension_status_counts")
+def _c4(spark, d):
+    return flat(sq.extension_status_counts(_ec(spark, d)))
+
+
+@query("stream_daily_commits")
+def _c5(spark, d):
+    return flat(sq.daily_commits(_ec(spark, d)))
+
+
+@query("stream_size_class_counts")
+def _c6(spark, d):
+    return flat(sq.size_class_counts(_ec(spark, d)))
+
+
+@query("stream_daily_repo_summary")
+def _c7(spark, d):
+    return flat(sq.daily_repo_summary(_ec(spark, d)))
+
+
+@query("stream_weekly_java_changes_by_continent")
+def _c8(spark, d):
+    return flat(sq.weekly_java_changes_by_continent(_ec(spark, d), geo_view(spark, d)))
+
+
+@query("stream_added_then_removed")
+def _c9(spark, d):
+    return flat(sq.added_then_removed(_ec(spark, d)))
+
+
+ADDED_REMOVED_SHORT = "1 hour"   # a selective horizon at sf0.01 (FIXTURES.md §4.2)
+
+
+@query("stream_added_then_removed_1h")
+def _c9_short(spark, d):
+    return flat(sq.added_then_removed(_ec(spark, d), within=ADDED_REMOVED_SHORT))
+
+
+def _events(spark, d):
+    return spark.read.parquet(f"{d}/events.parquet")
+
+
+@query("stream_daily_commits_replay")
+def _c5_stream(spark, d):
+    return flat(replay(spark, _events(spark, d), lambda ev: sq.daily_commits(events_to_commits(ev))))
+
+
+@query("stream_size_class_counts_replay")
+def _c6_stream(spark, d):
+    return flat(replay(spark, _events(spark, d), lambda ev: sq.size_class_counts(events_to_commits(ev))))
+
+
+@query("stream_daily_repo_summary_replay")
+def _c7_stream(spark, d):
+    return flat(replay(spark, _events(spark, d), lambda ev: sq.daily_repo_summary(events_to_commits(ev))))
+
+
+@query("stream_weekly_java_changes_by_continent_replay")
+def _c8_stream(spark, d):
+    return flat(replay(spark, _events(spark, d), lambda ev: sq.weekly_java_changes_by_continent(
+        events_to_commits(ev), events_to_geo(ev))))
+
+
+@query("stream_added_then_removed_replay")
+def _c9_stream(spark, d):
+    return flat(replay(spark, _events(spark, d), lambda ev: sq.added_then_removed_stream(events_to_commits(ev)),
+                       sentinel=False))
+
+
+@query("stream_extension_status_counts_replay")
+def _c4_stream(spark, d):
+    return flat(replay(spark, _events(spark, d), lambda ev: sq.extension_status_counts(events_to_commits(ev)),
+                       output_mode="complete", sentinel=False))

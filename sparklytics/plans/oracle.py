@@ -231,3 +231,61 @@ SELECT label, count(*) AS n FROM (
   FROM (SELECT CAST(l_quantity AS BIGINT) AS q FROM lineitem))
 GROUP BY label""",
 })
+
+_EXT = r"regexp_extract(filename, '\.([^.]*)$', 1)"
+_C9 = """
+, ev AS (SELECT full_name AS repository, filename, ts, status FROM ev_commit
+         WHERE filename IS NOT NULL AND status IN ('added', 'removed'))
+SELECT DISTINCT r.repository, r.filename
+FROM ev r JOIN ev a ON a.repository = r.repository AND a.filename = r.filename
+ AND a.status = 'added' AND r.status = 'removed' AND r.ts > a.ts AND r.ts < a.ts + INTERVAL {h}"""
+
+ORACLE.update({
+    # ---- C (batch evaluation of the stream analytics) ----
+    "stream_commit_shas": with_views("SELECT sha FROM ev_commit", "ev_commit"),
+    "stream_large_additions": with_views("SELECT sha FROM ev_commit WHERE stat_amount >= 20", "ev_commit"),
+    "stream_large_deletion_files": with_views("""
+SELECT filename FROM ev_commit WHERE filename IS NOT NULL AND deletions > 30""", "ev_commit"),
+    "stream_extension_counts": with_views(f"""
+SELECT {_EXT} AS extension, count(*) AS count FROM ev_commit
+WHERE ends_with(filename, '.java') OR ends_with(filename, '.scala') GROUP BY 1""", "ev_commit"),
+    "stream_extension_status_counts": with_views(f"""
+SELECT {_EXT} AS extension, status, count(*) AS count FROM ev_commit
+WHERE (ends_with(filename, '.js') OR ends_with(filename, '.py')) AND status IS NOT NULL GROUP BY 1, 2""",
+                                                 "ev_commit"),
+    "stream_daily_commits": with_views("""
+SELECT strftime(time_bucket(INTERVAL 1 day, ts, TIMESTAMP '1970-01-01'), '%d-%m-%Y') AS date, count(*) AS count
+FROM ev_commit GROUP BY 1""", "ev_commit"),
+    "stream_size_class_counts": with_views("""
+SELECT window_end, size_class, count(*) AS count FROM (
+  SELECT time_bucket(INTERVAL 12 hours, ts, TIMESTAMP '1970-01-01') - to_hours(12 * i) + INTERVAL 48 hours
+           AS window_end,
+         CASE WHEN coalesce(stat_amount, 0) BETWEEN 0 AND 20 THEN 'small' ELSE 'large' END AS size_class
+  FROM ev_commit, range(4) t(i))
+GROUP BY ALL""", "ev_commit"),
+    "stream_daily_repo_summary": with_views("""
+, pp AS (SELECT full_name AS repo, time_bucket(INTERVAL 1 day, ts, TIMESTAMP '1970-01-01') AS d, committer,
+                count(*) AS n, sum(coalesce(stat_amount, 0)) AS changes
+         FROM ev_commit GROUP BY ALL),
+  pr AS (SELECT repo, d, sum(n) AS c, count(*) AS m, sum(changes) AS t, max(n) AS top FROM pp GROUP BY repo, d),
+  tops AS (SELECT pp.repo, pp.d, string_agg(pp.committer, ',' ORDER BY pp.committer) AS names
+           FROM pp JOIN pr ON pp.repo = pr.repo AND pp.d = pr.d AND pp.n = pr.top GROUP BY pp.repo, pp.d)
+SELECT pr.repo, strftime(pr.d, '%d-%m-%Y') AS date, CAST(pr.c AS BIGINT) AS "amountOfCommits",
+       CAST(pr.m AS BIGINT) AS "amountOfCommitters", CAST(pr.t AS BIGINT) AS "totalChanges",
+       tops.names AS "topCommitter"
+FROM pr JOIN tops ON tops.repo = pr.repo AND tops.d = pr.d
+WHERE pr.c > 20 AND pr.m <= 2""", "ev_commit"),
+    "stream_weekly_java_changes_by_continent": with_views("""
+, c AS (SELECT sha, ts, CASE WHEN ends_with(filename, '.java') THEN changes ELSE 0 END AS java FROM ev_commit)
+SELECT time_bucket(INTERVAL 7 days, c.ts, TIMESTAMP '1970-01-01') AS week_start, g.continent,
+       CAST(sum(c.java) AS BIGINT) AS amount
+FROM c JOIN ev_geo g ON g.sha = c.sha AND g.created_at >= c.ts - INTERVAL 1 hour
+                    AND g.created_at <= c.ts + INTERVAL 30 minutes
+GROUP BY ALL HAVING sum(c.java) > 0""", "ev_commit", "ev_geo"),
+    "stream_added_then_removed": with_views(_C9.format(h="1 day"), "ev_commit"),
+    "stream_added_then_removed_1h": with_views(_C9.format(h="1 hour"), "ev_commit"),
+})
+for _k in ("stream_daily_commits", "stream_size_class_counts", "stream_daily_repo_summary",
+           "stream_weekly_java_changes_by_continent", "stream_added_then_removed",
+           "stream_extension_status_counts"):
+    ORACLE[_k + "_replay"] = ORACLE[_k]
