@@ -9,24 +9,24 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_URL_RE = r"/repos/([^/]+)/([^/]+)/commits(/|$)"
+_URL_RE = r"/repos/([^/]+/[^/]+)/commits(/|$)"
 
 
-def _group(url: Column, i: int) -> Column:
-    return F.nullif(F.regexp_extract(url, _URL_RE, i), F.lit(""))
+def _u(url) -> Column:
+    return F.col(url) if isinstance(url, str) else url
 
 
-def owner(url: Column | str = "url") -> Column:
-    return _group(F.col(url) if isinstance(url, str) else url, 1)
+def full_name(url: Column | str = "url") -> Column:
+    """``owner/repo`` from the url: one regex evaluation; owner and repo are cut from it."""
+    return F.nullif(F.regexp_extract(_u(url), _URL_RE, 1), F.lit(""))
 
 
-def repo(url: Column | str = "url") -> Column:
-    return _group(F.col(url) if isinstance(url, str) else url, 2)
+def owner(url: Column | str = "url") -> Column:
+    return F.substring_index(full_name(url), "/", 1)
 
 
-def full_name(url: Column | str = "url") -> Column:
-    u = F.col(url) if isinstance(url, str) else url
-    return F.concat(owner(u), F.lit("/"), repo(u))
+def repo(url: Column | str = "url") -> Column:
+    return F.substring_index(full_name(url), "/", -1)
 
 
 def repo_key(url: Column | str = "url", use_full_name: bool = False) -> Column:
