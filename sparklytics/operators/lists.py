@@ -44,7 +44,11 @@ def json_flatten_deep(json_text, as_type: str | None = None) -> Column:
     """F3, mixed nesting: the scalars of a nested JSON array in order (``[[1],[2,[3,[4]]],5]``
     -> ``[1,2,3,4,5]``), as JSON texts or cast to ``as_type``."""
     toks = F.regexp_extract_all(_c(json_text), F.lit(JSON_SCALAR_RE), 1)
-    return toks if as_type is None else F.transform(toks, lambda t: t.cast(as_type))
+    if as_type is None:
+        return toks
+    if as_type == "variant":
+        return F.transform(toks, lambda t: F.parse_json(t))
+    return F.transform(toks, lambda t: t.cast(as_type))
 
 
 def array_fold_left(xs, init, f: Callable[[Column, Column], Column]) -> Column:
@@ -75,6 +79,15 @@ def list_max(xs) -> Column:
     return F.array_max(_c(xs))
 
 
+def per_list(items: DataFrame, key: str = "list_id", value: str = "value") -> DataFrame:
+    """F8-F10 on the long (list_id, pos, value) form: per list the maximum (null when the list
+    has no defined value), the sum (nulls skipped, 0 when none) and the number of defined values."""
+    v = F.col(value)
+    return items.groupBy(key).agg(F.max(v).alias("max"),
+                                  F.coalesce(F.sum(v.cast("bigint")), F.lit(0).cast("bigint")).alias("sum"),
+                                  F.count(v).alias("defined"))
+
+
 def list_sum(xs) -> Column:
     """sum as bigint; 0 for an empty list."""
     return F.aggregate(_c(xs), F.lit(0).cast("bigint"), lambda a, x: a + x.cast("bigint"))

@@ -411,34 +411,46 @@ def _events(spark, d):
     return spark.read.parquet(f"{d}/events.parquet")
 
 
+REPLAY_BATCHES = 4  # micro-batches per replay (plus the sentinel batch for windowed queries)
+
+
 @query("stream_daily_commits_replay")
 def _c5_stream(spark, d):
-    return flat(replay(spark, _events(spark, d), lambda ev: sq.daily_commits(events_to_commits(ev))))
+    return flat(replay(spark, _events(spark, d), lambda ev: sq.daily_commits(events_to_commits(ev)),
+                       n_batches=REPLAY_BATCHES))
 
 
 @query("stream_size_class_counts_replay")
 def _c6_stream(spark, d):
-    return flat(replay(spark, _events(spark, d), lambda ev: sq.size_class_counts(events_to_commits(ev))))
+    return flat(replay(spark, _events(spark, d), lambda ev: sq.size_class_counts(events_to_commits(ev)),
+                       n_batches=REPLAY_BATCHES))
 
 
 @query("stream_daily_repo_summary_replay")
 def _c7_stream(spark, d):
-    return flat(replay(spark, _events(spark, d), lambda ev: sq.daily_repo_summary(events_to_commits(ev))))
+    return flat(replay(spark, _events(spark, d), lambda ev: sq.daily_repo_summary(events_to_commits(ev)),
+                       n_batches=REPLAY_BATCHES))
 
 
 @query("stream_weekly_java_changes_by_continent_replay")
 def _c8_stream(spark, d):
     return flat(replay(spark, _events(spark, d), lambda ev: sq.weekly_java_changes_by_continent(
-        events_to_commits(ev), events_to_geo(ev))))
+        events_to_commits(ev), events_to_geo(ev)), n_batches=REPLAY_BATCHES))
 
 
 @query("stream_added_then_removed_replay")
 def _c9_stream(spark, d):
     return flat(replay(spark, _events(spark, d), lambda ev: sq.added_then_removed_stream(events_to_commits(ev)),
-                       sentinel=False))
+                       n_batches=REPLAY_BATCHES, sentinel=False))
 
 
 @query("stream_extension_status_counts_replay")
 def _c4_stream(spark, d):
     return flat(replay(spark, _events(spark, d), lambda ev: sq.extension_status_counts(events_to_commits(ev)),
-                       output_mode="complete", sentinel=False))
+                       output_mode="complete", n_batches=REPLAY_BATCHES, sentinel=False))
+
+
+@query("stream_extension_counts_replay")
+def _c3_stream(spark, d):
+    return flat(replay(spark, _events(spark, d), lambda ev: sq.extension_counts(events_to_commits(ev)),
+                       output_mode="update", keys=["extension"], n_batches=REPLAY_BATCHES, sentinel=False))

@@ -287,5 +287,5 @@ GROUP BY ALL HAVING sum(c.java) > 0""", "ev_commit", "ev_geo"),
 })
 for _k in ("stream_daily_commits", "stream_size_class_counts", "stream_daily_repo_summary",
            "stream_weekly_java_changes_by_continent", "stream_added_then_removed",
-           "stream_extension_status_counts"):
+           "stream_extension_status_counts", "stream_extension_counts"):
     ORACLE[_k + "_replay"] = ORACLE[_k]

@@ -38,8 +38,12 @@ def _write_batches(events: DataFrame, src: str, n_batches: int, ts: str, sentine
 
 def replay(spark: SparkSession, events: DataFrame, build: Callable[[DataFrame], DataFrame], *,
            n_batches: int = 8, output_mode: str = "append", sentinel: bool = True, ts: str = "ts",
-           id_col: str = "event_id", workdir: str | None = None) -> DataFrame:
-    """Run ``build(stream_of_events)`` as a streaming query over ``events`` and return the sink's rows."""
+           id_col: str = "event_id", keys: list[str] | None = None, workdir: str | None = None) -> DataFrame:
+    """Run ``build(stream_of_events)`` as a streaming query over ``events`` and return the sink's rows.
+
+    ``append``: the parquet sink's rows.  ``complete``: the last micro-batch's table.
+    ``update``: every micro-batch's changed rows are kept with their batch id; the result is the
+    latest row per ``keys`` (an upsert, computed by one aggregation at the end)."""
     base = workdir or f"{checkpoint_dir(spark).rstrip('/')}/replay-{uuid.uuid4().hex}"
     src, out, ckpt = f"{base}/source", f"{base}/sink", f"{base}/state"
     _write_batches(events, src, n_batches, ts, sentinel, id_col)
@@ -50,12 +54,26 @@ def replay(spark: SparkSession, events: DataFrame, build: Callable[[DataFrame],
     w = result.writeStream.option("checkpointLocation", ckpt).trigger(availableNow=True)
     if output_mode == "append":
         q = w.outputMode("append").format("parquet").option("path", out).start()
-    else:
-        # complete/update: each micro-batch carries the full (or changed) keys; keep the last table
+    elif output_mode == "complete":
+        # each micro-batch carries the whole result table: keep the last one
         def sink(batch: DataFrame, epoch: int) -> None:
             batch.write.mode("overwrite").parquet(out)
-        q = w.outputMode(output_mode).foreachBatch(sink).start()
+        q = w.outputMode("complete").foreachBatch(sink).start()
+    elif output_mode == "update":
+        if not keys:
+            raise ValueError("update mode needs the result keys")
+
+        def sink(batch: DataFrame, epoch: int) -> None:
+            batch.withColumn("_epoch", F.lit(epoch).cast("bigint")).write.mode("append").parquet(out)
+        q = w.outputMode("update").foreachBatch(sink).start()
+    else:
+        raise ValueError(output_mode)
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
+    if output_mode == "update":
+        values = [c for c in result.columns if c not in keys]
+        latest = (spark.read.parquet(out).groupBy(*keys)
+                  .agg(F.max_by(F.struct(*values), "_epoch").alias("_v")))
+        return latest.select(*keys, *[F.col("_v")[c].alias(c) for c in values])
     return spark.read.schema(result.schema).parquet(out)

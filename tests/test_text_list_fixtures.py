@@ -111,3 +111,12 @@ def test_grouped_list_analytics(spark):
     assert L.first_head_sums_tail(none).first()["size"] is None
     n = spark.range(1, 16).select(L.fizzbuzz_label("id").alias("l"))
     assert [r["l"] for r in n.collect()][-3:] == ["13", "14", "FizzBuzz"]
+
+
+def test_variant_flatten_and_long_form(spark):
+    j = spark.createDataFrame([("[[1],[2,[3,[4]]],5]",)], "j string")
+    v = j.select(L.json_flatten_deep("j", "variant").alias("v")).first()["v"]
+    assert [x.toPython() for x in v] == [1, 2, 3, 4, 5]
+    items = spark.createDataFrame([(1, 0, 3), (1, 1, None), (1, 2, 9), (2, 0, None)], "list_id long, pos long, value long")
+    got = {r["list_id"]: (r["max"], r["sum"], r["defined"]) for r in L.per_list(items).collect()}
+    assert got == {1: (9, 12, 2), 2: (None, 0, 0)}
