@@ -98,15 +98,25 @@ def latest_files_per_repo(commits: DataFrame, use_full_name: bool = False, neste
     return newest.select("repository", "file.*")
 
 
-def repo_file_overview(commits: DataFrame, repository: str, use_full_name: bool = False) -> DataFrame:
-    """For one repository (filename, shas sorted, total, additions, deletions); total = sum of changes."""
+def repo_file_overview(commits: DataFrame, repository: str, use_full_name: bool = False,
+                       nested: bool = False) -> DataFrame:
+    """For one repository, every file with its commit SHAs and Stats (total = sum of changes).
+
+    Flat by default: one row per (filename, sha) carrying the file's totals, so a file touched by
+    millions of commits is never gathered into one row.  ``nested=True`` gives the upstream shape
+    (filename, shas sorted, total, additions, deletions) with one array per file.
+    """
     f = (commits.filter(fields.repo_key("url", use_full_name) == repository)
          .select("sha", F.explode("files").alias("file"))
-         .filter(F.col("file.filename").isNotNull()))
-    return f.groupBy(F.col("file.filename").alias("filename")).agg(
-        F.array_sort(F.collect_set("sha")).alias("shas"),
-        F.sum("file.changes").alias("total"), F.sum("file.additions").alias("additions"),
-        F.sum("file.deletions").alias("deletions"))
+         .filter(F.col("file.filename").isNotNull())
+         .select(F.col("file.filename").alias("filename"), "sha", F.col("file.changes").alias("total"),
+                 F.col("file.additions").alias("additions"), F.col("file.deletions").alias("deletions")))
+    sums = [F.sum(c).alias(c) for c in ("total", "additions", "deletions")]
+    if nested:
+        return f.groupBy("filename").agg(F.array_sort(F.collect_set("sha")).alias("shas"), *sums)
+    per_commit = f.groupBy("filename", "sha").agg(*sums)          # partial aggregation per pair
+    per_file = per_commit.groupBy("filename").agg(*sums)          # one row per file
+    return per_commit.select("filename", "sha").join(per_file, "filename")
 
 
 def committer_repo_stats(commits: DataFrame, use_full_name: bool = False) -> DataFrame:

@@ -98,11 +98,13 @@ SELECT repository, filename, sha, status, additions, deletions, changes FROM (
   FROM file_flat f JOIN commit_flat c ON c.k = f.k WHERE f.filename IS NOT NULL)
 WHERE rn = 1""", "commit_flat"),
     "repo_file_overview": with_views(f"""
-SELECT f.filename, array_to_string(list_sort(list(DISTINCT c.sha)), ',') AS shas,
-       CAST(sum(f.changes) AS BIGINT) AS total, CAST(sum(f.additions) AS BIGINT) AS additions,
-       CAST(sum(f.deletions) AS BIGINT) AS deletions
-FROM file_flat f JOIN commit_base c ON c.k = f.k
-WHERE c.repo = '{cat.FOCUS_REPO}' AND f.filename IS NOT NULL GROUP BY f.filename""", "commit_flat"),
+, f AS (SELECT f.filename, c.sha, f.changes, f.additions, f.deletions
+        FROM file_flat f JOIN commit_base c ON c.k = f.k
+        WHERE c.repo = '{cat.FOCUS_REPO}' AND f.filename IS NOT NULL),
+  t AS (SELECT filename, CAST(sum(changes) AS BIGINT) AS total, CAST(sum(additions) AS BIGINT) AS additions,
+               CAST(sum(deletions) AS BIGINT) AS deletions FROM f GROUP BY filename)
+SELECT DISTINCT f.filename, f.sha, t.total, t.additions, t.deletions FROM f JOIN t ON f.filename = t.filename""",
+                                     "commit_flat"),
     "committer_repo_stats": with_views("""
 SELECT committer, repo AS repository, CAST(sum(total) AS BIGINT) AS total,
        CAST(sum(additions) AS BIGINT) AS additions, CAST(sum(deletions) AS BIGINT) AS deletions
