@@ -414,6 +414,24 @@ def _events(spark, d):
 REPLAY_BATCHES = 4  # micro-batches per replay (plus the sentinel batch for windowed queries)
 
 
+@query("stream_commit_shas_replay")
+def _c0_stream(spark, d):
+    return flat(replay(spark, _events(spark, d), lambda ev: sq.commit_shas(events_to_commits(ev)),
+                       n_batches=REPLAY_BATCHES, sentinel=False))
+
+
+@query("stream_large_additions_replay")
+def _c1_stream(spark, d):
+    return flat(replay(spark, _events(spark, d), lambda ev: sq.large_additions(events_to_commits(ev)),
+                       n_batches=REPLAY_BATCHES, sentinel=False))
+
+
+@query("stream_large_deletion_files_replay")
+def _c2_stream(spark, d):
+    return flat(replay(spark, _events(spark, d), lambda ev: sq.large_deletion_files(events_to_commits(ev)),
+                       n_batches=REPLAY_BATCHES, sentinel=False))
+
+
 @query("stream_daily_commits_replay")
 def _c5_stream(spark, d):
     return flat(replay(spark, _events(spark, d), lambda ev: sq.daily_commits(events_to_commits(ev)),

@@ -289,5 +289,6 @@ GROUP BY ALL HAVING sum(c.java) > 0""", "ev_commit", "ev_geo"),
 })
 for _k in ("stream_daily_commits", "stream_size_class_counts", "stream_daily_repo_summary",
            "stream_weekly_java_changes_by_continent", "stream_added_then_removed",
-           "stream_extension_status_counts", "stream_extension_counts"):
+           "stream_extension_status_counts", "stream_extension_counts", "stream_commit_shas",
+           "stream_large_additions", "stream_large_deletion_files"):
     ORACLE[_k + "_replay"] = ORACLE[_k]

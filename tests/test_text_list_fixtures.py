@@ -54,6 +54,7 @@ def test_files_lines_and_csv_sink(spark, tmp_path):
 def test_book(spark, tmp_path):
     (tmp_path / "1-intro.txt").write_text("Vokali i am. i go\nto the\nsea.")
     (tmp_path / "2-ch1.txt").write_text("Is it i? The Book the book. Naïve iris.")
+    (tmp_path / "0-blank.txt").write_text(" .. \n. ")  # no sentence at all: must not use up a slot
     docs = read_documents(spark, str(tmp_path))
     fixed = {r["path"].rsplit("/", 1)[1]: r["text"] for r in text.fix_lowercase_i(docs).collect()}
     assert fixed["1-intro.txt"] == "Vokali I am. I go\nto the\nsea."
