@@ -133,28 +133,42 @@ def _status_events(commits: DataFrame) -> DataFrame:
         (F.col("f.status") == "removed").alias("removed"))
 
 
+_UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
+
+
+def interval_seconds(text: str) -> int:
+    """``'1 day'``, ``'30 minutes'``, ``'2 hours 15 minutes'`` -> seconds."""
+    parts = text.split()
+    total = 0
+    for n, unit in zip(parts[::2], parts[1::2]):
+        total += int(n) * _UNIT_SECONDS[unit.lower().rstrip("s")]
+    return total
+
+
 def added_then_removed(commits: DataFrame, within: str = "1 day") -> DataFrame:
     """C9 on static data: (repository, filename) of files removed less than ``within`` after being
     added (strictly later, D16), one row per pair of names.
 
     A removal qualifies iff the latest addition strictly before it is within the horizon, so no
-    add x remove pairs are built.  The latest addition is found per (file, day bucket) window;
-    the first rows of a bucket look at the previous bucket's last addition (a small aggregate).
-    Requires ``within`` <= 1 day for the one-bucket look-back.
+    add x remove pairs are built.  Time is cut into buckets as long as the horizon: the latest
+    addition is found by a window per (file, bucket), and the first rows of a bucket look at the
+    previous bucket's last addition (a small aggregate).  A hot file is thus split by time.
     """
     from pyspark.sql import Window
+    horizon = interval_seconds(within)
     ev = _status_events(commits)
     key = ["repository", "filename"]
-    ev = ev.withColumn("_day", F.date_trunc("day", "ts"))
+    ev = ev.withColumn("_b", F.floor(F.unix_micros("ts") / F.lit(horizon * 1_000_000)))
     # removals sort before additions at the same instant: an addition must be strictly earlier
     order = [F.col("ts"), F.col("removed").desc()]
-    w = Window.partitionBy(*key, "_day").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    w = Window.partitionBy(*key, "_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     ev = ev.withColumn("_last_add", F.max(F.when(~F.col("removed"), F.col("ts"))).over(w))
-    day_last = (ev.filter(~F.col("removed")).groupBy(*key, "_day").agg(F.max("ts").alias("_prev_day_add"))
-                .withColumn("_day", F.col("_day") + F.expr("INTERVAL 1 DAY")))
-    rem = ev.filter(F.col("removed")).join(day_last, key + ["_day"], "left")
-    last_add = F.coalesce(F.col("_last_add"), F.col("_prev_day_add"))
-    hit = rem.filter(last_add.isNotNull() & (F.col("ts") < last_add + F.expr(f"INTERVAL {within}")))
+    prev_last = (ev.filter(~F.col("removed")).groupBy(*key, "_b").agg(F.max("ts").alias("_prev_add"))
+                 .withColumn("_b", F.col("_b") + 1))
+    rem = ev.filter(F.col("removed")).join(prev_last, key + ["_b"], "left")
+    last_add = F.coalesce(F.col("_last_add"), F.col("_prev_add"))
+    hit = rem.filter(last_add.isNotNull()
+                     & (F.unix_micros("ts") - F.unix_micros(last_add) < F.lit(horizon * 1_000_000)))
     return hit.select(*key).distinct()
 
 

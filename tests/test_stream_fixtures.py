@@ -107,3 +107,17 @@ def test_order_independence(spark):
     c = events_to_commits(ev)
     for fn in (sq.daily_repo_summary, sq.added_then_removed, sq.extension_status_counts):
         assert rows(fn(c.repartition(1))) == rows(fn(c.repartition(7, F.rand(3))))
+
+
+def test_c9_longer_horizon_matches_pairs(spark):
+    from sparklytics.sources.commits import events_to_commits
+    ev = _events(spark, "/root/testdata/sf0.01")
+    c = events_to_commits(ev)
+    for within in ("3 days", "90 minutes", "1 day"):
+        e = sq._status_events(c)
+        a = e.filter(~F.col("removed")).select(F.col("repository").alias("r"), F.col("filename").alias("f"),
+                                               F.col("ts").alias("ta"))
+        r = e.filter(F.col("removed"))
+        brute = r.join(a, (r.repository == a.r) & (r.filename == a.f) & (r.ts > a.ta)
+                       & (r.ts < a.ta + F.expr(f"INTERVAL {within}"))).select("repository", "filename").distinct()
+        assert rows(sq.added_then_removed(c, within)) == rows(brute), within
