@@ -256,7 +256,7 @@ def _f2(spark, d):
 
 @query("array_flatten_deep")
 def _f3(spark, d):
-    nested = list_src.nested_order_lists(spark, d).join(list_src.order_lists(spark, d), "list_id")
+    nested = list_src.order_lists(spark, d)
     mixed = F.concat(F.lit("["), F.to_json("xss"), F.lit(","), F.to_json("xs"), F.lit("]"))
     return flat(nested.select("list_id", L.json_flatten_deep(mixed, "bigint").alias("result")))
 

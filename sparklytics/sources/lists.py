@@ -24,20 +24,20 @@ def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(list_id, xs, oxs, xss): one aggregation per order; ``xss`` nests the values by line status
+    (F before O).  Unused columns are pruned by Catalyst, so plain list queries never build ``xss``."""
     items = order_items(spark, sf_dir)
-    g = items.groupBy("list_id").agg(F.sort_array(F.collect_list(F.struct("item_key", "value", "opt_value")))
+    g = items.groupBy("list_id").agg(F.sort_array(F.collect_list(F.struct("item_key", "value", "opt_value", "grp")))
                                      .alias("_it"))
+    groups = F.array_sort(F.array_distinct(F.transform("_it", lambda s: s["grp"])))
+    xss = F.transform(groups, lambda gr: F.transform(F.filter("_it", lambda s: s["grp"] == gr), lambda s: s["value"]))
     return g.select("list_id", F.transform("_it", lambda s: s["value"]).alias("xs"),
-                    F.transform("_it", lambda s: s["opt_value"]).alias("oxs"))
+                    F.transform("_it", lambda s: s["opt_value"]).alias("oxs"), xss.alias("xss"))
 
 
 def nested_order_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(list_id, xss): per order, one inner list per line status (F < O), items by key."""
-    items = order_items(spark, sf_dir)
-    inner = items.groupBy("list_id", "grp").agg(
-        F.transform(F.sort_array(F.collect_list(F.struct("item_key", "value"))), lambda s: s["value"]).alias("xs"))
-    return inner.groupBy("list_id").agg(
-        F.transform(F.sort_array(F.collect_list(F.struct("grp", "xs"))), lambda s: s["xs"]).alias("xss"))
+    return order_lists(spark, sf_dir).select("list_id", "xss")
 
 
 def grades(spark: SparkSession, sf_dir: str) -> DataFrame:

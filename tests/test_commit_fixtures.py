@@ -194,3 +194,11 @@ def test_d2_d4_d5_collection_family(spark):
     assert rows(coll.peak_js_hour(df)) == [(13, 2)]
     assert rows(coll.commits_per_repo_in_year(df, 2019)) == [("o/r", 1)]
     assert [tuple(r) for r in coll.top_file_formats(df, 2).collect()] == [("js", 3), ("Makefile", 1)]
+
+
+def test_order_independence_batch(spark):
+    from sparklytics.sources.commits import commit_view
+    c = commit_view(spark, "/root/testdata/sf0.001")
+    for fn in (pairs.author_rank, pairs.latest_files_per_repo, frames.fork_points,
+               lambda df: frames.days_since_previous_commit(df, None)):
+        assert rows(fn(c.repartition(1))) == rows(fn(c.repartition(7, F.rand(5))))
