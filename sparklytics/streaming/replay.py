@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
+from . import jobs
 
 SENTINEL_GAP = "60 days"
 
@@ -51,29 +52,11 @@ def replay(spark: SparkSession, events: DataFrame, build: Callable[[DataFrame],
               .option("recursiveFileLookup", "true").option("maxFilesPerTrigger", 1)
               .parquet(src))
     result = build(stream)
-    w = result.writeStream.option("checkpointLocation", ckpt).trigger(availableNow=True)
-    if output_mode == "append":
-        q = w.outputMode("append").format("parquet").option("path", out).start()
-    elif output_mode == "complete":
-        # each micro-batch carries the whole result table: keep the last one
-        def sink(batch: DataFrame, epoch: int) -> None:
-            batch.write.mode("overwrite").parquet(out)
-        q = w.outputMode("complete").foreachBatch(sink).start()
-    elif output_mode == "update":
-        if not keys:
-            raise ValueError("update mode needs the result keys")
-
-        def sink(batch: DataFrame, epoch: int) -> None:
-            batch.withColumn("_epoch", F.lit(epoch).cast("bigint")).write.mode("append").parquet(out)
-        q = w.outputMode("update").foreachBatch(sink).start()
-    else:
-        raise ValueError(output_mode)
+    q = jobs.start(result, out, f"replay_{uuid.uuid4().hex[:8]}", output_mode=output_mode, keys=keys,
+                   trigger={"availableNow": True}, checkpoint=ckpt)
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
     if output_mode == "update":
-        values = [c for c in result.columns if c not in keys]
-        latest = (spark.read.parquet(out).groupBy(*keys)
-                  .agg(F.max_by(F.struct(*values), "_epoch").alias("_v")))
-        return latest.select(*keys, *[F.col("_v")[c].alias(c) for c in values])
+        return jobs.read_latest(spark, out, keys)
     return spark.read.schema(result.schema).parquet(out)

@@ -49,3 +49,23 @@ def test_read_commit_stream(spark, tmp_path):
          .trigger(availableNow=True).start())
     q.awaitTermination()
     assert [tuple(r) for r in spark.table("ext_status_check").collect()] == [("py", "added", 1)]
+
+
+def test_stream_job_on_commit_json(spark, tmp_path):
+    from sparklytics.streaming import jobs
+    src = tmp_path / "in"
+    src.mkdir()
+    (src / "a.json").write_text("\n".join(json.dumps(d) for d in DOCS))
+    stream = read_commit_stream(spark, str(src))
+    q = jobs.start(sq.daily_commits(stream), str(tmp_path / "out"), "daily_check",
+                   trigger={"availableNow": True}, checkpoint=str(tmp_path / "ck"))
+    q.awaitTermination()
+    # the last day stays open in append mode until later data moves the watermark
+    assert [tuple(r) for r in spark.read.parquet(str(tmp_path / "out")).collect()] == [("27-01-2019", 1)]
+    later = _doc("d", "n3", "2019-02-05T00:00:00Z")
+    (src / "b.json").write_text(json.dumps(later))
+    q = jobs.start(sq.daily_commits(read_commit_stream(spark, str(src))), str(tmp_path / "out"), "daily_check2",
+                   trigger={"availableNow": True}, checkpoint=str(tmp_path / "ck"))
+    q.awaitTermination()
+    got = sorted(tuple(r) for r in spark.read.parquet(str(tmp_path / "out")).collect())
+    assert got == [("27-01-2019", 1), ("28-01-2019", 2)]
