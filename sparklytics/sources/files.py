@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def _ci_glob(fragment: str) -> str:
@@ -27,5 +26,3 @@ def list_files(spark: SparkSession, root: str, name_contains: str) -> DataFrame:
           .load(root))
     return df.select("path", "length", "modificationTime")  # content is never requested
 
-
-__all__ = ["list_files", "F"]
