@@ -50,11 +50,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     temporary folder is created; on a cluster a missing setting is an error, because a
     machine-local folder would not survive the loss of an executor.
     """
-    sc = spark.sparkContext
+    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001  (Spark Connect: the server owns the checkpoint folder)
+        if not conf_dir:
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...)")
+        return conf_dir
     current = sc.getCheckpointDir()
     if current:
         return current
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...)")

@@ -202,3 +202,9 @@ def test_order_independence_batch(spark):
     for fn in (pairs.author_rank, pairs.latest_files_per_repo, frames.fork_points,
                lambda df: frames.days_since_previous_commit(df, None)):
         assert rows(fn(c.repartition(1))) == rows(fn(c.repartition(7, F.rand(5))))
+
+
+def test_checkpoint_dir_comes_from_the_session(spark):
+    from sparklytics.session import checkpoint_dir
+    d = checkpoint_dir(spark)
+    assert d and d == spark.sparkContext.getCheckpointDir()
