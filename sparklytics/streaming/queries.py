@@ -145,14 +145,13 @@ def interval_seconds(text: str) -> int:
     return total
 
 
-def added_then_removed(commits: DataFrame, within: str = "1 day") -> DataFrame:
-    """C9 on static data: (repository, filename) of files removed less than ``within`` after being
-    added (strictly later, D16), one row per pair of names.
+def removals_with_last_addition(commits: DataFrame, within: str = "1 day") -> DataFrame:
+    """Every removal event with the latest addition of the same (repository, filename) that is
+    strictly earlier and at most one horizon bucket back (``last_add``, null if none).
 
-    A removal qualifies iff the latest addition strictly before it is within the horizon, so no
-    add x remove pairs are built.  Time is cut into buckets as long as the horizon: the latest
-    addition is found by a window per (file, bucket), and the first rows of a bucket look at the
-    previous bucket's last addition (a small aggregate).  A hot file is thus split by time.
+    Time is cut into buckets as long as the horizon: the latest addition is found by a window per
+    (file, bucket), and the first rows of a bucket look at the previous bucket's last addition
+    (a small aggregate).  A hot file is thus split by time, never sorted in one task.
     """
     from pyspark.sql import Window
     horizon = interval_seconds(within)
@@ -166,10 +165,21 @@ def added_then_removed(commits: DataFrame, within: str = "1 day") -> DataFrame:
     prev_last = (ev.filter(~F.col("removed")).groupBy(*key, "_b").agg(F.max("ts").alias("_prev_add"))
                  .withColumn("_b", F.col("_b") + 1))
     rem = ev.filter(F.col("removed")).join(prev_last, key + ["_b"], "left")
-    last_add = F.coalesce(F.col("_last_add"), F.col("_prev_add"))
-    hit = rem.filter(last_add.isNotNull()
-                     & (F.unix_micros("ts") - F.unix_micros(last_add) < F.lit(horizon * 1_000_000)))
-    return hit.select(*key).distinct()
+    return rem.select(*key, "ts", F.coalesce(F.col("_last_add"), F.col("_prev_add")).alias("last_add"))
+
+
+def added_then_removed(commits: DataFrame, within: str = "1 day") -> DataFrame:
+    """C9 on static data: (repository, filename) of files removed less than ``within`` after being
+    added (strictly later, D16), one row per pair of names.
+
+    A removal qualifies iff the latest addition strictly before it is within the horizon, so no
+    add x remove pairs are built (see ``removals_with_last_addition``).
+    """
+    horizon_us = interval_seconds(within) * 1_000_000
+    rem = removals_with_last_addition(commits, within)
+    hit = rem.filter(F.col("last_add").isNotNull()
+                     & (F.unix_micros("ts") - F.unix_micros("last_add") < F.lit(horizon_us)))
+    return hit.select("repository", "filename").distinct()
 
 
 def added_then_removed_stream(commits: DataFrame, within: str = "1 day", watermark: str = "0 seconds",
