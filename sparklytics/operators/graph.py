@@ -19,11 +19,15 @@ def md5_long_id(s: Column) -> Column:
     return F.conv(top, 16, -10).cast("bigint")
 
 
+def _pairs(commits: DataFrame, use_full_name: bool) -> DataFrame:
+    pairs = commits.select(F.col("commit.committer.name").alias("developer"),
+                           fields.repo_key("url", use_full_name).alias("repository"))
+    return pairs.filter(F.col("developer").isNotNull() & F.col("repository").isNotNull()).distinct()
+
+
 def developer_repo_graph(commits: DataFrame, use_full_name: bool = False) -> tuple[DataFrame, DataFrame]:
     """(vertices(id, kind, name), edges(src, dst, relation)); an edge per committer -> repository."""
-    pairs = commits.select(F.col("commit.committer.name").alias("developer"),
-                           fields.repo_key("url", use_full_name).alias("repository")).distinct()
-    pairs = pairs.filter(F.col("developer").isNotNull() & F.col("repository").isNotNull())
+    pairs = _pairs(commits, use_full_name)
     devs = pairs.select(F.col("developer").alias("name")).distinct().withColumn("kind", F.lit("developer"))
     repos = pairs.select(F.col("repository").alias("name")).distinct().withColumn("kind", F.lit("repository"))
     vertices = devs.unionByName(repos).select(md5_long_id(F.col("name")).alias("id"), "kind", "name")
@@ -33,8 +37,19 @@ def developer_repo_graph(commits: DataFrame, use_full_name: bool = False) -> tup
 
 
 def graph_degrees(vertices: DataFrame, edges: DataFrame) -> DataFrame:
-    """Degree of every vertex (out-degree of developers, in-degree of repositories)."""
+    """Degree of every vertex of a (vertices, edges) pair (out-degree of developers, in-degree of
+    repositories)."""
     ends = edges.select(F.explode(F.array("src", "dst")).alias("id"))
     deg = ends.groupBy("id").agg(F.count(F.lit(1)).alias("degree"))
     return vertices.join(deg, "id", "left").select("id", "kind", "name",
                                                    F.coalesce("degree", F.lit(0)).alias("degree"))
+
+
+def developer_repo_degrees(commits: DataFrame, use_full_name: bool = False) -> DataFrame:
+    """B12 as one table: every vertex (id, kind, name) with its degree, from a single pass over the
+    distinct committer-repository pairs (each pair counts once for both of its ends)."""
+    ends = _pairs(commits, use_full_name).select(F.explode(F.array(
+        F.struct(F.col("developer").alias("name"), F.lit("developer").alias("kind")),
+        F.struct(F.col("repository").alias("name"), F.lit("repository").alias("kind")))).alias("v"))
+    deg = ends.groupBy("v.name", "v.kind").agg(F.count(F.lit(1)).alias("degree"))
+    return deg.select(md5_long_id(F.col("name")).alias("id"), "kind", "name", "degree")

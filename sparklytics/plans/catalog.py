@@ -144,8 +144,7 @@ def _b11(spark, d):
 
 @query("developer_repo_graph")
 def _b12(spark, d):
-    v, e = graph.developer_repo_graph(commit_view(spark, d))
-    return flat(graph.graph_degrees(v, e))
+    return flat(graph.developer_repo_degrees(commit_view(spark, d)))
 
 
 # ---- D: collection family ------------------------------------------------------------------

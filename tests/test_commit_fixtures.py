@@ -129,6 +129,8 @@ def test_b12_graph(spark):
     assert v.count() == 4 and e.count() == 3
     deg = {r["name"]: r["degree"] for r in graph.graph_degrees(v, e).collect()}
     assert deg == {"x": 2, "y": 1, "r": 2, "q": 1}
+    one_pass = {(r["id"], r["kind"], r["name"], r["degree"]) for r in graph.developer_repo_degrees(df).collect()}
+    assert one_pass == {(r["id"], r["kind"], r["name"], r["degree"]) for r in graph.graph_degrees(v, e).collect()}
 
 
 def test_d17_avg_additions_only_with_stats(spark):

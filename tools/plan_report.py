@@ -32,7 +32,7 @@ NOTES = {
     "repo_file_overview": "per (file, sha) and per file aggregates joined back; no per-file array",
     "committer_repo_stats": "partial sums per (committer, repo)",
     "md5_long_id": "map-only expression",
-    "developer_repo_graph": "distinct pairs, vertex union, degree aggregate",
+    "developer_repo_graph": "one scan: distinct pairs, each pair exploded to its two ends, one degree aggregate",
     "avg_additions": "global partial aggregate",
     "peak_js_hour": "aggregate then top-1 (TakeOrderedAndProject)",
     "top_committer_of_repo": "aggregate then top-1",
