@@ -91,13 +91,18 @@ def _parent_edges(commits: DataFrame, *extra) -> DataFrame:
 
 
 def branch_points(commits: DataFrame) -> DataFrame:
-    """(sha, times_parent) for commits of the input that are parent of more than one commit."""
-    counts = (_parent_edges(commits).groupBy("parent_sha")
-              .agg(F.countDistinct("child_sha").alias("times_parent"))
-              .filter(F.col("times_parent") > 1))
-    present = commits.select(F.col("sha").alias("parent_sha"))
-    return counts.join(present, "parent_sha", "left_semi").select(F.col("parent_sha").alias("sha"),
-                                                                   "times_parent")
+    """(sha, times_parent) for commits of the input that are parent of more than one commit.
+
+    One scan: each commit yields a presence row (its sha) and an edge row per parent (parent sha,
+    child), grouped together, so "is the parent in the input" needs no join.  The distinct count shuffles by
+    (sha, child) first and counts per sha partially, so a parent with many children is split.
+    """
+    me = F.struct(F.col("sha").alias("sha"), F.lit(None).cast("string").alias("child"), F.lit(True).alias("present"))
+    ups = F.transform("parents", lambda p: F.struct(p["sha"].alias("sha"), F.col("sha").alias("child"),
+                                                    F.lit(False).alias("present")))
+    rows = commits.select(F.explode(F.concat(F.array(me), ups)).alias("r")).select("r.*")
+    per = rows.groupBy("sha").agg(F.countDistinct("child").alias("times_parent"), F.max("present").alias("present"))
+    return per.filter(F.col("present") & (F.col("times_parent") > 1)).select("sha", "times_parent")
 
 
 def fork_points(commits: DataFrame) -> DataFrame:

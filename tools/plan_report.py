@@ -19,7 +19,7 @@ NOTES = {
     "days_since_previous_commit_all": "as above for every committer; no single-partition exchange",
     "commits_per_weekday": "partial + final aggregate",
     "author_committer_lag_seconds": "map-only projection",
-    "branch_points": "distinct count planned as shuffle by (parent, child), partial count per parent, shuffle by parent; semi join on sha",
+    "branch_points": "one scan, no join: presence and parent-edge rows grouped by sha; distinct count shuffles by (sha, child), then partial counts per sha",
     "fork_points": "explode parents, equi-join on sha (sort-merge at scale, AQE splits skewed partitions), distinct",
     "commit_count": "partial count per task, one row per task to the final count",
     "file_extension_counts": "explode file names, partial aggregate",
