@@ -6,7 +6,7 @@ An url that does not have that shape gives null (never the url itself).
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _URL_RE = r"/repos/([^/]+/[^/]+)/commits(/|$)"
@@ -58,3 +58,14 @@ def epoch_seconds(ts: Column) -> Column:
 def as_naive(ts: Column) -> Column:
     """UTC wall-clock timestamp without zone, as DuckDB's TIMESTAMP prints it."""
     return ts.cast("timestamp_ntz")
+
+
+def file_rows(commits: DataFrame) -> DataFrame:
+    """One row per committed file with its commit's columns and a ``file`` struct.
+
+    Accepts nested commits (explodes ``files``) or a DataFrame that already has one ``file`` per
+    row (e.g. ``sources.commits.commit_file_view``); unused commit columns are pruned by Catalyst."""
+    if "file" in commits.columns:
+        return commits
+    keep = [c for c in commits.columns if c not in ("files",)]
+    return commits.select(*keep, F.explode("files").alias("file"))

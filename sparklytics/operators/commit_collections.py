@@ -22,7 +22,8 @@ def avg_additions(commits: DataFrame) -> DataFrame:
 
 def peak_js_hour(commits: DataFrame) -> DataFrame:
     """(hour, files): the UTC hour of day in which most ``.js`` files were changed."""
-    f = commits.select(F.hour(F.col(_CDATE)).alias("hour"), F.explode("files.filename").alias("filename"))
+    f = fields.file_rows(commits).select(F.hour(F.col(_CDATE)).alias("hour"),
+                                         F.col("file.filename").alias("filename"))
     per = f.filter(F.col("filename").endswith(".js")).groupBy("hour").agg(F.count(F.lit(1)).alias("files"))
     return per.orderBy(F.col("files").desc(), F.col("hour").asc()).limit(1)
 
@@ -49,7 +50,8 @@ def commits_per_repo_in_year(commits: DataFrame, year: int) -> DataFrame:
 
 def top_file_formats(commits: DataFrame, k: int = 5) -> DataFrame:
     """The ``k`` most frequent file formats (text after the last '.'), most frequent first."""
-    names = commits.select(F.explode("files.filename").alias("filename")).filter(F.col("filename").isNotNull())
+    names = fields.file_rows(commits).select(F.col("file.filename").alias("filename")) \
+        .filter(F.col("filename").isNotNull())
     per = names.groupBy(fields.last_dot_part(F.col("filename")).alias("extension")).agg(
         F.count(F.lit(1)).alias("count"))
     return per.orderBy(F.col("count").desc(), F.col("extension").asc()).limit(k)

@@ -26,7 +26,7 @@ def commit_count(commits: DataFrame) -> DataFrame:
 
 def file_extension_counts(commits: DataFrame) -> DataFrame:
     """B2: (extension, count) over all files; no name or no extension -> ``unknown``."""
-    names = commits.select(F.explode(F.col("files.filename")).alias("filename"))
+    names = fields.file_rows(commits).select(F.col("file.filename").alias("filename"))
     return (names.groupBy(fields.extension_or_unknown(F.col("filename")).alias("extension"))
             .agg(F.count(F.lit(1)).alias("count")))
 
@@ -87,9 +87,9 @@ def latest_files_per_repo(commits: DataFrame, use_full_name: bool = False, neste
     Ties: larger commit sha, then larger file sha.  Flat rows by default; ``nested=True`` gathers
     each repository's files into one array (one row per repository, as upstream returns it).
     """
-    f = (commits.select(fields.repo_key("url", use_full_name).alias("repository"),
-                        F.col("commit.author.date").alias("date"), F.col("sha").alias("commit_sha"),
-                        F.explode("files").alias("file"))
+    f = (fields.file_rows(commits)
+         .select(fields.repo_key("url", use_full_name).alias("repository"),
+                 F.col("commit.author.date").alias("date"), F.col("sha").alias("commit_sha"), "file")
          .filter(F.col("file.filename").isNotNull()))
     newest = (f.groupBy("repository", F.col("file.filename").alias("filename"))
               .agg(F.max_by("file", F.struct("date", "commit_sha", F.col("file.sha"))).alias("file")))
@@ -106,8 +106,8 @@ def repo_file_overview(commits: DataFrame, repository: str, use_full_name: bool
     millions of commits is never gathered into one row.  ``nested=True`` gives the upstream shape
     (filename, shas sorted, total, additions, deletions) with one array per file.
     """
-    f = (commits.filter(fields.repo_key("url", use_full_name) == repository)
-         .select("sha", F.explode("files").alias("file"))
+    f = (fields.file_rows(commits).filter(fields.repo_key("url", use_full_name) == repository)
+         .select("sha", "file")
          .filter(F.col("file.filename").isNotNull())
          .select(F.col("file.filename").alias("filename"), "sha", F.col("file.changes").alias("total"),
                  F.col("file.additions").alias("additions"), F.col("file.deletions").alias("deletions")))

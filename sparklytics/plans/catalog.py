@@ -16,7 +16,7 @@ from ..operators import commit_collections as coll
 from ..operators import commit_frames as frames
 from ..operators import commit_pairs as pairs
 from ..operators import graph
-from ..sources.commits import commit_view
+from ..sources.commits import commit_file_view, commit_view
 from .output import flat
 
 # Fixed parameters of the registered queries.
@@ -93,7 +93,7 @@ def _b1(spark, d):
 
 @query("file_extension_counts")
 def _b2(spark, d):
-    return flat(pairs.file_extension_counts(commit_view(spark, d)))
+    return flat(pairs.file_extension_counts(commit_file_view(spark, d)))
 
 
 @query("author_rank")
@@ -123,13 +123,13 @@ def _b7(spark, d):
 
 @query("latest_files_per_repo")
 def _b8(spark, d):
-    return flat(pairs.latest_files_per_repo(commit_view(spark, d))
+    return flat(pairs.latest_files_per_repo(commit_file_view(spark, d))
                 .select("repository", "filename", "sha", "status", "additions", "deletions", "changes"))
 
 
 @query("repo_file_overview")
 def _b9(spark, d):
-    return flat(pairs.repo_file_overview(commit_view(spark, d), FOCUS_REPO))
+    return flat(pairs.repo_file_overview(commit_file_view(spark, d), FOCUS_REPO))
 
 
 @query("committer_repo_stats")
@@ -155,7 +155,7 @@ def _d1(spark, d):
 
 @query("peak_js_hour")
 def _d2(spark, d):
-    return flat(coll.peak_js_hour(commit_view(spark, d)))
+    return flat(coll.peak_js_hour(commit_file_view(spark, d)))
 
 
 @query("top_committer_of_repo")
@@ -170,7 +170,7 @@ def _d4(spark, d):
 
 @query("top_file_formats")
 def _d5(spark, d):
-    return flat(coll.top_file_formats(commit_view(spark, d)))
+    return flat(coll.top_file_formats(commit_file_view(spark, d)))
 
 
 # ---- E: logs and text ----------------------------------------------------------------------
@@ -178,6 +178,7 @@ from ..operators import lists as L  # noqa: E402
 from ..operators import logs, text  # noqa: E402
 from ..sources import lists as list_src  # noqa: E402
 from ..sources import text as text_src  # noqa: E402
+from ..sources.tables import read_table  # noqa: E402
 
 LISTING_FRAGMENT = "ITEM"   # E1 on the table folder: names containing "item", any case
 ERROR_NEEDLE = "File does not exist"
@@ -334,7 +335,7 @@ def _f16(spark, d):
 
 @query("fizzbuzz_label")
 def _f17(spark, d):
-    q = spark.read.parquet(f"{d}/lineitem.parquet").select(F.col("l_quantity").cast("bigint").alias("q"))
+    q = read_table(spark, d, "lineitem", "l_quantity").select(F.col("l_quantity").cast("bigint").alias("q"))
     return flat(q.groupBy(L.fizzbuzz_label("q").alias("label")).agg(F.count(F.lit(1)).alias("n")))
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..session import pin_utc
+from .tables import read_table
 
 # Fixed values of the stand-in binding (FIXTURES.md §4): file extensions by part key % 8,
 # event type -> extension / status, geo offsets in minutes by event id % 4.
@@ -57,7 +58,7 @@ def _user(name: Column, date: Column) -> Column:
 
 def _commit_struct(sha: Column, url: Column, author: Column, author_date: Column,
                    committer: Column, committer_date: Column, message: Column,
-                   parents: Column, stats: Column, files: Column) -> list[Column]:
+                   parents: Column, stats: Column, files: Column) -> dict[str, Column]:
     body = F.struct(
         _user(author, author_date).alias("author"),
         _user(committer, committer_date).alias("committer"),
@@ -70,10 +71,13 @@ def _commit_struct(sha: Column, url: Column, author: Column, author_date: Column
     account = lambda n: F.struct(F.lit(None).cast("bigint").alias("id"), n.alias("login"),
                                  F.lit(None).cast("string").alias("avatar_url"),
                                  F.lit("User").alias("type"), F.lit(False).alias("site_admin"))
-    return [F.lit(None).cast("string").alias("_id"), F.base64(sha).alias("node_id"), sha.alias("sha"),
-            url.alias("url"), body.alias("commit"), account(author).alias("author"),
-            account(committer).alias("committer"), parents.alias("parents"), stats.alias("stats"),
-            files.alias("files")]
+    return {"_id": F.lit(None).cast("string"), "node_id": F.base64(sha), "sha": sha, "url": url, "commit": body,
+            "author": account(author), "committer": account(committer), "parents": parents, "stats": stats,
+            "files": files}
+
+
+def _named(cols: dict[str, Column], drop: tuple[str, ...] = ()) -> list[Column]:
+    return [c.alias(n) for n, c in cols.items() if n not in drop]
 
 
 def _file_struct(sha, filename, status, additions, deletions, changes) -> Column:
@@ -90,7 +94,8 @@ def _sha(prefix: str, k: Column) -> Column:
 
 def lineitem_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One file record per ``lineitem`` row: (l_orderkey, file struct)."""
-    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
+                    "l_quantity", "l_extendedprice", "l_returnflag")
     pk = F.col("l_partkey")
     ext = F.element_at(F.array(*[F.lit(e) for e in FILE_EXTENSIONS]), (pk % 8 + 1).cast("int"))
     filename = F.when(pk % 97 == 0, F.lit(None).cast("string")).otherwise(
@@ -105,17 +110,12 @@ def lineitem_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return li.select("l_orderkey", _file_struct(fsha, filename, status, adds, dels, adds + dels).alias("file"))
 
 
-def commit_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Batch commits: one per ``orders`` row, files from its ``lineitem`` rows (§4.1)."""
-    pin_utc(spark)
-    o = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_custkey", "o_orderdate")
-    files = (lineitem_files(spark, sf_dir)
-             .groupBy("l_orderkey")
-             # files ordered by file sha: the struct's first field
-             .agg(F.sort_array(F.collect_list("file")).alias("files"),
-                  F.sum("file.changes").alias("_tot"), F.sum("file.additions").alias("_add"),
-                  F.sum("file.deletions").alias("_del")))
-    j = o.join(files, o.o_orderkey == files.l_orderkey, "left")
+def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate")
+
+
+def _order_commit(stats: Column, files: Column) -> dict[str, Column]:
+    """The commit columns of one ``orders`` row (FIXTURES.md §4.1), with the given stats/files."""
     k = F.col("o_orderkey")
     sha = _sha("c", k)
     owner = F.concat(F.lit("own"), _str(k % 37 + 20))
@@ -131,13 +131,39 @@ def commit_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     p2 = F.when(k % 17 == 0, k - 814)
     parents = F.transform(F.filter(F.array(p1, p2), lambda p: p >= 0),
                           lambda p: F.struct(_sha("c", p).alias("sha")))
+    return _commit_struct(sha, url, author, adate, committer, cdate, message, parents, stats, files)
+
+
+def commit_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batch commits: one per ``orders`` row, files from its ``lineitem`` rows (§4.1)."""
+    pin_utc(spark)
+    o = _orders(spark, sf_dir)
+    files = (lineitem_files(spark, sf_dir)
+             .groupBy("l_orderkey")
+             # files ordered by file sha: the struct's first field
+             .agg(F.sort_array(F.collect_list("file")).alias("files"),
+                  F.sum("file.changes").alias("_tot"), F.sum("file.additions").alias("_add"),
+                  F.sum("file.deletions").alias("_del")))
+    j = o.join(files, o.o_orderkey == files.l_orderkey, "left")
+    k = F.col("o_orderkey")
     stats = F.when(k % 10 != 3, F.struct(
         F.coalesce(F.col("_tot"), F.lit(0)).cast("bigint").alias("total"),
         F.coalesce(F.col("_add"), F.lit(0)).cast("bigint").alias("additions"),
         F.coalesce(F.col("_del"), F.lit(0)).cast("bigint").alias("deletions")))
     file_list = F.coalesce(F.col("files"), F.array().cast("array<" + schemas.FILE.simpleString() + ">"))
-    return j.select(*_commit_struct(sha, url, author, adate, committer, cdate, message, parents,
-                                    stats, file_list))
+    return j.select(*_named(_order_commit(stats, file_list)))
+
+
+def commit_file_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per committed file: the commit columns (without ``stats``/``files``) plus ``file``.
+
+    Equal to exploding ``commit_view``'s ``files``, but built as a plain join of ``lineitem`` with
+    its order, so file-level analytics skip gathering and re-exploding per-commit arrays."""
+    pin_utc(spark)
+    o = _orders(spark, sf_dir)
+    f = lineitem_files(spark, sf_dir)
+    j = f.join(o, f.l_orderkey == o.o_orderkey)
+    return j.select(*_named(_order_commit(F.lit(None), F.lit(None)), drop=("stats", "files")), "file")
 
 
 def _event_commit_columns(ev: DataFrame) -> DataFrame:
@@ -163,14 +189,15 @@ def _event_commit_columns(ev: DataFrame) -> DataFrame:
     fsha = _sha("f", k)
     files = F.array(_file_struct(fsha, filename, status, F.lit(0).cast("bigint"), amount, amount))
     ts = F.col("ts").cast("timestamp")
-    return ev.select(*_commit_struct(sha, url, committer, ts, committer, ts, F.concat(F.lit("event "), _str(k)),
-                                     F.array().cast("array<struct<sha:string>>"), stats, files))
+    return ev.select(*_named(_commit_struct(sha, url, committer, ts, committer, ts,
+                                            F.concat(F.lit("event "), _str(k)),
+                                            F.array().cast("array<struct<sha:string>>"), stats, files)))
 
 
 def _events(spark: SparkSession, sf_dir: str, stream: bool, max_files_per_trigger: int | None = None) -> DataFrame:
     pin_utc(spark)
     if not stream:
-        return spark.read.parquet(f"{sf_dir}/events.parquet")
+        return read_table(spark, sf_dir, "events")
     ev_schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
     r = spark.readStream.schema(ev_schema).option("pathGlobFilter", "events.parquet")
     if max_files_per_trigger:

@@ -11,9 +11,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .tables import read_table
+
 
 def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
+                    "l_quantity", "l_extendedprice", "l_linestatus")
     key = F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in ("l_orderkey", "l_partkey", "l_suppkey",
                                                                        "l_linenumber")],
                             F.round(F.col("l_extendedprice") * 100).cast("bigint").cast("string")))

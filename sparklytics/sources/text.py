@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import pin_utc
+from .tables import read_table
 
 
 def read_lines(spark: SparkSession, path: str, **options) -> DataFrame:
@@ -36,7 +37,7 @@ def _client(uid):
 def access_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One Common-Log-Format line per event: (line_no, value)."""
     pin_utc(spark)
-    ev = spark.read.parquet(f"{sf_dir}/events.parquet")
+    ev = read_table(spark, sf_dir, "events")
     uid, et = F.col("user_id"), F.col("event_type")
     method = F.when(et.isin("signup", "purchase"), F.lit("POST")).otherwise(F.lit("GET"))
     size = F.when(F.col("event_id") % 23 == 0, F.lit("-")).otherwise(
@@ -51,7 +52,7 @@ def access_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def error_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apache-style error lines for the ``error`` events: (line_no, value)."""
     pin_utc(spark)
-    ev = spark.read.parquet(f"{sf_dir}/events.parquet").filter(F.col("event_type") == "error")
+    ev = read_table(spark, sf_dir, "events").filter(F.col("event_type") == "error")
     k = F.col("event_id")
     msg = F.when(k % 2 == 0, F.concat(F.lit("File does not exist: /var/www/e/"), k.cast("string"))) \
         .otherwise(F.concat(F.lit("Invalid method in request "), k.cast("string")))
@@ -62,4 +63,4 @@ def error_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def book_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ``documents`` table as a book: (doc_id, text), chapters in ``doc_id`` order."""
-    return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    return read_table(spark, sf_dir, "documents", "doc_id", "text")

@@ -210,3 +210,13 @@ def test_checkpoint_dir_comes_from_the_session(spark):
     from sparklytics.session import checkpoint_dir
     d = checkpoint_dir(spark)
     assert d and d == spark.sparkContext.getCheckpointDir()
+
+
+def test_flat_file_view_equals_exploded_commit_view(spark):
+    from sparklytics.functions.fields import file_rows
+    from sparklytics.sources.commits import commit_file_view, commit_view
+    d = "/root/testdata/sf0.001"
+    cols = ["sha", "url", F.col("commit.committer.date").alias("d"), F.col("commit.author.name").alias("a"), "file"]
+    a = file_rows(commit_view(spark, d)).select(*cols)
+    b = commit_file_view(spark, d).select(*cols)
+    assert a.count() == b.count() and a.exceptAll(b).count() == 0
