@@ -22,7 +22,7 @@ NOTES = {
     "branch_points": "one scan, no join: presence and parent-edge rows grouped by sha; distinct count shuffles by (sha, child), then partial counts per sha",
     "fork_points": "explode parents, equi-join on sha (sort-merge at scale, AQE splits skewed partitions), distinct",
     "commit_count": "partial count per task, one row per task to the final count",
-    "file_extension_counts": "explode file names, partial aggregate",
+    "file_extension_counts": "flat file rows (no per-commit arrays), partial aggregate",
     "author_rank": "aggregate, range partition + checkpoint, per-partition offsets (one row per partition) broadcast",
     "committer_stats_totals": "`isin` before the shuffle, partial sums",
     "exclusive_owners_or_authors": "one aggregation over the union of both roles (no full outer join)",
@@ -34,10 +34,10 @@ NOTES = {
     "md5_long_id": "map-only expression",
     "developer_repo_graph": "one scan: distinct pairs, each pair exploded to its two ends, one degree aggregate",
     "avg_additions": "global partial aggregate",
-    "peak_js_hour": "aggregate then top-1 (TakeOrderedAndProject)",
+    "peak_js_hour": "flat file rows, aggregate, then top-1 (TakeOrderedAndProject)",
     "top_committer_of_repo": "aggregate then top-1",
     "commits_per_repo_in_year": "range predicate on the timestamp (reaches a parquet scan), partial aggregate",
-    "top_file_formats": "aggregate then top-5",
+    "top_file_formats": "flat file rows, aggregate, then top-5",
     "find_files_by_name": "file listing only; contents never read",
     "lines_containing": "map-only filter",
     "first_quoted_requests": "filter then top-3 by line order (each task keeps 3)",
@@ -85,6 +85,8 @@ def main():
              f"Physical plans of the catalogue at `{os.path.basename(sf_dir)}` (AQE off, so these are the static plans;",
              "broadcast joins here become sort-merge joins once inputs exceed the broadcast threshold).",
              "Generated by `tools/plan_report.py`. `*_replay` keys run the same functions through Structured Streaming.",
+             "RoundRobinPartitioning exchanges are `read_table` spreading a single-row-group scan over the cores;",
+             "on tables with enough splits they are absent.",
              "", "| key | physical shape | why it holds at scale |", "| --- | --- | --- |"]
     for name, fn in QUERIES.items():
         if name.endswith("_replay"):
