@@ -126,13 +126,6 @@ def weekly_java_changes_by_continent(commits: DataFrame, geo: DataFrame, before:
     return w.filter(F.col("amount") > 0).select(F.col("window.start").alias("week_start"), "continent", "amount")
 
 
-def _status_events(commits: DataFrame) -> DataFrame:
-    f = _files(commits, fields.full_name("url").alias("repository"), F.col(TS).alias("ts"))
-    return f.filter(F.col("f.filename").isNotNull() & F.col("f.status").isin("added", "removed")).select(
-        "repository", F.col("f.filename").alias("filename"), "ts",
-        (F.col("f.status") == "removed").alias("removed"))
-
-
 _UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
 
 
@@ -145,58 +138,49 @@ def interval_seconds(text: str) -> int:
     return total
 
 
-def removals_with_last_addition(commits: DataFrame, within: str = "1 day") -> DataFrame:
-    """Every removal event with the latest addition of the same (repository, filename) that is
-    strictly earlier and at most one horizon bucket back (``last_add``, null if none).
+def added_then_removed(commits: DataFrame, within: str = "1 day", watermark: str | None = "0 seconds",
+                       dedupe: str = "global") -> DataFrame:
+    """(repository, filename) of files removed less than ``within`` (H) after being added
+    (strictly later, D16), one row per pair of names.  Static or streaming input.
 
-    Time is cut into buckets as long as the horizon: the latest addition is found by a window per
-    (file, bucket), and the first rows of a bucket look at the previous bucket's last addition
-    (a small aggregate).  A hot file is thus split by time, never sorted in one task.
-    """
-    horizon = interval_seconds(within)
-    ev = _status_events(commits)
-    key = ["repository", "filename"]
-    ev = ev.withColumn("_b", F.floor(F.unix_micros("ts") / F.lit(horizon * 1_000_000)))
-    # removals sort before additions at the same instant: an addition must be strictly earlier
-    order = [F.col("ts"), F.col("removed").desc()]
-    w = Window.partitionBy(*key, "_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    ev = ev.withColumn("_last_add", F.max(F.when(~F.col("removed"), F.col("ts"))).over(w))
-    prev_last = (ev.filter(~F.col("removed")).groupBy(*key, "_b").agg(F.max("ts").alias("_prev_add"))
-                 .withColumn("_b", F.col("_b") + 1))
-    rem = ev.filter(F.col("removed")).join(prev_last, key + ["_b"], "left")
-    return rem.select(*key, "ts", F.coalesce(F.col("_last_add"), F.col("_prev_add")).alias("last_add"))
-
-
-def added_then_removed(commits: DataFrame, within: str = "1 day") -> DataFrame:
-    """C9 on static data: (repository, filename) of files removed less than ``within`` after being
-    added (strictly later, D16), one row per pair of names.
-
-    A removal qualifies iff the latest addition strictly before it is within the horizon, so no
-    add x remove pairs are built (see ``removals_with_last_addition``).
+    No add x remove pairs are formed.  Every qualifying pair has its addition in the first half of
+    exactly one sliding window of length 2H and slide H (the one starting at the addition's
+    H-bucket), so it suffices to check, per (file, window), with four conditional min/max
+    aggregates (partial aggregation: a hot file is reduced map-side):
+
+    * within the first half: the earliest addition precedes the latest removal;
+    * across the halves: the earliest removal of the second half comes less than H after the
+      latest addition of the first half.
+
+    On a stream the windows are emitted once the watermark passes them (append mode) and names
+    are deduplicated: ``dedupe="global"`` keeps the result's keys as state, ``"watermark"`` only
+    drops repeats within the watermark delay.
     """
-    horizon_us = interval_seconds(within) * 1_000_000
-    rem = removals_with_last_addition(commits, within)
-    hit = rem.filter(F.col("last_add").isNotNull()
-                     & (F.unix_micros("ts") - F.unix_micros("last_add") < F.lit(horizon_us)))
-    return hit.select("repository", "filename").distinct()
+    h = interval_seconds(within)
+    h_us = F.lit(h * 1_000_000)
+    f = _files(commits, fields.full_name("url").alias("repository"), F.col(TS).alias("ts"))
+    f = f.select("repository", F.col("f.filename").alias("filename"), F.col("f.status").alias("status"), "ts")
+    if watermark is not None:  # before the status filter, so every commit moves event time on
+        f = f.withWatermark("ts", watermark)
+    ev = f.filter(F.col("filename").isNotNull() & F.col("status").isin("added", "removed"))
+    ev = ev.select("repository", "filename", "ts", (F.col("status") == "removed").alias("removed"),
+                   F.window("ts", f"{2 * h} seconds", f"{h} seconds").alias("w"))
+    us = F.unix_micros("ts")
+    first = us < F.unix_micros(F.col("w.start")) + h_us
+    add, rem = ~F.col("removed"), F.col("removed")
+    per = ev.groupBy("repository", "filename", "w").agg(
+        F.min(F.when(add & first, us)).alias("a_min"), F.max(F.when(add & first, us)).alias("a_max"),
+        F.max(F.when(rem & first, us)).alias("r_max"), F.min(F.when(rem & ~first, us)).alias("r_min"))
+    hit = per.filter((F.col("a_min") < F.col("r_max")) | (F.col("r_min") < F.col("a_max") + h_us))
+    names = hit.select("repository", "filename", F.col("w.end").alias("_t"))
+    if commits.isStreaming:
+        if dedupe == "watermark":
+            return names.dropDuplicatesWithinWatermark(["repository", "filename"]).select("repository", "filename")
+        return names.dropDuplicates(["repository", "filename"]).select("repository", "filename")
+    return names.select("repository", "filename").distinct()
 
 
 def added_then_removed_stream(commits: DataFrame, within: str = "1 day", watermark: str = "0 seconds",
                               dedupe: str = "global") -> DataFrame:
-    """C9 on a stream: interval self-join of additions and removals on (repository, filename) with
-    ``added < removed < added + within``; join state is bounded by the watermark plus the horizon.
-
-    ``dedupe="global"`` keeps one row per (repository, filename) forever (state = the result's
-    keys); ``"watermark"`` only drops repeats inside the watermark delay (bounded state)."""
-    ev = _status_events(commits).withWatermark("ts", watermark)
-    a = ev.filter(~F.col("removed")).select(F.col("repository").alias("a_repo"), F.col("filename").alias("a_file"),
-                                             F.col("ts").alias("a_ts"))
-    r = ev.filter(F.col("removed")).select("repository", "filename", "ts")
-    j = r.join(a, (F.col("repository") == F.col("a_repo")) & (F.col("filename") == F.col("a_file"))
-               & (F.col("ts") > F.col("a_ts")) & (F.col("ts") < F.col("a_ts") + F.expr(f"INTERVAL {within}")))
-    j = j.select("repository", "filename", "ts")
-    if dedupe == "watermark":
-        j = j.dropDuplicatesWithinWatermark(["repository", "filename"])
-    else:
-        j = j.dropDuplicates(["repository", "filename"])
-    return j.select("repository", "filename")
+    """C9 on a stream (same plan as ``added_then_removed``; kept as the streaming entry point)."""
+    return added_then_removed(commits, within, watermark, dedupe)

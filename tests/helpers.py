@@ -38,3 +38,23 @@ def commit(sha, *, owner="o", repo="r", author="a", committer=None, date="2019-0
 
 def commits_df(spark, rows):
     return spark.createDataFrame(rows, schemas.COMMIT)
+
+
+def status_events(commits):
+    """Brute-force helper: (repository, filename, ts, removed) for every added/removed file."""
+    from pyspark.sql import functions as F
+    f = commits.select(F.regexp_extract("url", r"/repos/([^/]+/[^/]+)/commits", 1).alias("repository"),
+                       F.col("commit.committer.date").alias("ts"), F.explode("files").alias("f"))
+    return f.filter(F.col("f.filename").isNotNull() & F.col("f.status").isin("added", "removed")).select(
+        "repository", F.col("f.filename").alias("filename"), "ts", (F.col("f.status") == "removed").alias("removed"))
+
+
+def added_removed_pairs(commits, within):
+    """Brute force C9: all (add, remove) pairs, then distinct names (tests only, small inputs)."""
+    from pyspark.sql import functions as F
+    e = status_events(commits)
+    a = e.filter(~F.col("removed")).select(F.col("repository").alias("r"), F.col("filename").alias("f"),
+                                           F.col("ts").alias("ta"))
+    r = e.filter(F.col("removed"))
+    return r.join(a, (r.repository == a.r) & (r.filename == a.f) & (r.ts > a.ta)
+                  & (r.ts < a.ta + F.expr(f"INTERVAL {within}"))).select("repository", "filename").distinct()

@@ -43,21 +43,15 @@ def test_hot_committer_is_split(spark, fixed_partitions):
     assert _max_share(ours, "prev_date") < 0.08
 
 
-def test_hot_file_is_split_and_exact(spark, fixed_partitions):
+def test_hot_file_is_reduced_map_side_and_exact(spark, fixed_partitions):
     from sparklytics.sources.commits import events_to_commits
     from sparklytics.streaming import queries as sq
+    from .helpers import added_removed_pairs
     ev = spark.read.parquet(f"{SF}/events.parquet")
     # every file event of the month on one (repository, filename): the hottest possible key
     hot = events_to_commits(ev).withColumn("url", F.lit("https://api.github.com/repos/o/r/commits/x")) \
         .withColumn("files", F.transform("files", lambda f: f.withField("filename", F.lit("hot.py"))))
-    status = sq._status_events(hot)
-    naive = status.withColumn("prev", F.lag("ts").over(Window.partitionBy("repository", "filename").orderBy("ts")))
-    assert _max_share(naive, "prev") > 0.9
-    assert _max_share(sq.removals_with_last_addition(hot), "last_add") < 0.15
-    # exact under skew: same answer as the pairwise definition, for a short and a long horizon
+    plan = sq.added_then_removed(hot)._jdf.queryExecution().executedPlan().toString()
+    assert "partial_min" in plan and "Window" not in plan.replace("window", "")
     for within in ("1 hour", "2 days"):
-        a = status.filter(~F.col("removed")).select(F.col("ts").alias("ta"))
-        r = status.filter(F.col("removed"))
-        pairs = r.join(a, (r.ts > a.ta) & (r.ts < a.ta + F.expr(f"INTERVAL {within}"))).limit(1).count()
-        got = sq.added_then_removed(hot, within).count()
-        assert got == min(pairs, 1)
+        assert sq.added_then_removed(hot, within).count() == added_removed_pairs(hot, within).count()

@@ -90,8 +90,7 @@ def test_stream_equals_batch(spark):
     streamed = replay(spark, ev, lambda s: sq.weekly_java_changes_by_continent(events_to_commits(s), events_to_geo(s)),
                       n_batches=5)
     assert rows(streamed) == rows(sq.weekly_java_changes_by_continent(static, events_to_geo(ev)))
-    streamed = replay(spark, ev, lambda s: sq.added_then_removed_stream(events_to_commits(s)), n_batches=5,
-                      sentinel=False)
+    streamed = replay(spark, ev, lambda s: sq.added_then_removed_stream(events_to_commits(s)), n_batches=5)
     assert rows(streamed) == rows(sq.added_then_removed(static))
 
 
@@ -109,15 +108,9 @@ def test_order_independence(spark):
         assert rows(fn(c.repartition(1))) == rows(fn(c.repartition(7, F.rand(3))))
 
 
-def test_c9_longer_horizon_matches_pairs(spark):
+def test_c9_horizons_match_pairs(spark):
     from sparklytics.sources.commits import events_to_commits
-    ev = _events(spark, "/root/testdata/sf0.01")
-    c = events_to_commits(ev)
-    for within in ("3 days", "90 minutes", "1 day"):
-        e = sq._status_events(c)
-        a = e.filter(~F.col("removed")).select(F.col("repository").alias("r"), F.col("filename").alias("f"),
-                                               F.col("ts").alias("ta"))
-        r = e.filter(F.col("removed"))
-        brute = r.join(a, (r.repository == a.r) & (r.filename == a.f) & (r.ts > a.ta)
-                       & (r.ts < a.ta + F.expr(f"INTERVAL {within}"))).select("repository", "filename").distinct()
-        assert rows(sq.added_then_removed(c, within)) == rows(brute), within
+    from .helpers import added_removed_pairs
+    c = events_to_commits(_events(spark, "/root/testdata/sf0.01"))
+    for within in ("3 days", "90 minutes", "1 day", "7 seconds"):
+        assert rows(sq.added_then_removed(c, within)) == rows(added_removed_pairs(c, within)), within

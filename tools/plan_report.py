@@ -52,8 +52,8 @@ NOTES = {
     "passing_students": "per-student partial aggregate, then a global count",
     "first_head_sums_tail": "row-local predicate, global min_by",
     "fizzbuzz_label": "map-side CASE, partial aggregate",
-    "stream_added_then_removed": "existence check per (file, horizon bucket) window plus previous-bucket aggregate; no add x remove pairs",
-    "stream_added_then_removed_1h": "as above with 1-hour buckets",
+    "stream_added_then_removed": "sliding windows (2H, slide H) per file with four conditional min/max aggregates (partial, map-side); no add x remove pairs, same plan on a stream",
+    "stream_added_then_removed_1h": "as above with H = 1 hour",
     "stream_weekly_java_changes_by_continent": "equi-join on sha with a time-range condition, weekly window aggregate",
     "stream_daily_repo_summary": "two chained aggregates: (day, repo, committer) then (day, repo)",
 }
