@@ -6,6 +6,8 @@ An url that does not have that shape gives null (never the url itself).
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -69,3 +71,18 @@ def file_rows(commits: DataFrame) -> DataFrame:
         return commits
     keep = [c for c in commits.columns if c not in ("files",)]
     return commits.select(*keep, F.explode("files").alias("file"))
+
+
+# Above this many names a name filter becomes a broadcast semi join (the list is a driver-side
+# Python list, so its size is known before planning: a proven bound).
+ISIN_LIMIT = 10_000
+
+
+def keep_names(df: DataFrame, column: str, names: Sequence[str]) -> DataFrame:
+    """Rows whose ``column`` is in ``names``: an ``isin`` that reaches the scan, or for long lists a
+    broadcast left-semi join."""
+    names = list(dict.fromkeys(names))
+    if len(names) <= ISIN_LIMIT:
+        return df.filter(F.col(column).isin(names))
+    wanted = df.sparkSession.createDataFrame([(n,) for n in names], f"`{column}` string")
+    return df.join(F.broadcast(wanted), column, "left_semi")

@@ -11,26 +11,14 @@ from pyspark.sql import functions as F
 from ..functions import fields
 from .ordering import previous_in_group
 
-# Above this many names the filter becomes a broadcast semi join (the list is a driver-side
-# Python list, so its size is known before planning).
-ISIN_LIMIT = 10_000
-
 _CDATE = "commit.committer.date"
 _CNAME = "commit.committer.name"
 
 
-def _name_filter(df: DataFrame, column: str, names: Sequence[str]) -> DataFrame:
-    names = list(dict.fromkeys(names))
-    if len(names) <= ISIN_LIMIT:
-        return df.filter(F.col(column).isin(names))
-    wanted = df.sparkSession.createDataFrame([(n,) for n in names], f"`{column}` string")
-    return df.join(F.broadcast(wanted), column, "left_semi")
-
-
 def commits_by_authors(commits: DataFrame, authors: Sequence[str]) -> DataFrame:
     """A1: (committer, sha, timestamp) of commits whose committer is listed, oldest first."""
     rows = commits.select(F.col(_CNAME).alias("committer"), "sha", F.col(_CDATE).alias("timestamp"))
-    return _name_filter(rows, "committer", authors).orderBy("timestamp", "sha")
+    return fields.keep_names(rows, "committer", authors).orderBy("timestamp", "sha")
 
 
 def weekly_commits_per_repo(commits: DataFrame, iso_year: bool = False, use_full_name: bool = False) -> DataFrame:

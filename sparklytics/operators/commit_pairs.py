@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fields
-from .commit_frames import _name_filter
 from .ordering import global_rank
 
 _CNAME = "commit.committer.name"
@@ -45,7 +44,7 @@ def _stats_sums(prefix: str = "") -> list:
 def committer_stats_totals(commits: DataFrame, users: Sequence[str]) -> DataFrame:
     """(committer, total, additions, deletions) for listed committers; absent stats = 0."""
     rows = commits.select(F.col(_CNAME).alias("committer"), "stats")
-    return _name_filter(rows, "committer", users).groupBy("committer").agg(*_stats_sums())
+    return fields.keep_names(rows, "committer", users).groupBy("committer").agg(*_stats_sums())
 
 
 def exclusive_owners_or_authors(commits: DataFrame) -> DataFrame:
