@@ -28,12 +28,16 @@ GEO_OFFSET_MINUTES = [-60, 30, 31, 0]
 API_PREFIX = "https://api.github.com/repos/"
 
 
-def read_commits(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """Commit JSON with the explicit schema of §1.2 (no inference pass over the data)."""
+def read_commits(spark: SparkSession, path: str, multi_line: bool = False, infer_schema: bool = False) -> DataFrame:
+    """Commit JSON with the explicit schema of §1.2.
+
+    ``infer_schema=True`` lets Spark infer the schema instead (an extra full pass over the data,
+    and types follow the data: avoid at scale)."""
     pin_utc(spark)
-    return (spark.read.schema(schemas.COMMIT)
-            .option("multiLine", multi_line)
+    r = spark.read if infer_schema else spark.read.schema(schemas.COMMIT)
+    return (r.option("multiLine", multi_line)
             .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss[.SSS]XXX")
+            .option("inferTimestamp", True)
             .json(path))
 
 

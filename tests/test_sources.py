@@ -69,3 +69,11 @@ def test_stream_job_on_commit_json(spark, tmp_path):
     q.awaitTermination()
     got = sorted(tuple(r) for r in spark.read.parquet(str(tmp_path / "out")).collect())
     assert got == [("27-01-2019", 1), ("28-01-2019", 2)]
+
+
+def test_read_commits_with_inferred_schema(spark, tmp_path):
+    (tmp_path / "multi.json").write_text(json.dumps(DOCS, indent=2))
+    df = read_commits(spark, str(tmp_path / "multi.json"), multi_line=True, infer_schema=True)
+    assert dict(df.select("commit.committer.date").dtypes)["date"] == "timestamp"
+    assert sorted(tuple(r) for r in frames.weekly_commits_per_repo(df).collect()) == [
+        ("rep", 4, 2019, 1), ("rep", 5, 2019, 2)]
