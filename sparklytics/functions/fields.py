@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .. import constants as K
+
 _URL_RE = r"/repos/([^/]+/[^/]+)/commits(/|$)"
 
 
@@ -44,7 +46,7 @@ def last_dot_part(filename: Column) -> Column:
 def extension_or_unknown(filename: Column) -> Column:
     """Extension of the base name with trailing dots removed; ``unknown`` without one."""
     base = F.regexp_replace(F.substring_index(filename, "/", -1), r"\.+$", "")
-    return F.when(base.contains("."), F.substring_index(base, ".", -1)).otherwise(F.lit("unknown"))
+    return F.when(base.contains("."), F.substring_index(base, ".", -1)).otherwise(F.lit(K.UNKNOWN_EXTENSION))
 
 
 def stat(field: str, stats: Column | str = "stats") -> Column:

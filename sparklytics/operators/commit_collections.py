@@ -7,6 +7,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .. import constants as K
 from ..functions import fields
 
 _CDATE = "commit.committer.date"
@@ -24,7 +25,7 @@ def peak_js_hour(commits: DataFrame) -> DataFrame:
     """(hour, files): the UTC hour of day in which most ``.js`` files were changed."""
     f = fields.file_rows(commits).select(F.hour(F.col(_CDATE)).alias("hour"),
                                          F.col("file.filename").alias("filename"))
-    per = f.filter(F.col("filename").endswith(".js")).groupBy("hour").agg(F.count(F.lit(1)).alias("files"))
+    per = f.filter(F.col("filename").endswith(K.JS_SUFFIX)).groupBy("hour").agg(F.count(F.lit(1)).alias("files"))
     return per.orderBy(F.col("files").desc(), F.col("hour").asc()).limit(1)
 
 
@@ -48,7 +49,7 @@ def commits_per_repo_in_year(commits: DataFrame, year: int) -> DataFrame:
     return r.groupBy(fields.full_name("url").alias("repository")).agg(F.count(F.lit(1)).alias("commits"))
 
 
-def top_file_formats(commits: DataFrame, k: int = 5) -> DataFrame:
+def top_file_formats(commits: DataFrame, k: int = K.TOP_FORMATS) -> DataFrame:
     """The ``k`` most frequent file formats (text after the last '.'), most frequent first."""
     names = fields.file_rows(commits).select(F.col("file.filename").alias("filename")) \
         .filter(F.col("filename").isNotNull())

@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .. import constants as K
 from ..functions import fields
 from .ordering import global_rank
 
@@ -63,8 +64,8 @@ def exclusive_owners_or_authors(commits: DataFrame) -> DataFrame:
 def longest_revert_streak(commits: DataFrame) -> DataFrame:
     """(author, longest, how_often) over messages starting with ``Revert``."""
     msg = F.col("commit.message")
-    streaks = (commits.filter(msg.startswith("Revert"))
-               .select(F.col(_ANAME).alias("author"), F.regexp_count(msg, F.lit("Revert")).alias("streak")))
+    streaks = (commits.filter(msg.startswith(K.REVERT_WORD))
+               .select(F.col(_ANAME).alias("author"), F.regexp_count(msg, F.lit(K.REVERT_WORD)).alias("streak")))
     per = streaks.groupBy("author", "streak").agg(F.count(F.lit(1)).alias("n"))
     best = per.groupBy("author").agg(F.max(F.struct("streak", "n")).alias("b"))
     return best.select("author", F.col("b.streak").cast("bigint").alias("longest"),

@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .. import constants as K
+
 # A JSON scalar: string (with escapes), number, true, false or null.  Brackets and commas
 # between them only carry nesting, so the scalars in text order are the deep-flattened list.
 JSON_SCALAR_RE = r'("(?:[^"\\]|\\.)*"|-?[0-9]+(?:\.[0-9]+)?(?:[eE][-+]?[0-9]+)?|true|false|null)'
@@ -114,12 +116,12 @@ def list_avg_first_n_above(xs, x: int, n: int) -> Column:
     return F.when(F.size(s) > 0, F.floor(list_sum(s) / F.size(s)).cast("bigint"))
 
 
-def list_sum_first_n_above(xs, n: int = 10, x: int = 25) -> Column:
+def list_sum_first_n_above(xs, n: int = K.FIRST_ABOVE_N, x: int = K.FIRST_ABOVE_X) -> Column:
     """F14 on an array column."""
     return list_sum(F.slice(F.filter(_c(xs), lambda v: v > x), 1, n))
 
 
-def sum_first_n_above(items: DataFrame, n: int = 10, x: int = 25, key: str = "list_id", pos: str = "pos",
+def sum_first_n_above(items: DataFrame, n: int = K.FIRST_ABOVE_N, x: int = K.FIRST_ABOVE_X, key: str = "list_id", pos: str = "pos",
                       value: str = "value") -> DataFrame:
     """F14 grouped form: per list, the sum of its first ``n`` values greater than ``x``.
 
@@ -131,7 +133,7 @@ def sum_first_n_above(items: DataFrame, n: int = 10, x: int = 25, key: str = "li
 
 
 def passing_students(grades: DataFrame, student: str = "student_id", grade: str = "grade",
-                     min_avg: float = 5.75, min_grade: int = 4) -> DataFrame:
+                     min_avg: float = K.PASS_AVERAGE, min_grade: int = K.PASS_MIN_GRADE) -> DataFrame:
     """number of students whose average is >= ``min_avg`` and no grade below ``min_grade``.
     A student without grades does not pass (D23)."""
     per = grades.groupBy(student).agg(F.sum(grade).alias("_s"), F.count(grade).alias("_n"),
@@ -150,6 +152,7 @@ def first_head_sums_tail(lists: DataFrame, xs: str = "xs", key: str = "list_id")
 def fizzbuzz_label(n) -> Column:
     """FizzBuzz / Buzz / Fizz / the number as text."""
     n = _c(n)
-    return (F.when((n % 3 == 0) & (n % 5 == 0), F.lit("FizzBuzz"))
-            .when(n % 5 == 0, F.lit("Buzz")).when(n % 3 == 0, F.lit("Fizz"))
+    fz, bz = K.FIZZ_DIVISOR, K.BUZZ_DIVISOR
+    return (F.when((n % fz == 0) & (n % bz == 0), F.lit(K.FIZZBUZZ))
+            .when(n % bz == 0, F.lit(K.BUZZ)).when(n % fz == 0, F.lit(K.FIZZ))
             .otherwise(n.cast("string")))

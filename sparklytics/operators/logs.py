@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import constants as K
 from ..functions.logparse import parse_access_log, size_bytes
 from ..sources.files import list_files
 
@@ -17,12 +18,12 @@ def find_files_by_name(spark: SparkSession, root: str, name_contains: str = "_lo
     return list_files(spark, root, name_contains)
 
 
-def lines_containing(lines: DataFrame, needle: str = "File does not exist", value: str = "value") -> DataFrame:
+def lines_containing(lines: DataFrame, needle: str = K.MISSING_FILE_TEXT, value: str = "value") -> DataFrame:
     """Lines that contain ``needle`` literally."""
     return lines.filter(F.col(value).contains(needle))
 
 
-def first_quoted_requests(lines: DataFrame, order: str, word: str = "GET", n: int = 3,
+def first_quoted_requests(lines: DataFrame, order: str, word: str = K.REQUEST_WORD, n: int = K.FIRST_REQUESTS,
                           value: str = "value") -> DataFrame:
     """The first ``n`` lines containing ``word``, reduced to the text between the first and
     the last double quote (quotes dropped)."""
@@ -32,7 +33,7 @@ def first_quoted_requests(lines: DataFrame, order: str, word: str = "GET", n: in
 
 def post_requests(lines: DataFrame, value: str = "value") -> DataFrame:
     """(time, client, path, status, size) of POST requests (method field, D19)."""
-    p = parse_access_log(lines, value).filter(F.col("method") == "POST")
+    p = parse_access_log(lines, value).filter(F.col("method") == K.POST_METHOD)
     return p.select("time", "client", "path", F.col("status").cast("int").alias("status"),
                     size_bytes(F.col("size")).alias("size"))
 

@@ -9,12 +9,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .. import constants as K
+
 WORD_RE = r"(\p{L}+)"
-LONE_I_RE = r"(?<![\p{L}\p{N}\p{M}_])i(?![\p{L}\p{N}\p{M}_])"
+LONE_I_RE = r"(?<![\p{L}\p{N}\p{M}_])" + K.LONE_LOWER_I + r"(?![\p{L}\p{N}\p{M}_])"
 NEWLINE_RE = r"\r\n|\r|\n"
 
 
-def top_words(docs: DataFrame, k: int = 10, text: str = "text") -> DataFrame:
+def top_words(docs: DataFrame, k: int = K.TOP_WORDS, text: str = "text") -> DataFrame:
     """(n, word) of the ``k`` commonest words, case-folded; ties by word desc.
 
     Counting is a partial + final hash aggregate, so a very common word costs one row per task
@@ -33,7 +35,7 @@ def sentences(docs: DataFrame, order: str, text: str = "text") -> DataFrame:
             .filter(F.col("sentence") != ""))
 
 
-def first_sentences(docs: DataFrame, order: str, n: int = 7, text: str = "text") -> DataFrame:
+def first_sentences(docs: DataFrame, order: str, n: int = K.FIRST_SENTENCES, text: str = "text") -> DataFrame:
     """The first ``n`` sentences of the book in order.
 
     Every document that has a sentence contributes at least one, so the first ``n`` sentences lie
@@ -47,4 +49,4 @@ def first_sentences(docs: DataFrame, order: str, n: int = 7, text: str = "text")
 
 def fix_lowercase_i(docs: DataFrame, text: str = "text") -> DataFrame:
     """Every standalone word ``i`` replaced by ``I`` (D22); documents keep their order column."""
-    return docs.withColumn(text, F.regexp_replace(F.col(text), LONE_I_RE, "I"))
+    return docs.withColumn(text, F.regexp_replace(F.col(text), LONE_I_RE, K.UPPER_I))

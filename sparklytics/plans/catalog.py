@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import constants as K
 from ..operators import commit_collections as coll
 from ..operators import commit_frames as frames
 from ..operators import commit_pairs as pairs
@@ -181,7 +182,7 @@ from ..sources import text as text_src  # noqa: E402
 from ..sources.tables import read_table  # noqa: E402
 
 LISTING_FRAGMENT = "ITEM"   # E1 on the table folder: names containing "item", any case
-ERROR_NEEDLE = "File does not exist"
+ERROR_NEEDLE = K.MISSING_FILE_TEXT
 
 
 @query("find_files_by_name")
@@ -196,7 +197,7 @@ def _e2(spark, d):
 
 @query("first_quoted_requests")
 def _e3(spark, d):
-    return flat(logs.first_quoted_requests(text_src.access_log_lines(spark, d), "line_no", "GET", 3))
+    return flat(logs.first_quoted_requests(text_src.access_log_lines(spark, d), "line_no"))
 
 
 @query("post_requests")
@@ -226,7 +227,7 @@ def _e8(spark, d):
 
 @query("first_sentences")
 def _e9(spark, d):
-    return flat(text.first_sentences(text_src.book_documents(spark, d), "doc_id", 7))
+    return flat(text.first_sentences(text_src.book_documents(spark, d), "doc_id"))
 
 
 @query("fix_lowercase_i")
@@ -320,7 +321,7 @@ def _f13(spark, d):
 def _f14(spark, d):
     items = list_src.order_items(spark, d).select(F.col("supp").alias("list_id"), F.col("item_key").alias("pos"),
                                                   "value")
-    return flat(L.sum_first_n_above(items, 10, 25))
+    return flat(L.sum_first_n_above(items))
 
 
 @query("passing_students")

@@ -11,10 +11,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .. import constants as K
 from ..functions import fields
 
 TS = "commit.committer.date"
-DAY_FMT = "dd-MM-yyyy"
+DAY_FMT = K.DAY_FORMAT
 
 
 def _timed(commits: DataFrame, *cols, watermark: str | None = "0 seconds") -> DataFrame:
@@ -31,12 +32,12 @@ def commit_shas(commits: DataFrame) -> DataFrame:
     return commits.select("sha")
 
 
-def large_additions(commits: DataFrame, min_additions: int = 20) -> DataFrame:
+def large_additions(commits: DataFrame, min_additions: int = K.LARGE_ADDITIONS) -> DataFrame:
     """SHA of commits with at least ``min_additions`` additions."""
     return commits.filter(F.col("stats.additions") >= min_additions).select("sha")
 
 
-def large_deletion_files(commits: DataFrame, min_deletions: int = 30) -> DataFrame:
+def large_deletion_files(commits: DataFrame, min_deletions: int = K.LARGE_DELETIONS) -> DataFrame:
     """Names of files with more than ``min_deletions`` deletions."""
     f = _files(commits)
     return f.filter(F.col("f.filename").isNotNull() & (F.col("f.deletions") > min_deletions)) \
@@ -53,12 +54,12 @@ def _ext_files(commits: DataFrame, exts) -> DataFrame:
                                                     F.col("f.status").alias("status"))
 
 
-def extension_counts(commits: DataFrame, exts=("java", "scala")) -> DataFrame:
+def extension_counts(commits: DataFrame, exts=K.COUNTED_EXTENSIONS) -> DataFrame:
     """Running (extension, count) of files ending in the given extensions (update/complete mode)."""
     return _ext_files(commits, exts).groupBy("extension").agg(F.count(F.lit(1)).alias("count"))
 
 
-def extension_status_counts(commits: DataFrame, exts=("js", "py")) -> DataFrame:
+def extension_status_counts(commits: DataFrame, exts=K.STATUS_EXTENSIONS) -> DataFrame:
     """C4: running (extension, status, count) (D12: keyed by both)."""
     f = _ext_files(commits, exts).filter(F.col("status").isNotNull())
     return f.groupBy("extension", "status").agg(F.count(F.lit(1)).alias("count"))
@@ -70,12 +71,12 @@ def daily_commits(commits: DataFrame, watermark: str = "0 seconds") -> DataFrame
     return w.select(F.date_format("window.start", DAY_FMT).alias("date"), "count")
 
 
-def size_class(total: Column, small_max: int = 20) -> Column:
+def size_class(total: Column, small_max: int = K.SMALL_COMMIT_MAX) -> Column:
     return F.when((total >= 0) & (total <= small_max), F.lit("small")).otherwise(F.lit("large"))
 
 
-def size_class_counts(commits: DataFrame, watermark: str = "0 seconds", length: str = "48 hours",
-                      slide: str = "12 hours") -> DataFrame:
+def size_class_counts(commits: DataFrame, watermark: str = "0 seconds", length: str = K.SIZE_WINDOW,
+                      slide: str = K.SIZE_SLIDE) -> DataFrame:
     """(window_end, size_class, count) over the last ``length`` every ``slide``;
     small = 0..20 total changes, absent stats count as 0."""
     t = _timed(commits, size_class(fields.stat("total")).alias("size_class"), watermark=watermark)
@@ -83,8 +84,8 @@ def size_class_counts(commits: DataFrame, watermark: str = "0 seconds", length:
     return w.select(F.col("window.end").alias("window_end"), "size_class", "count")
 
 
-def daily_repo_summary(commits: DataFrame, watermark: str = "0 seconds", min_commits: int = 20,
-                       max_committers: int = 2) -> DataFrame:
+def daily_repo_summary(commits: DataFrame, watermark: str = "0 seconds", min_commits: int = K.SUMMARY_MIN_COMMITS,
+                       max_committers: int = K.SUMMARY_MAX_COMMITTERS) -> DataFrame:
     """Per owner/repo and UTC day: commits, distinct committers, total changes and the top
     committer(s) (alphabetical, comma-joined); kept when commits > ``min_commits`` and committers
     <= ``max_committers``.  Two chained aggregations (append mode on streams)."""
@@ -105,12 +106,12 @@ def daily_repo_summary(commits: DataFrame, watermark: str = "0 seconds", min_com
 
 def java_changes(commits: DataFrame) -> Column:
     """Sum of ``changes`` over a commit's ``.java`` files (D24: by suffix, not last dot part)."""
-    java = F.filter("files", lambda f: f["filename"].endswith(".java"))
+    java = F.filter("files", lambda f: f["filename"].endswith(K.JAVA_SUFFIX))
     return F.aggregate(java, F.lit(0).cast("bigint"), lambda a, f: a + F.coalesce(f["changes"], F.lit(0)))
 
 
-def weekly_java_changes_by_continent(commits: DataFrame, geo: DataFrame, before: str = "1 hour",
-                                     after: str = "30 minutes", watermark: str = "0 seconds",
+def weekly_java_changes_by_continent(commits: DataFrame, geo: DataFrame, before: str = K.GEO_BEFORE,
+                                     after: str = K.GEO_AFTER, watermark: str = "0 seconds",
                                      geo_watermark: str = "0 seconds") -> DataFrame:
     """Join each commit with its geo event (same sha, geo time within [ts - before, ts + after]),
     then the weekly (epoch-aligned 7-day windows on commit time) sum of java changes per continent, > 0 only.
@@ -138,7 +139,7 @@ def interval_seconds(text: str) -> int:
     return total
 
 
-def added_then_removed(commits: DataFrame, within: str = "1 day", watermark: str | None = "0 seconds",
+def added_then_removed(commits: DataFrame, within: str = K.ADDED_REMOVED_WITHIN, watermark: str | None = "0 seconds",
                        dedupe: str = "global") -> DataFrame:
     """(repository, filename) of files removed less than ``within`` (H) after being added
     (strictly later, D16), one row per pair of names.  Static or streaming input.
@@ -180,7 +181,7 @@ def added_then_removed(commits: DataFrame, within: str = "1 day", watermark: str
     return names.select("repository", "filename").distinct()
 
 
-def added_then_removed_stream(commits: DataFrame, within: str = "1 day", watermark: str = "0 seconds",
+def added_then_removed_stream(commits: DataFrame, within: str = K.ADDED_REMOVED_WITHIN, watermark: str = "0 seconds",
                               dedupe: str = "global") -> DataFrame:
     """C9 on a stream (same plan as ``added_then_removed``; kept as the streaming entry point)."""
     return added_then_removed(commits, within, watermark, dedupe)
