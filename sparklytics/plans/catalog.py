@@ -124,13 +124,13 @@ def _b7(spark, d):
 
 @query("latest_files_per_repo")
 def _b8(spark, d):
-    return flat(pairs.latest_files_per_repo(commit_file_view(spark, d))
+    return flat(pairs.latest_files_per_repo(commit_file_view(spark, d, spread_scan=True))
                 .select("repository", "filename", "sha", "status", "additions", "deletions", "changes"))
 
 
 @query("repo_file_overview")
 def _b9(spark, d):
-    return flat(pairs.repo_file_overview(commit_file_view(spark, d), FOCUS_REPO))
+    return flat(pairs.repo_file_overview(commit_file_view(spark, d, spread_scan=True), FOCUS_REPO))
 
 
 @query("committer_repo_stats")

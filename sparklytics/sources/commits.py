@@ -96,10 +96,10 @@ def _sha(prefix: str, k: Column) -> Column:
     return F.md5(F.concat(F.lit(prefix), _str(k)))
 
 
-def lineitem_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+def lineitem_files(spark: SparkSession, sf_dir: str, spread_scan: bool = False) -> DataFrame:
     """One file record per ``lineitem`` row: (l_orderkey, file struct)."""
     li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
-                    "l_quantity", "l_extendedprice", "l_returnflag")
+                    "l_quantity", "l_extendedprice", "l_returnflag", spread_scan=spread_scan)
     pk = F.col("l_partkey")
     ext = F.element_at(F.array(*[F.lit(e) for e in FILE_EXTENSIONS]), (pk % 8 + 1).cast("int"))
     filename = F.when(pk % 97 == 0, F.lit(None).cast("string")).otherwise(
@@ -158,14 +158,16 @@ def commit_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.select(*_named(_order_commit(stats, file_list)))
 
 
-def commit_file_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+def commit_file_view(spark: SparkSession, sf_dir: str, spread_scan: bool = False) -> DataFrame:
     """One row per committed file: the commit columns (without ``stats``/``files``) plus ``file``.
 
     Equal to exploding ``commit_view``'s ``files``, but built as a plain join of ``lineitem`` with
-    its order, so file-level analytics skip gathering and re-exploding per-commit arrays."""
+    its order, so file-level analytics skip gathering and re-exploding per-commit arrays.
+    ``spread_scan`` is for queries that use whole file records (hashing, sorting) before their
+    first shuffle (see ``sources.tables``)."""
     pin_utc(spark)
     o = _orders(spark, sf_dir)
-    f = lineitem_files(spark, sf_dir)
+    f = lineitem_files(spark, sf_dir, spread_scan)
     j = f.join(o, f.l_orderkey == o.o_orderkey)
     return j.select(*_named(_order_commit(F.lit(None), F.lit(None)), drop=("stats", "files")), "file")
 

@@ -63,4 +63,4 @@ def error_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def book_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ``documents`` table as a book: (doc_id, text), chapters in ``doc_id`` order."""
-    return read_table(spark, sf_dir, "documents", "doc_id", "text")
+    return read_table(spark, sf_dir, "documents", "doc_id", "text", spread_scan=True)

@@ -85,8 +85,8 @@ def main():
              f"Physical plans of the catalogue at `{os.path.basename(sf_dir)}` (AQE off, so these are the static plans;",
              "broadcast joins here become sort-merge joins once inputs exceed the broadcast threshold).",
              "Generated by `tools/plan_report.py`. `*_replay` keys run the same functions through Structured Streaming.",
-             "RoundRobinPartitioning exchanges are `read_table` spreading a single-row-group scan over the cores;",
-             "on tables with enough splits they are absent.",
+             "RoundRobinPartitioning exchanges are `read_table` spreading a single-row-group document scan over the",
+             "cores; on tables with enough splits they are absent.",
              "", "| key | physical shape | why it holds at scale |", "| --- | --- | --- |"]
     for name, fn in QUERIES.items():
         if name.endswith("_replay"):
