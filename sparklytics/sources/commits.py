@@ -41,6 +41,27 @@ def read_commits(spark: SparkSession, path: str, multi_line: bool = False, infer
             .json(path))
 
 
+MONTH_COLUMN = "commit_month"  # partition column of stored commit tables: committer month, yyyy-MM
+
+
+def write_commit_table(commits: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """Store nested commits as parquet partitioned by committer month.
+
+    Rows are range-partitioned on the commit time first, so each writer covers a narrow time
+    span (few files per month) and a very busy month is split across writers; inside a file rows
+    are sorted by sha, which keeps row-group statistics useful for sha lookups."""
+    month = F.date_format(F.col("commit.committer.date"), "yyyy-MM")
+    (commits.withColumn("_t", F.col("commit.committer.date")).repartitionByRange("_t")
+     .withColumn(MONTH_COLUMN, month).sortWithinPartitions(MONTH_COLUMN, "sha").drop("_t")
+     .write.mode(mode).partitionBy(MONTH_COLUMN).parquet(path))
+
+
+def read_commit_table(spark: SparkSession, path: str) -> DataFrame:
+    """A table written by ``write_commit_table`` (the month column comes from the folder names)."""
+    pin_utc(spark)
+    return spark.read.option("basePath", path).parquet(path)
+
+
 def read_commit_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming commit JSON lines from a directory."""
     pin_utc(spark)
