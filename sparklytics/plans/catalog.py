@@ -17,7 +17,15 @@ from ..operators import commit_collections as coll
 from ..operators import commit_frames as frames
 from ..operators import commit_pairs as pairs
 from ..operators import graph
-from ..sources.commits import commit_file_view, commit_view
+from ..operators import lists as L
+from ..operators import logs, text
+from ..sources import lists as list_src
+from ..sources import text as text_src
+from ..sources.commits import (commit_file_view, commit_view, event_commit_view, events_to_commits,
+                               events_to_geo, geo_view)
+from ..sources.tables import read_table
+from ..streaming import queries as sq
+from ..streaming.replay import replay
 from .output import flat
 
 # Fixed parameters of the registered queries.
@@ -175,12 +183,6 @@ def _d5(spark, d):
 
 
 # ---- E: logs and text ----------------------------------------------------------------------
-from ..operators import lists as L  # noqa: E402
-from ..operators import logs, text  # noqa: E402
-from ..sources import lists as list_src  # noqa: E402
-from ..sources import text as text_src  # noqa: E402
-from ..sources.tables import read_table  # noqa: E402
-
 LISTING_FRAGMENT = "ITEM"   # E1 on the table folder: names containing "item", any case
 ERROR_NEEDLE = K.MISSING_FILE_TEXT
 
@@ -341,11 +343,6 @@ def _f17(spark, d):
 
 
 # ---- C: streams (static evaluation of the stream functions; *_replay keys run the stream) ------
-from ..sources.commits import event_commit_view, events_to_commits, events_to_geo, geo_view  # noqa: E402
-from ..streaming import queries as sq  # noqa: E402
-from ..streaming.replay import replay  # noqa: E402
-
-
 def _ec(spark, d):
     return event_commit_view(spark, d)
 
