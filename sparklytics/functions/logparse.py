@@ -10,12 +10,16 @@ def _field(parts: Column, i: int) -> Column:
     return F.get(parts, i - 1)  # 1-based like awk; null past the end
 
 
+FIELDS = ("client", "time", "zone", "method", "path", "protocol", "status", "size")
+
+
 def parse_access_log(lines: DataFrame, value: str = "value") -> DataFrame:
     """Adds client, time (``dd/MMM/yyyy:HH:mm:ss``, raw text), zone, method, path, protocol,
     status and size (raw text, may be ``-``) to each line."""
     parts = F.split(F.trim(F.col(value)), r"\s+")
+    keep = [c for c in lines.columns if c not in FIELDS]  # parsed fields replace same-named columns
     return lines.select(
-        "*",
+        *keep,
         _field(parts, 1).alias("client"),
         F.regexp_replace(_field(parts, 4), r"^\[", "").alias("time"),
         F.regexp_replace(_field(parts, 5), r"\]$", "").alias("zone"),

@@ -1,7 +1,7 @@
 """Line- and document-shaped text inputs.
 
-* ``read_lines``: text files as (path, line_key, value) where ``line_key`` orders the lines of
-  all files (path, then split start, then position inside the split).  Large files stay split
+* ``read_lines``: text files as (file, line_key, value) where ``line_key`` orders the lines of
+  all files (file, then split start, then position inside the split).  Large files stay split
   across tasks; no whole-file rows.
 * ``read_documents``: whole files as (path, text), ordered by path (a book of chapters).
 * ``access_log_lines`` / ``error_log_lines`` / ``book_documents``: the stand-ins over the
@@ -18,11 +18,12 @@ from .tables import read_table
 
 
 def read_lines(spark: SparkSession, path: str, **options) -> DataFrame:
+    """(file, line_key, value): one row per line; ``line_key`` orders lines across and within files."""
     df = spark.read.options(**options).text(path)
-    key = F.struct(F.col("_metadata.file_path").alias("path"),
+    key = F.struct(F.col("_metadata.file_path").alias("file"),
                    F.col("_metadata.file_block_start").alias("block"),
                    F.monotonically_increasing_id().alias("pos"))
-    return df.select(F.col("_metadata.file_path").alias("path"), key.alias("line_key"), "value")
+    return df.select(F.col("_metadata.file_path").alias("file"), key.alias("line_key"), "value")
 
 
 def read_documents(spark: SparkSession, path: str, **options) -> DataFrame:

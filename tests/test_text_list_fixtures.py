@@ -121,3 +121,16 @@ def test_variant_flatten_and_long_form(spark):
     items = spark.createDataFrame([(1, 0, 3), (1, 1, None), (1, 2, 9), (2, 0, None)], "list_id long, pos long, value long")
     got = {r["list_id"]: (r["max"], r["sum"], r["defined"]) for r in L.per_list(items).collect()}
     assert got == {1: (9, 12, 2), 2: (None, 0, 0)}
+
+
+def test_log_to_csv_tool(spark, tmp_path):
+    import importlib.util
+    import os
+    spec = importlib.util.spec_from_file_location(
+        "log_to_csv", os.path.join(os.path.dirname(os.path.dirname(__file__)), "tools", "log_to_csv.py"))
+    tool = importlib.util.module_from_spec(spec)
+    spec.loader.exec_module(tool)
+    (tmp_path / "access_log").write_text("\n".join(LOG) + "\n")
+    tool.convert(spark, str(tmp_path / "access_log"), str(tmp_path / "csv"))
+    got = sorted(r["value"] for r in spark.read.text(str(tmp_path / "csv")).collect())
+    assert len(got) == len(LOG) and "10.0.0.2,10/Mar/2004:12:04:00,POST,/a,200,-" in got
