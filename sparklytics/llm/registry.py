@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from . import op5_exact_dedup
+from . import op2_packing, op4_line_dedup, op5_exact_dedup, op7_fingerprints
 
 QUERIES = {
+    "op2_packing": op2_packing.op2_packing,
+    "op4_line_dedup": op4_line_dedup.op4_line_dedup,
     "op5_exact_dedup": op5_exact_dedup.op5_exact_dedup,
+    "op7_fingerprints": op7_fingerprints.op7_fingerprints,
 }
 
 ORACLE = {
+    "op4_line_dedup": op4_line_dedup.ORACLE_SQL,
     "op5_exact_dedup": op5_exact_dedup.ORACLE_SQL,
 }
