@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from . import op2_packing, op3_toxicity, op4_line_dedup, op5_exact_dedup, op7_fingerprints, op9_quality
+from . import op1_ppm, op2_packing, op3_toxicity, op4_line_dedup, op5_exact_dedup, op6_pieces, op7_fingerprints, op9_quality
 
 QUERIES = {
+    "op1_ppm": op1_ppm.op1_ppm,
     "op2_packing": op2_packing.op2_packing,
     "op3_toxicity": op3_toxicity.op3_toxicity,
     "op4_line_dedup": op4_line_dedup.op4_line_dedup,
     "op5_exact_dedup": op5_exact_dedup.op5_exact_dedup,
+    "op6_pieces": op6_pieces.op6_pieces,
     "op7_fingerprints": op7_fingerprints.op7_fingerprints,
     "op9_quality": op9_quality.op9_quality,
 }
