@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import op1_ppm, op2_packing, op3_toxicity, op4_line_dedup, op5_exact_dedup, op6_pieces, op7_fingerprints, op9_quality
+from . import op1_ppm, op2_packing, op3_toxicity, op4_line_dedup, op5_exact_dedup, op6_pieces, op7_fingerprints, op8_substrings, op9_quality
 
 QUERIES = {
     "op1_ppm": op1_ppm.op1_ppm,
@@ -12,10 +12,12 @@ QUERIES = {
     "op5_exact_dedup": op5_exact_dedup.op5_exact_dedup,
     "op6_pieces": op6_pieces.op6_pieces,
     "op7_fingerprints": op7_fingerprints.op7_fingerprints,
+    "op8_substrings": op8_substrings.op8_substrings,
     "op9_quality": op9_quality.op9_quality,
 }
 
 ORACLE = {
     "op4_line_dedup": op4_line_dedup.ORACLE_SQL,
     "op5_exact_dedup": op5_exact_dedup.ORACLE_SQL,
+    "op8_substrings": op8_substrings.ORACLE_SQL,
 }
