@@ -41,14 +41,14 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def with_group_first(rows: DataFrame, key: list[str], order: list[str], salts: int = 64) -> DataFrame:
-    """Rows whose ``key`` occurs more than once, with ``first`` (the smallest ``order`` struct of the
+def with_group_first(rows: DataFrame, key: list[str], order: list[str], salts: int = 64, singles: bool = False) -> DataFrame:
+    """Rows whose ``key`` occurs more than once (all rows with ``singles``), with ``first`` (the smallest ``order`` struct of the
     key) and ``n_rows``.  Rows are reduced by (key, salt) before they are reduced by key, and the
     result goes back to the rows by (key, salt): a key that holds a third of all rows is spread over
     ``salts`` tasks both ways.  The salt is a hash of the ordering columns."""
     salted = rows.withColumn("salt", F.pmod(F.xxhash64(*order), F.lit(salts)).cast("int"))
-    partial = salted.groupBy(*key, "salt").agg(F.min(F.struct(*order)).alias("first"), F.count(F.lit(1)).alias("n"))
+    partial = salted.groupBy(*key, "salt").agg(F.min(F.struct(*order)).alias("first"), F.count(F.lit(1)).alias("salt_rows"))
     groups = (partial.groupBy(*key)
-              .agg(F.min("first").alias("first"), F.sum("n").alias("n_rows"), F.collect_list("salt").alias("salts"))
-              .filter("n_rows > 1").select(*key, "first", "n_rows", F.explode("salts").alias("salt")))
+              .agg(F.min("first").alias("first"), F.sum("salt_rows").alias("n_rows"), F.collect_list("salt").alias("salts"))
+              .filter(F.lit(singles) | (F.col("n_rows") > 1)).select(*key, "first", "n_rows", F.explode("salts").alias("salt")))
     return salted.join(groups, [*key, "salt"]).drop("salt")

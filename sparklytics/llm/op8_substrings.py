@@ -312,12 +312,12 @@ def _spans(sizes):
         at += k
 
 
-OUT = [("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_text", pa.string())]
-
-
-def _remove(t: pa.Table, replies: pa.Table, shards: int) -> pa.Table:
+def _remove(t: pa.Table, replies: pa.Table, shards: int, unchanged: str) -> pa.Table:
+    rest = t.drop_columns(["batch", "text"])
     if not t.num_rows:
-        return pa.schema([*OUT, ("text_hash", pa.int64())]).empty_table()
+        for name, kind in (("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_text", pa.string())):
+            rest = rest.append_column(name, pa.array([], kind))
+        return rest
     w, rid = Windows(t["text"]), _rid(t)
     got: tuple[dict, dict] = {}, {}
     for round_, shard, bits in zip(*(replies[c].to_pylist() for c in ("round", "shard", "bits")), strict=True):
@@ -345,16 +345,22 @@ def _remove(t: pa.Table, replies: pa.Table, shards: int) -> pa.Table:
     kept = []
     for i in range(n):
         a, b = bounds[i], bounds[i + 1]
+        if unchanged == "as_it_was" and not n_removed[i]:
+            kept.append(raw[w.off[i]:w.off[i + 1]].decode())
+            continue
         at = a + np.flatnonzero(~drop[a:b])
         kept.append(b" ".join([raw[x:y] for x, y in zip(w.start[at].tolist(), w.end[at].tolist(), strict=True)]).decode())
-    return pa.table({"doc_id": t["doc_id"], "n_words": n_words, "n_removed": n_removed, "kept_text": pa.array(kept, pa.string()),
-                     "text_hash": t["text_hash"]})
+    for name, values in (("n_words", pa.array(n_words, pa.int64())), ("n_removed", pa.array(n_removed, pa.int64())),
+                         ("kept_text", pa.array(kept, pa.string()))):
+        rest = rest.append_column(name, values)
+    return rest
 
 
-def substring_dedup(docs: DataFrame) -> DataFrame:
-    """doc_id, n_words, n_removed, kept_text (kept words joined by one space) and text_hash
-    (xxhash64 of the text, which with doc_id identifies the row)."""
-    rows, shards = dealt(docs, F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"))
+def substring_dedup(docs: DataFrame, unchanged: str = "joined") -> DataFrame:
+    """All columns of ``docs`` but text, n_words, n_removed and kept_text: the kept words joined by one
+    space.  With ``unchanged="as_it_was"``, a text that loses nothing keeps its own white space."""
+    own = [c for c in docs.columns if c not in ("doc_id", "text")]
+    rows, shards = dealt(docs, *[F.col(f"`{c}`").alias(f"own_{i}") for i, c in enumerate(own)])
     anchors = (rows.groupBy("batch")
                .applyInArrow(lambda t: _ask_anchors(t, shards), "batch bigint, shard bigint, keys binary, many binary")
                .groupBy("shard").applyInArrow(_share_anchors, "batch bigint, shard bigint, bits binary"))
@@ -363,13 +369,15 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
                            "batch bigint, shard bigint, symbols binary, sizes binary, ids binary")
              .groupBy("shard").applyInArrow(_search, "batch bigint, shard bigint, bits binary"))
     both = anchors.withColumn("round", F.lit(1)).unionByName(found.withColumn("round", F.lit(2)))
-    return rows.groupBy("batch").cogroup(both.groupBy("batch")).applyInArrow(
-        lambda t, r: _remove(t, r, shards),
-        "doc_id bigint, n_words bigint, n_removed bigint, kept_text string, text_hash bigint")
+    carried = [f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields if f.name.startswith("own_")]
+    out = rows.groupBy("batch").cogroup(both.groupBy("batch")).applyInArrow(
+        lambda t, r: _remove(t, r, shards, unchanged),
+        ", ".join(["doc_id bigint", *carried, "n_words bigint, n_removed bigint, kept_text string"]))
+    return out.select("doc_id", *[F.col(f"own_{i}").alias(c) for i, c in enumerate(own)], "n_words", "n_removed", "kept_text")
 
 
 def op8_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substring_dedup(documents(spark, sf_dir)).select(
+    return substring_dedup(documents(spark, sf_dir).select("doc_id", "text")).select(
         "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 

@@ -1,10 +1,24 @@
-"""Registered queries of this subpackage and their DuckDB SQL (where SQL can express them)."""
+"""Registered queries of this subpackage and the pipeline, and DuckDB SQL where SQL can express them."""
 
 from __future__ import annotations
 
-from . import op1_ppm, op2_packing, op3_toxicity, op4_line_dedup, op5_exact_dedup, op6_pieces, op7_fingerprints, op8_substrings, op9_quality
+import corpus_pipeline
+
+from . import (
+    op1_ppm,
+    op2_packing,
+    op3_toxicity,
+    op4_line_dedup,
+    op5_exact_dedup,
+    op6_pieces,
+    op7_fingerprints,
+    op8_substrings,
+    op9_quality,
+    op10_jaccard,
+)
 
 QUERIES = {
+    "pipeline": corpus_pipeline.run,
     "op1_ppm": op1_ppm.op1_ppm,
     "op2_packing": op2_packing.op2_packing,
     "op3_toxicity": op3_toxicity.op3_toxicity,
@@ -14,10 +28,12 @@ QUERIES = {
     "op7_fingerprints": op7_fingerprints.op7_fingerprints,
     "op8_substrings": op8_substrings.op8_substrings,
     "op9_quality": op9_quality.op9_quality,
+    "op10_jaccard": op10_jaccard.op10_jaccard,
 }
 
 ORACLE = {
     "op4_line_dedup": op4_line_dedup.ORACLE_SQL,
     "op5_exact_dedup": op5_exact_dedup.ORACLE_SQL,
     "op8_substrings": op8_substrings.ORACLE_SQL,
+    "op10_jaccard": op10_jaccard.ORACLE_SQL,
 }
