@@ -55,15 +55,6 @@ def stat(field: str, stats: Column | str = "stats") -> Column:
     return F.coalesce(s.getField(field), F.lit(0).cast("bigint"))
 
 
-def epoch_seconds(ts: Column) -> Column:
-    return F.unix_seconds(ts)
-
-
-def as_naive(ts: Column) -> Column:
-    """UTC wall-clock timestamp without zone, as DuckDB's TIMESTAMP prints it."""
-    return ts.cast("timestamp_ntz")
-
-
 def file_rows(commits: DataFrame) -> DataFrame:
     """One row per committed file with its commit's columns and a ``file`` struct.
 
@@ -75,16 +66,10 @@ def file_rows(commits: DataFrame) -> DataFrame:
     return commits.select(*keep, F.explode("files").alias("file"))
 
 
-# Above this many names a name filter becomes a broadcast semi join (the list is a driver-side
-# Python list, so its size is known before planning: a proven bound).
-ISIN_LIMIT = 10_000
-
-
-def keep_names(df: DataFrame, column: str, names: Sequence[str]) -> DataFrame:
-    """Rows whose ``column`` is in ``names``: an ``isin`` that reaches the scan, or for long lists a
-    broadcast left-semi join."""
-    names = list(dict.fromkeys(names))
-    if len(names) <= ISIN_LIMIT:
-        return df.filter(F.col(column).isin(names))
-    wanted = df.sparkSession.createDataFrame([(n,) for n in names], f"`{column}` string")
-    return df.join(F.broadcast(wanted), column, "left_semi")
+def keep_names(df: DataFrame, column: str, names: Sequence[str] | DataFrame) -> DataFrame:
+    """Rows whose ``column`` is in ``names``: a plain list becomes an ``isin`` that reaches the scan; a
+    DataFrame of names (its first column) a left-semi join that Spark plans by its size."""
+    if isinstance(names, DataFrame):
+        wanted = names.select(F.col(names.columns[0]).alias("_wanted"))
+        return df.join(wanted, df[column] == F.col("_wanted"), "left_semi")
+    return df.filter(F.col(column).isin(list(dict.fromkeys(names))))

@@ -33,4 +33,4 @@ def parse_access_log(lines: DataFrame, value: str = "value") -> DataFrame:
 
 def size_bytes(size: Column) -> Column:
     """Response size as bigint; ``-`` (no body) and junk become null."""
-    return F.when(size.rlike(r"^[0-9]+$"), size.cast("bigint"))
+    return F.when(size.rlike(r"^[0-9]+$"), size.try_cast("bigint"))

@@ -15,7 +15,7 @@ _CDATE = "commit.committer.date"
 _CNAME = "commit.committer.name"
 
 
-def commits_by_authors(commits: DataFrame, authors: Sequence[str]) -> DataFrame:
+def commits_by_authors(commits: DataFrame, authors: Sequence[str] | DataFrame) -> DataFrame:
     """A1: (committer, sha, timestamp) of commits whose committer is listed, oldest first."""
     rows = commits.select(F.col(_CNAME).alias("committer"), "sha", F.col(_CDATE).alias("timestamp"))
     return fields.keep_names(rows, "committer", authors).orderBy("timestamp", "sha")
@@ -94,9 +94,13 @@ def branch_points(commits: DataFrame) -> DataFrame:
 
 
 def fork_points(commits: DataFrame) -> DataFrame:
-    """(repo_name, child_repo_name, parent_sha, child_sha): parent and child in different repos."""
-    edges = _parent_edges(commits, fields.full_name("url").alias("child_repo_name"))
-    parents = commits.select(F.col("sha").alias("parent_sha"), fields.full_name("url").alias("repo_name"))
+    """(repo_name, child_repo_name, parent_sha, child_sha): parent and child in different repos.
+
+    Both sides are made distinct before the join, so its rows are, and nothing above the join needs
+    the rows of one parent together: its shuffles carry no other operator and AQE's skew join can
+    split a parent with very many children."""
+    edges = _parent_edges(commits, fields.full_name("url").alias("child_repo_name")).distinct()
+    parents = commits.select(F.col("sha").alias("parent_sha"), fields.full_name("url").alias("repo_name")).distinct()
     return (edges.join(parents, "parent_sha")
             .filter(F.col("repo_name") != F.col("child_repo_name"))
-            .select("repo_name", "child_repo_name", "parent_sha", "child_sha").distinct())
+            .select("repo_name", "child_repo_name", "parent_sha", "child_sha"))

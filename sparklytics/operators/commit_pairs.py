@@ -15,6 +15,7 @@ from .. import constants as K
 from ..functions import fields
 from .ordering import global_rank
 
+FILE_SALTS = 64  # B9: tasks that one file's commits are spread over
 _CNAME = "commit.committer.name"
 _ANAME = "commit.author.name"
 
@@ -42,8 +43,9 @@ def _stats_sums(prefix: str = "") -> list:
     return [F.sum(fields.stat(f)).alias(prefix + f) for f in ("total", "additions", "deletions")]
 
 
-def committer_stats_totals(commits: DataFrame, users: Sequence[str]) -> DataFrame:
-    """(committer, total, additions, deletions) for listed committers; absent stats = 0."""
+def committer_stats_totals(commits: DataFrame, users: Sequence[str] | DataFrame) -> DataFrame:
+    """(committer, total, additions, deletions) for listed committers; absent stats = 0.  Takes
+    commits, or rows that each carry a part of their commit's stats (``commit_stats_view``)."""
     rows = commits.select(F.col(_CNAME).alias("committer"), "stats")
     return fields.keep_names(rows, "committer", users).groupBy("committer").agg(*_stats_sums())
 
@@ -72,15 +74,26 @@ def longest_revert_streak(commits: DataFrame) -> DataFrame:
                        F.col("b.n").alias("how_often"))
 
 
-def repo_commits_and_committers(commits: DataFrame, use_full_name: bool = False) -> DataFrame:
-    """(repository, commits, committers sorted); (repo, committer) pairs are reduced first."""
+def repo_commits_and_committers(commits: DataFrame, use_full_name: bool = False, nested: bool = False) -> DataFrame:
+    """The committers of each repository and how much each committed.
+
+    Flat by default, (repository, committer, commits); ``nested=True`` gives the upstream shape
+    (repository, commits, committers sorted) with one array per repository."""
     pairs = (commits.groupBy(fields.repo_key("url", use_full_name).alias("repository"),
                              F.col(_CNAME).alias("committer"))
-             .agg(F.count(F.lit(1)).alias("n")))
-    return pairs.groupBy("repository").agg(F.sum("n").alias("commits"),
+             .agg(F.count(F.lit(1)).alias("commits")))
+    if not nested:
+        return pairs
+    return pairs.groupBy("repository").agg(F.sum("commits").alias("commits"),
                                            F.array_sort(F.collect_list("committer")).alias("committers"))
 
 
+def repo_commit_totals(commits: DataFrame, use_full_name: bool = False) -> DataFrame:
+    """B7, totals: (repository, commits, committers), the number of distinct named committers."""
+    pairs = repo_commits_and_committers(commits, use_full_name)
+    return pairs.groupBy("repository").agg(F.sum("commits").alias("commits"), F.count("committer").alias("committers"))
+
+
 def latest_files_per_repo(commits: DataFrame, use_full_name: bool = False, nested: bool = False) -> DataFrame:
     """Per (repository, filename) the newest file record by author date.
 
@@ -111,12 +124,20 @@ def repo_file_overview(commits: DataFrame, repository: str, use_full_name: bool
          .filter(F.col("file.filename").isNotNull())
          .select(F.col("file.filename").alias("filename"), "sha", F.col("file.changes").alias("total"),
                  F.col("file.additions").alias("additions"), F.col("file.deletions").alias("deletions")))
-    sums = [F.sum(c).alias(c) for c in ("total", "additions", "deletions")]
+    names = ("total", "additions", "deletions")
+    sums = [F.sum(c).alias(c) for c in names]
     if nested:
         return f.groupBy("filename").agg(F.array_sort(F.collect_set("sha")).alias("shas"), *sums)
-    per_commit = f.groupBy("filename", "sha").agg(*sums)          # partial aggregation per pair
-    per_file = per_commit.groupBy("filename").agg(*sums)          # one row per file
-    return per_commit.select("filename", "sha").join(per_file, "filename")
+    # Both sides of the join below come from this aggregate, so its shuffle runs once.  Totals are
+    # built per (filename, salt) first and go back by (filename, salt): a file that most commits
+    # touch is spread over ``FILE_SALTS`` tasks.
+    per_commit = (f.groupBy("filename", "sha").agg(*sums)
+                  .withColumn("salt", F.pmod(F.xxhash64("sha"), F.lit(FILE_SALTS))))
+    per_file = (per_commit.groupBy("filename", "salt").agg(*sums)
+                .groupBy("filename").agg(*sums, F.collect_list("salt").alias("salts"))
+                .select("filename", F.explode("salts").alias("salt"), *names))
+    return (per_commit.select("filename", "sha", "salt").join(per_file, ["filename", "salt"])
+            .select("filename", "sha", *names))
 
 
 def committer_repo_stats(commits: DataFrame, use_full_name: bool = False) -> DataFrame:

@@ -26,12 +26,15 @@ def _pairs(commits: DataFrame, use_full_name: bool) -> DataFrame:
 
 
 def developer_repo_graph(commits: DataFrame, use_full_name: bool = False) -> tuple[DataFrame, DataFrame]:
-    """(vertices(id, kind, name), edges(src, dst, relation)); an edge per committer -> repository."""
+    """(vertices(id, kind, name), edges(src, src_kind, dst, dst_kind, relation)); an edge per
+    committer -> repository.  A vertex is identified by (id, kind): ``id`` is B11's id of the name alone,
+    and a developer and a repository may have the same name."""
     pairs = _pairs(commits, use_full_name)
     devs = pairs.select(F.col("developer").alias("name")).distinct().withColumn("kind", F.lit("developer"))
     repos = pairs.select(F.col("repository").alias("name")).distinct().withColumn("kind", F.lit("repository"))
     vertices = devs.unionByName(repos).select(md5_long_id(F.col("name")).alias("id"), "kind", "name")
-    edges = pairs.select(md5_long_id(F.col("developer")).alias("src"), md5_long_id(F.col("repository")).alias("dst"),
+    edges = pairs.select(md5_long_id(F.col("developer")).alias("src"), F.lit("developer").alias("src_kind"),
+                         md5_long_id(F.col("repository")).alias("dst"), F.lit("repository").alias("dst_kind"),
                          F.lit("committed_to").alias("relation"))
     return vertices, edges
 
@@ -39,10 +42,12 @@ def developer_repo_graph(commits: DataFrame, use_full_name: bool = False) -> tup
 def graph_degrees(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     """Degree of every vertex of a (vertices, edges) pair (out-degree of developers, in-degree of
     repositories)."""
-    ends = edges.select(F.explode(F.array("src", "dst")).alias("id"))
-    deg = ends.groupBy("id").agg(F.count(F.lit(1)).alias("degree"))
-    return vertices.join(deg, "id", "left").select("id", "kind", "name",
-                                                   F.coalesce("degree", F.lit(0)).alias("degree"))
+    ends = edges.select(F.explode(F.array(
+        F.struct(F.col("src").alias("id"), F.col("src_kind").alias("kind")),
+        F.struct(F.col("dst").alias("id"), F.col("dst_kind").alias("kind")))).alias("v"))
+    deg = ends.groupBy("v.id", "v.kind").agg(F.count(F.lit(1)).alias("degree"))
+    return vertices.join(deg, ["id", "kind"], "left").select("id", "kind", "name",
+                                                             F.coalesce("degree", F.lit(0)).alias("degree"))
 
 
 def developer_repo_degrees(commits: DataFrame, use_full_name: bool = False) -> DataFrame:

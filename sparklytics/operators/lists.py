@@ -20,6 +20,9 @@ from .. import constants as K
 JSON_SCALAR_RE = r'("(?:[^"\\]|\\.)*"|-?[0-9]+(?:\.[0-9]+)?(?:[eE][-+]?[0-9]+)?|true|false|null)'
 
 
+JSON_STRING_RE = r'"(?:[^"\\]|\\.)*"'
+
+
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
@@ -44,13 +47,18 @@ def array_flatten_deep(df: DataFrame, column: str) -> Column:
 
 def json_flatten_deep(json_text, as_type: str | None = None) -> Column:
     """F3, mixed nesting: the scalars of a nested JSON array in order (``[[1],[2,[3,[4]]],5]``
-    -> ``[1,2,3,4,5]``), as JSON texts or cast to ``as_type``."""
-    toks = F.regexp_extract_all(_c(json_text), F.lit(JSON_SCALAR_RE), 1)
-    if as_type is None:
-        return toks
+    -> ``[1,2,3,4,5]``), as JSON texts or cast to ``as_type``.
+
+    With ``as_type``, JSON null is a null element, and so is a scalar of another type.  A text with an object
+    in it is not a nested list: its result is null."""
+    text = _c(json_text)
+    toks = F.regexp_extract_all(text, F.lit(JSON_SCALAR_RE), 1)
     if as_type == "variant":
-        return F.transform(toks, lambda t: F.parse_json(t))
-    return F.transform(toks, lambda t: t.cast(as_type))
+        toks = F.transform(toks, lambda t: F.parse_json(t))
+    elif as_type is not None:
+        toks = F.transform(toks, lambda t: F.nullif(t, F.lit("null")).try_cast(as_type))
+    bare = F.regexp_replace(text, JSON_STRING_RE, "")
+    return F.when(~bare.contains("{"), toks)
 
 
 def array_fold_left(xs, init, f: Callable[[Column, Column], Column]) -> Column:
@@ -113,7 +121,7 @@ def list_even_defined(xs) -> Column:
 def list_avg_first_n_above(xs, x: int, n: int) -> Column:
     """integer average of the first n elements greater than x; null when there are none."""
     s = F.slice(F.filter(_c(xs), lambda v: v > x), 1, n)
-    return F.when(F.size(s) > 0, F.floor(list_sum(s) / F.size(s)).cast("bigint"))
+    return F.when(F.size(s) > 0, F.call_function("div", list_sum(s), F.size(s).cast("bigint")))
 
 
 def list_sum_first_n_above(xs, n: int = K.FIRST_ABOVE_N, x: int = K.FIRST_ABOVE_X) -> Column:
@@ -123,13 +131,17 @@ def list_sum_first_n_above(xs, n: int = K.FIRST_ABOVE_N, x: int = K.FIRST_ABOVE_
 
 def sum_first_n_above(items: DataFrame, n: int = K.FIRST_ABOVE_N, x: int = K.FIRST_ABOVE_X, key: str = "list_id", pos: str = "pos",
                       value: str = "value") -> DataFrame:
-    """F14 grouped form: per list, the sum of its first ``n`` values greater than ``x``.
-
-    ``row_number() <= n`` lets Catalyst insert a map-side group limit, so a huge list ships at most
-    ``n`` rows per task into the shuffle."""
-    w = Window.partitionBy(key).orderBy(pos)
-    first = items.filter(F.col(value) > x).withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n)
-    return first.groupBy(key).agg(F.sum(F.col(value).cast("bigint")).alias("total"))
+    """F14 grouped form: per list, the sum of its first ``n`` values greater than ``x``; 0 for a list
+    without such values.
+
+    Values above ``x`` are numbered first, so every list keeps a row.  ``row_number() <= n`` lets
+    Catalyst insert a map-side group limit, so a huge list ships at most ``n`` rows per task into
+    the shuffle."""
+    above = F.coalesce(F.col(value) > x, F.lit(False))
+    w = Window.partitionBy(key).orderBy(above.desc(), pos)
+    first = items.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= max(n, 1))
+    counted = F.when(above & (F.col("_rn") <= n), F.col(value).cast("bigint")).otherwise(F.lit(0))
+    return first.groupBy(key).agg(F.sum(counted).alias("total"))
 
 
 def passing_students(grades: DataFrame, student: str = "student_id", grade: str = "grade",

@@ -34,7 +34,7 @@ def first_quoted_requests(lines: DataFrame, order: str, word: str = K.REQUEST_WO
 def post_requests(lines: DataFrame, value: str = "value") -> DataFrame:
     """(time, client, path, status, size) of POST requests (method field, D19)."""
     p = parse_access_log(lines, value).filter(F.col("method") == K.POST_METHOD)
-    return p.select("time", "client", "path", F.col("status").cast("int").alias("status"),
+    return p.select("time", "client", "path", F.col("status").try_cast("int").alias("status"),
                     size_bytes(F.col("size")).alias("size"))
 
 

@@ -2,7 +2,7 @@
 
 * ``global_rank``: a zero-based position over the whole DataFrame without the single-task
   window that ``row_number().over(Window.orderBy(...))`` plans.  Rows are range-partitioned
-  and sorted, the result is checkpointed (so partition contents and order are fixed), each
+  and sorted, the result is checkpointed when the query first runs (so partition contents and order are fixed), each
   partition is counted, and the per-partition start offsets (one row per partition: a
   bounded broadcast) are added to the position inside the partition.
 * ``previous_in_group``: the previous row of the same key in a given order (``lag``), with
@@ -24,7 +24,7 @@ _POS_BITS = 33  # monotonically_increasing_id = partition index << 33 | row inde
 def global_rank(df: DataFrame, order: list[Column], rank_col: str = "rank") -> DataFrame:
     """Append ``rank_col`` = 0-based index of each row in ``order`` (which must be total)."""
     checkpoint_dir(df.sparkSession)
-    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).checkpoint(eager=True)
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).checkpoint(eager=False)
     ided = ranged.withColumn("_mid", F.monotonically_increasing_id())
     pid = F.shiftright(F.col("_mid"), _POS_BITS)
     pos = F.col("_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1))
@@ -52,6 +52,11 @@ def previous_in_group(df: DataFrame, keys: list[str], order: list[str], carry: l
     x = x.withColumn("_prev", F.lag(row, 1).over(w))
     last = x.groupBy(*keys, b).agg(F.max(row).alias("_last"))
     last = last.select(*keys, b, F.lag("_last", 1).over(Window.partitionBy(*keys).orderBy(b)).alias("_bprev"))
-    y = x.join(last, keys + [b], "left")
+    # null-safe: null keys and null buckets form groups of their own
+    last = last.select(*[F.col(c).alias("_l" + c) for c in keys + [b]], "_bprev")
+    same = F.lit(True)
+    for c in keys + [b]:
+        same = same & F.col(c).eqNullSafe(F.col("_l" + c))
+    y = x.join(last, same, "left")
     prev = F.coalesce(F.col("_prev"), F.col("_bprev"))
     return y.select(*[F.col(c) for c in df.columns], *[prev.getField(c).alias(prefix + c) for c in carry])

@@ -39,12 +39,10 @@ def first_sentences(docs: DataFrame, order: str, n: int = K.FIRST_SENTENCES, tex
     """The first ``n`` sentences of the book in order.
 
     Every document that has a sentence contributes at least one, so the first ``n`` sentences lie
-    in the first ``n`` such documents: those ids are found by a top-n over the documents (no split),
-    and only their texts are split (the id list is at most ``n`` rows: a bounded broadcast)."""
-    has_sentence = F.regexp_replace(F.col(text), NEWLINE_RE, " ").rlike(r"[^. ]")
-    first_docs = docs.filter(has_sentence).select(order).orderBy(order).limit(n)
-    chosen = docs.join(F.broadcast(first_docs), order, "left_semi")
-    return sentences(chosen, order, text).orderBy(order, "pos").limit(n)
+    in the first ``n`` such documents: a top-n of one scan keeps them (``n`` texts a task), and only
+    they are split."""
+    first_docs = docs.filter(F.col(text).rlike("[^. \\r\\n]")).select(order, text).orderBy(order).limit(n)
+    return sentences(first_docs, order, text).orderBy(order, "pos").limit(n)
 
 
 def fix_lowercase_i(docs: DataFrame, text: str = "text") -> DataFrame:

@@ -7,6 +7,7 @@ whole tables; limits appear only where the analytic is a top-k / first-n.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,8 +22,9 @@ from ..operators import lists as L
 from ..operators import logs, text
 from ..sources import lists as list_src
 from ..sources import text as text_src
-from ..sources.commits import (commit_file_view, commit_view, event_commit_view, events_to_commits,
-                               events_to_geo, geo_view)
+from ..session import pin_utc
+from ..sources.commits import (commit_file_view, commit_stats_view, commit_view, event_commit_view, events_to_commits,
+                               events_to_geo, geo_view, lineitem_files)
 from ..sources.tables import read_table
 from ..streaming import queries as sq
 from ..streaming.replay import replay
@@ -41,9 +43,15 @@ QUERIES: dict[str, Query] = {}
 
 
 def query(name: str):
+    """Registers a query.  Here, and only here, the session is set to UTC: the registered queries define
+    dates and day windows, and their callers hand over a session for them."""
     def deco(fn: Query) -> Query:
-        QUERIES[name] = fn
-        return fn
+        @functools.wraps(fn)
+        def run(spark, d):
+            pin_utc(spark)
+            return fn(spark, d)
+        QUERIES[name] = run
+        return run
     return deco
 
 
@@ -102,7 +110,7 @@ def _b1(spark, d):
 
 @query("file_extension_counts")
 def _b2(spark, d):
-    return flat(pairs.file_extension_counts(commit_file_view(spark, d)))
+    return flat(pairs.file_extension_counts(lineitem_files(spark, d)))
 
 
 @query("author_rank")
@@ -112,7 +120,7 @@ def _b3(spark, d):
 
 @query("committer_stats_totals")
 def _b4(spark, d):
-    return flat(pairs.committer_stats_totals(commit_view(spark, d), USERS))
+    return flat(pairs.committer_stats_totals(commit_stats_view(spark, d), USERS))
 
 
 @query("exclusive_owners_or_authors")
@@ -130,15 +138,20 @@ def _b7(spark, d):
     return flat(pairs.repo_commits_and_committers(commit_view(spark, d)))
 
 
+@query("repo_commit_totals")
+def _b7_totals(spark, d):
+    return flat(pairs.repo_commit_totals(commit_view(spark, d)))
+
+
 @query("latest_files_per_repo")
 def _b8(spark, d):
-    return flat(pairs.latest_files_per_repo(commit_file_view(spark, d, spread_scan=True))
+    return flat(pairs.latest_files_per_repo(commit_file_view(spark, d))
                 .select("repository", "filename", "sha", "status", "additions", "deletions", "changes"))
 
 
 @query("repo_file_overview")
 def _b9(spark, d):
-    return flat(pairs.repo_file_overview(commit_file_view(spark, d, spread_scan=True), FOCUS_REPO))
+    return flat(pairs.repo_file_overview(commit_file_view(spark, d), FOCUS_REPO))
 
 
 @query("committer_repo_stats")
@@ -156,6 +169,16 @@ def _b12(spark, d):
     return flat(graph.developer_repo_degrees(commit_view(spark, d)))
 
 
+@query("developer_repo_vertices")
+def _b12_vertices(spark, d):
+    return flat(graph.developer_repo_graph(commit_view(spark, d))[0])
+
+
+@query("developer_repo_edges")
+def _b12_edges(spark, d):
+    return flat(graph.developer_repo_graph(commit_view(spark, d))[1])
+
+
 # ---- D: collection family ------------------------------------------------------------------
 @query("avg_additions")
 def _d1(spark, d):
@@ -179,19 +202,13 @@ def _d4(spark, d):
 
 @query("top_file_formats")
 def _d5(spark, d):
-    return flat(coll.top_file_formats(commit_file_view(spark, d)))
+    return flat(coll.top_file_formats(lineitem_files(spark, d)))
 
 
 # ---- E: logs and text ----------------------------------------------------------------------
-LISTING_FRAGMENT = "ITEM"   # E1 on the table folder: names containing "item", any case
 ERROR_NEEDLE = K.MISSING_FILE_TEXT
 
 
-@query("find_files_by_name")
-def _e1(spark, d):
-    return flat(logs.find_files_by_name(spark, d, LISTING_FRAGMENT))
-
-
 @query("lines_containing")
 def _e2(spark, d):
     return flat(logs.lines_containing(text_src.error_log_lines(spark, d), ERROR_NEEDLE))
@@ -264,6 +281,12 @@ def _f3(spark, d):
     return flat(nested.select("list_id", L.json_flatten_deep(mixed, "bigint").alias("result")))
 
 
+@query("array_flatten_typed")
+def _f3_typed(spark, d):
+    nested = list_src.order_lists(spark, d)
+    return flat(nested.select("list_id", L.array_flatten_deep(nested, "xss").alias("result")))
+
+
 @query("array_fold_left")
 def _f4(spark, d):
     return _lists(spark, d, lambda ls: L.array_fold_left("xs", F.lit(FOLD_INIT).cast("bigint"),
@@ -409,6 +432,7 @@ def _events(spark, d):
     return spark.read.parquet(f"{d}/events.parquet")
 
 
+GEO_LATENESS = "2 hours"  # geo events of the stand-in come up to 91 minutes out of order
 REPLAY_BATCHES = 4  # micro-batches per replay (plus the sentinel batch for windowed queries)
 
 
@@ -451,13 +475,14 @@ def _c7_stream(spark, d):
 @query("stream_weekly_java_changes_by_continent_replay")
 def _c8_stream(spark, d):
     return flat(replay(spark, _events(spark, d), lambda ev: sq.weekly_java_changes_by_continent(
-        events_to_commits(ev), events_to_geo(ev)), n_batches=REPLAY_BATCHES))
+        events_to_commits(ev), events_to_geo(ev), geo_watermark=GEO_LATENESS), n_batches=REPLAY_BATCHES))
 
 
 @query("stream_added_then_removed_replay")
 def _c9_stream(spark, d):
+    # a name may be emitted again by a later window (bounded dedupe state): distinct at the end
     return flat(replay(spark, _events(spark, d), lambda ev: sq.added_then_removed_stream(events_to_commits(ev)),
-                       n_batches=REPLAY_BATCHES))
+                       n_batches=REPLAY_BATCHES).distinct())
 
 
 @query("stream_extension_status_counts_replay")

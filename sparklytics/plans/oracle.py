@@ -87,8 +87,9 @@ WHERE name IS NOT NULL GROUP BY name HAVING max(a) + max(o) = 1""", "commit_flat
 SELECT s.author, m.longest, count(*) AS how_often FROM s JOIN m ON s.author = m.author AND s.streak = m.longest
 GROUP BY s.author, m.longest""", "commit_flat"),
     "repo_commits_and_committers": with_views("""
-SELECT repo AS repository, count(*) AS commits, array_to_string(list_sort(list(DISTINCT committer)), ',')
-       AS committers
+SELECT repo AS repository, committer, count(*) AS commits FROM commit_base GROUP BY repo, committer""", "commit_flat"),
+    "repo_commit_totals": with_views("""
+SELECT repo AS repository, count(*) AS commits, count(DISTINCT committer) AS committers
 FROM commit_base GROUP BY repo""", "commit_flat"),
     "latest_files_per_repo": with_views("""
 SELECT repository, filename, sha, status, additions, deletions, changes FROM (
@@ -111,10 +112,18 @@ SELECT committer, repo AS repository, CAST(sum(total) AS BIGINT) AS total,
 FROM commit_flat GROUP BY committer, repo""", "commit_flat"),
     "md5_long_id": with_views(f"SELECT sha, {_ID.format(x='sha')} AS id FROM commit_base", "commit_flat"),
     "developer_repo_graph": with_views(f"""
-, pairs AS (SELECT DISTINCT committer AS developer, repo AS repository FROM commit_base),
+, pairs AS (SELECT DISTINCT committer AS developer, repo AS repository FROM commit_base WHERE committer IS NOT NULL),
   v AS (SELECT developer AS name, 'developer' AS kind, count(*) AS degree FROM pairs GROUP BY developer
         UNION ALL SELECT repository, 'repository', count(*) FROM pairs GROUP BY repository)
 SELECT {_ID.format(x='name')} AS id, kind, name, CAST(degree AS BIGINT) AS degree FROM v""", "commit_flat"),
+    "developer_repo_vertices": with_views(f"""
+, v AS (SELECT DISTINCT committer AS name, 'developer' AS kind FROM commit_base WHERE committer IS NOT NULL
+        UNION ALL SELECT DISTINCT repo, 'repository' FROM commit_base WHERE committer IS NOT NULL)
+SELECT {_ID.format(x='name')} AS id, kind, name FROM v""", "commit_flat"),
+    "developer_repo_edges": with_views(f"""
+, pairs AS (SELECT DISTINCT committer, repo FROM commit_base WHERE committer IS NOT NULL)
+SELECT {_ID.format(x='committer')} AS src, 'developer' AS src_kind, {_ID.format(x='repo')} AS dst,
+       'repository' AS dst_kind, 'committed_to' AS relation FROM pairs""", "commit_flat"),
     # ---- D ----
     "avg_additions": with_views("""
 SELECT CAST(sum(additions) // count(additions) AS BIGINT) AS avg_additions FROM commit_flat WHERE has_stats""",
@@ -137,7 +146,7 @@ GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 5""", "file_flat"),
 }
 
 _LONE_I = r"(^|[^\p{L}\p{N}\p{M}_])i([^\p{L}\p{N}\p{M}_]|$)"
-_POSTS = """SELECT time, client, path, CAST(status AS BIGINT) AS status,
+_POSTS = """SELECT time, client, path, TRY_CAST(status AS INTEGER)::BIGINT AS status,
        CASE WHEN regexp_matches(size, '^[0-9]+$') THEN CAST(size AS BIGINT) END AS size
 FROM parsed_log WHERE method = 'POST'"""
 
@@ -187,6 +196,10 @@ SELECT list_id, array_to_string(list_filter(xs, lambda x: x > 25), ',') AS resul
   nested AS (SELECT list_id, list(xs ORDER BY grp) AS xss FROM inner_l GROUP BY list_id)
 SELECT n.list_id, array_to_string(list_concat(flatten(n.xss), o.xs), ',') AS result
 FROM nested n JOIN order_list o ON n.list_id = o.list_id""", "order_list"),
+    "array_flatten_typed": with_views("""
+, inner_l AS (SELECT list_id, grp, list(value ORDER BY item_key) AS xs FROM order_items GROUP BY list_id, grp)
+SELECT list_id, array_to_string(flatten(list(xs ORDER BY grp)), ',') AS result FROM inner_l GROUP BY list_id""",
+                                      "order_list"),
     "array_fold_left": with_views(f"""
 SELECT list_id, list_reduce(xs, lambda acc, x: (acc * 31 + x) % {cat.FOLD_MOD}, CAST({cat.FOLD_INIT} AS BIGINT)) AS result
 FROM order_list""", "order_list"),
@@ -215,10 +228,10 @@ FROM order_list""", "order_list"),
 SELECT list_id, CASE WHEN len(s) > 0 THEN CAST(list_sum(s) // len(s) AS BIGINT) END AS result
 FROM (SELECT list_id, list_filter(xs, lambda x: x > 25)[1:3] AS s FROM order_list)""", "order_list"),
     "list_sum_first_n_above": with_views("""
-SELECT list_id, CAST(sum(value) AS BIGINT) AS total FROM (
-  SELECT supp AS list_id, value, row_number() OVER (PARTITION BY supp ORDER BY item_key) AS rn
-  FROM order_items WHERE value > 25)
-WHERE rn <= 10 GROUP BY list_id""", "order_list"),
+SELECT list_id, CAST(coalesce(sum(value) FILTER (value > 25 AND rn <= 10), 0) AS BIGINT) AS total FROM (
+  SELECT supp AS list_id, value, row_number() OVER (PARTITION BY supp ORDER BY value > 25 DESC, item_key) AS rn
+  FROM order_items)
+GROUP BY list_id""", "order_list"),
     "passing_students": with_views("""
 SELECT CAST(count_if(n > 0 AND s >= 5.75 * n AND mn >= 4) AS BIGINT) AS passing FROM (
   SELECT list_id, sum(value % 11) AS s, count(*) AS n, min(value % 11) AS mn FROM order_items GROUP BY list_id)""",

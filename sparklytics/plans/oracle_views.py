@@ -26,7 +26,7 @@ commit_base AS (
          'own' || (20 + o_orderkey % 37) AS owner,
          'repo' || (o_orderkey % 11) AS repo,
          'own' || (o_custkey % 40) AS author,
-         CASE WHEN o_orderkey % 5 = 0 THEN 'GitHub' ELSE 'own' || (o_custkey % 40) END AS committer,
+         CASE WHEN o_orderkey % 211 = 0 THEN NULL WHEN o_orderkey % 5 = 0 THEN 'GitHub' ELSE 'own' || (o_custkey % 40) END AS committer,
          o_orderdate + to_seconds((o_orderkey * 7919) % 86400) AS cdate,
          (CASE WHEN o_orderkey % 9 = 0 THEN 'Oops, ' ELSE '' END)
            || repeat('Revert ', CAST(o_orderkey % 4 AS INTEGER)) || 'change ' || o_orderkey AS message
@@ -85,7 +85,7 @@ access_log AS (
          '10.0.' || (user_id % 5) || '.' || user_id || ' - - ['
            || strftime(ts, '%d/%b/%Y:%H:%M:%S') || ' +0000] "'
            || CASE WHEN event_type IN ('signup', 'purchase') THEN 'POST' ELSE 'GET' END
-           || ' /e/' || event_type || '?u=' || user_id || ' HTTP/1.1" '
+           || ' /e/' || event_type || CASE WHEN event_id % 41 = 0 THEN ' odd' ELSE '' END || '?u=' || user_id || ' HTTP/1.1" '
            || CASE WHEN event_type = 'error' THEN '500' ELSE '200' END || ' '
            || CASE WHEN event_id % 23 = 0 THEN '-' ELSE CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) END
            AS line

@@ -29,6 +29,3 @@ COMMIT = _struct(
 )
 
 COMMIT_GEO = _struct(("sha", _S), ("createdAt", _TS), ("continent", _S))
-
-COMMIT_SUMMARY = _struct(("repo", _S), ("date", _S), ("amountOfCommits", _L), ("amountOfCommitters", _L),
-                         ("totalChanges", _L), ("topCommitter", _S))

@@ -16,11 +16,20 @@ UTC = "UTC"
 
 
 def pin_utc(spark: SparkSession) -> None:
-    """Date parts, day windows and dd-MM-yyyy labels are defined in UTC."""
+    """Date parts, day windows and dd-MM-yyyy labels are defined in UTC.  For programs that own their
+    session; library functions only check it (``require_utc``)."""
     if spark.conf.get("spark.sql.session.timeZone") != UTC:
         spark.conf.set("spark.sql.session.timeZone", UTC)
 
 
+def require_utc(spark: SparkSession) -> None:
+    """Raises unless the session's time zone is UTC: nobody else's session is changed silently."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone not in (UTC, "Etc/UTC", "Z", "+00:00"):
+        raise ValueError(f"spark.sql.session.timeZone is {zone!r}: dates and day windows are defined in UTC; "
+                         "set it to UTC (sparklytics.session.pin_utc)")
+
+
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "sparklytics", extra: dict | None = None) -> SparkSession:
     """A session tuned for these workloads (local runs, tests, bench)."""

@@ -14,9 +14,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas
-from ..session import pin_utc
+from ..session import require_utc
 from .tables import read_table
 
 # Fixed values of the stand-in binding (FIXTURES.md §4): file extensions by part key % 8,
@@ -28,17 +29,53 @@ GEO_OFFSET_MINUTES = [-60, 30, 31, 0]
 API_PREFIX = "https://api.github.com/repos/"
 
 
-def read_commits(spark: SparkSession, path: str, multi_line: bool = False, infer_schema: bool = False) -> DataFrame:
-    """Commit JSON with the explicit schema of §1.2.
+TIMESTAMPS = "yyyy-MM-dd'T'HH:mm:ss[.SSS]XXX"
+CORRUPT = "_corrupt_record"
+OID_RE = r'"\$oid"\s*:\s*"([^"]*)"'
+
+
+def _json(reader, schema: T.StructType, quarantine: bool):
+    """A broken document stops the read, or with ``quarantine`` is a row of nulls with its text in
+    ``_corrupt_record``."""
+    if not quarantine:
+        return reader.schema(schema).option("mode", "FAILFAST").option("timestampFormat", TIMESTAMPS)
+    wide = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    return (reader.schema(wide).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+            .option("timestampFormat", TIMESTAMPS))
+
+
+def plain_id(commits: DataFrame) -> DataFrame:
+    """``_id`` as the plain object id: exports write it as ``{"$oid": "..."}``."""
+    oid = F.regexp_extract("_id", OID_RE, 1)
+    return commits.withColumn("_id", F.when(oid != "", oid).otherwise(F.col("_id")))
+
+
+def read_commits(spark: SparkSession, path: str, multi_line: bool = False, infer_schema: bool = False,
+                 quarantine: bool = False) -> DataFrame:
+    """Commit JSON with the explicit schema of §1.2 and a plain ``_id``; broken documents fail, or are
+    kept apart with ``quarantine``.
 
     ``infer_schema=True`` lets Spark infer the schema instead (an extra full pass over the data,
     and types follow the data: avoid at scale)."""
-    pin_utc(spark)
-    r = spark.read if infer_schema else spark.read.schema(schemas.COMMIT)
-    return (r.option("multiLine", multi_line)
-            .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss[.SSS]XXX")
-            .option("inferTimestamp", True)
-            .json(path))
+    require_utc(spark)
+    if infer_schema:
+        return (spark.read.option("multiLine", multi_line).option("timestampFormat", TIMESTAMPS)
+                .option("inferTimestamp", True).json(path))
+    return plain_id(_json(spark.read, schemas.COMMIT, quarantine).option("multiLine", multi_line).json(path))
+
+
+def read_geo(spark: SparkSession, path: str, quarantine: bool = False) -> DataFrame:
+    """Commit-geo JSON lines: (sha, createdAt, continent)."""
+    require_utc(spark)
+    return _json(spark.read, schemas.COMMIT_GEO, quarantine).json(path)
+
+
+def read_geo_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
+                    quarantine: bool = False) -> DataFrame:
+    """Streaming commit-geo JSON lines from a directory."""
+    require_utc(spark)
+    r = _json(spark.readStream, schemas.COMMIT_GEO, quarantine)
+    return (r.option("maxFilesPerTrigger", max_files_per_trigger) if max_files_per_trigger else r).json(path)
 
 
 MONTH_COLUMN = "commit_month"  # partition column of stored commit tables: committer month, yyyy-MM
@@ -58,17 +95,16 @@ def write_commit_table(commits: DataFrame, path: str, mode: str = "errorifexists
 
 def read_commit_table(spark: SparkSession, path: str) -> DataFrame:
     """A table written by ``write_commit_table`` (the month column comes from the folder names)."""
-    pin_utc(spark)
+    require_utc(spark)
     return spark.read.option("basePath", path).parquet(path)
 
 
-def read_commit_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming commit JSON lines from a directory."""
-    pin_utc(spark)
-    r = spark.readStream.schema(schemas.COMMIT)
-    if max_files_per_trigger:
-        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return r.json(path)
+def read_commit_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
+                       quarantine: bool = False) -> DataFrame:
+    """Streaming commit JSON lines from a directory; ids and broken documents as in ``read_commits``."""
+    require_utc(spark)
+    r = _json(spark.readStream, schemas.COMMIT, quarantine)
+    return plain_id((r.option("maxFilesPerTrigger", max_files_per_trigger) if max_files_per_trigger else r).json(path))
 
 
 def _str(c: Column) -> Column:
@@ -117,10 +153,10 @@ def _sha(prefix: str, k: Column) -> Column:
     return F.md5(F.concat(F.lit(prefix), _str(k)))
 
 
-def lineitem_files(spark: SparkSession, sf_dir: str, spread_scan: bool = False) -> DataFrame:
+def lineitem_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One file record per ``lineitem`` row: (l_orderkey, file struct)."""
     li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
-                    "l_quantity", "l_extendedprice", "l_returnflag", spread_scan=spread_scan)
+                    "l_quantity", "l_extendedprice", "l_returnflag")
     pk = F.col("l_partkey")
     ext = F.element_at(F.array(*[F.lit(e) for e in FILE_EXTENSIONS]), (pk % 8 + 1).cast("int"))
     filename = F.when(pk % 97 == 0, F.lit(None).cast("string")).otherwise(
@@ -147,7 +183,7 @@ def _order_commit(stats: Column, files: Column) -> dict[str, Column]:
     repo = F.concat(F.lit("repo"), _str(k % 11))
     url = F.concat(F.lit(API_PREFIX), owner, F.lit("/"), repo, F.lit("/commits/"), sha)
     author = F.concat(F.lit("own"), _str(F.col("o_custkey") % 40))
-    committer = F.when(k % 5 == 0, F.lit("GitHub")).otherwise(author)
+    committer = F.when(k % 211 == 0, F.lit(None).cast("string")).when(k % 5 == 0, F.lit("GitHub")).otherwise(author)
     cdate = F.timestamp_seconds(F.unix_seconds(F.col("o_orderdate").cast("timestamp")) + (k * 7919) % 86400)
     adate = F.timestamp_seconds(F.unix_seconds(cdate) - (k % 4) * 25200)
     message = F.concat(F.when(k % 9 == 0, F.lit("Oops, ")).otherwise(F.lit("")),
@@ -161,7 +197,7 @@ def _order_commit(stats: Column, files: Column) -> dict[str, Column]:
 
 def commit_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Batch commits: one per ``orders`` row, files from its ``lineitem`` rows (§4.1)."""
-    pin_utc(spark)
+    require_utc(spark)
     o = _orders(spark, sf_dir)
     files = (lineitem_files(spark, sf_dir)
              .groupBy("l_orderkey")
@@ -179,16 +215,28 @@ def commit_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.select(*_named(_order_commit(stats, file_list)))
 
 
-def commit_file_view(spark: SparkSession, sf_dir: str, spread_scan: bool = False) -> DataFrame:
+def commit_stats_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per commit and file with the committer (``commit``) and the file's share of the commit's
+    ``stats`` (null without stats): sums per committer equal those over ``commit_view``, a filter on
+    commit columns reaches the orders before anything is joined or summed."""
+    require_utc(spark)
+    o = _orders(spark, sf_dir)
+    f = lineitem_files(spark, sf_dir)
+    j = o.join(f, o.o_orderkey == f.l_orderkey, "left")
+    stats = F.when(F.col("o_orderkey") % 10 != 3, F.struct(
+        F.col("file.changes").alias("total"), F.col("file.additions").alias("additions"),
+        F.col("file.deletions").alias("deletions")))
+    return j.select(*_named(_order_commit(stats, F.lit(None)), drop=("files",)))
+
+
+def commit_file_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per committed file: the commit columns (without ``stats``/``files``) plus ``file``.
 
     Equal to exploding ``commit_view``'s ``files``, but built as a plain join of ``lineitem`` with
-    its order, so file-level analytics skip gathering and re-exploding per-commit arrays.
-    ``spread_scan`` is for queries that use whole file records (hashing, sorting) before their
-    first shuffle (see ``sources.tables``)."""
-    pin_utc(spark)
+    its order, so file-level analytics skip gathering and re-exploding per-commit arrays."""
+    require_utc(spark)
     o = _orders(spark, sf_dir)
-    f = lineitem_files(spark, sf_dir, spread_scan)
+    f = lineitem_files(spark, sf_dir)
     j = f.join(o, f.l_orderkey == o.o_orderkey)
     return j.select(*_named(_order_commit(F.lit(None), F.lit(None)), drop=("stats", "files")), "file")
 
@@ -221,20 +269,14 @@ def _event_commit_columns(ev: DataFrame) -> DataFrame:
                                             F.array().cast("array<struct<sha:string>>"), stats, files)))
 
 
-def _events(spark: SparkSession, sf_dir: str, stream: bool, max_files_per_trigger: int | None = None) -> DataFrame:
-    pin_utc(spark)
-    if not stream:
-        return read_table(spark, sf_dir, "events")
-    ev_schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    r = spark.readStream.schema(ev_schema).option("pathGlobFilter", "events.parquet")
-    if max_files_per_trigger:
-        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return r.parquet(sf_dir)
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    require_utc(spark)
+    return read_table(spark, sf_dir, "events")
 
 
-def event_commit_view(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:
-    """Stream commits: one per ``events`` row, one file each (§4.2). ``stream=True`` reads with readStream."""
-    return _event_commit_columns(_events(spark, sf_dir, stream))
+def event_commit_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stream commits: one per ``events`` row, one file each (§4.2)."""
+    return _event_commit_columns(_events(spark, sf_dir))
 
 
 def events_to_commits(events: DataFrame) -> DataFrame:
@@ -250,6 +292,6 @@ def events_to_geo(events: DataFrame) -> DataFrame:
                          F.concat(F.lit("k"), _str(F.col("user_id") % 6)).alias("continent"))
 
 
-def geo_view(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:
+def geo_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Commit-geo events: (sha, createdAt, continent), createdAt near the commit's time (§4.2)."""
-    return events_to_geo(_events(spark, sf_dir, stream))
+    return events_to_geo(_events(spark, sf_dir))

@@ -38,11 +38,6 @@ def order_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.transform("_it", lambda s: s["opt_value"]).alias("oxs"), xss.alias("xss"))
 
 
-def nested_order_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(list_id, xss): per order, one inner list per line status (F < O), items by key."""
-    return order_lists(spark, sf_dir).select("list_id", "xss")
-
-
 def grades(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(student_id, pos, grade): a student per order, grade = quantity % 11 (0..10)."""
     items = order_items(spark, sf_dir)

@@ -1,40 +1,11 @@
-"""Reading the driver's tables.
-
-A parquet row group is the smallest unit a scan can split.  A table stored as one large row
-group is read by one task however many cores there are, and every expression before the first
-shuffle runs in that task.  ``read_table`` therefore round-robins the rows over the cores when a
-scan yields fewer partitions than the session's default parallelism.  Tables written as many
-files or row groups (any large table) already give at least that many partitions, and then it
-adds nothing.  Measured at sf0.1 on 8 cores: spreading makes the word count 1.3x and the newest
-file per repository 1.8x faster, while spreading scans followed only by light projections costs
-up to 2x, so callers opt in where heavy per-row work precedes the first shuffle.
-"""
+"""Reading the driver's tables.  How a scan is split belongs to the session
+(``spark.sql.files.maxPartitionBytes``) and to the file layout, not to the queries."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-SPREAD_CONF = "sparklytics.spreadScans"  # session setting; "false" turns spreading off
-
-
-def spread(df: DataFrame) -> DataFrame:
-    spark = df.sparkSession
-    if spark.conf.get(SPREAD_CONF, "true").lower() == "false":
-        return df
-    try:
-        cores = spark.sparkContext.defaultParallelism
-        parts = df.rdd.getNumPartitions()  # plans the scan; runs no job
-    except Exception:  # noqa: BLE001  (no RDD view, e.g. Spark Connect: leave the scan as it is)
-        return df
-    return df.repartition(cores) if parts < cores else df
-
-
-def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str, spread_scan: bool = False) -> DataFrame:
-    """A driver table, optionally spread (see ``spread``).  Spreading costs a round-robin shuffle,
-    so it only pays where heavy per-row work (regular expressions over long texts) comes before
-    the first shuffle; light projections are cheaper on the scan's own tasks."""
+def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    if columns:
-        df = df.select(*columns)
-    return spread(df) if spread_scan else df
+    return df.select(*columns) if columns else df

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import pin_utc
+from ..session import require_utc
 from .tables import read_table
 
 
@@ -37,7 +37,7 @@ def _client(uid):
 
 def access_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One Common-Log-Format line per event: (line_no, value)."""
-    pin_utc(spark)
+    require_utc(spark)
     ev = read_table(spark, sf_dir, "events")
     uid, et = F.col("user_id"), F.col("event_type")
     method = F.when(et.isin("signup", "purchase"), F.lit("POST")).otherwise(F.lit("GET"))
@@ -45,14 +45,14 @@ def access_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.floor(F.col("value")).cast("bigint").cast("string"))
     line = F.concat(_client(uid), F.lit(" - - ["),
                     F.date_format(F.col("ts"), "dd/MMM/yyyy:HH:mm:ss"), F.lit(" +0000] \""),
-                    method, F.lit(" /e/"), et, F.lit("?u="), uid.cast("string"), F.lit(" HTTP/1.1\" "),
+                    method, F.lit(" /e/"), et, F.when(F.col("event_id") % 41 == 0, F.lit(" odd")).otherwise(F.lit("")), F.lit("?u="), uid.cast("string"), F.lit(" HTTP/1.1\" "),
                     F.when(et == "error", F.lit("500")).otherwise(F.lit("200")), F.lit(" "), size)
     return ev.select(F.col("event_id").alias("line_no"), line.alias("value"))
 
 
 def error_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apache-style error lines for the ``error`` events: (line_no, value)."""
-    pin_utc(spark)
+    require_utc(spark)
     ev = read_table(spark, sf_dir, "events").filter(F.col("event_type") == "error")
     k = F.col("event_id")
     msg = F.when(k % 2 == 0, F.concat(F.lit("File does not exist: /var/www/e/"), k.cast("string"))) \
@@ -64,4 +64,4 @@ def error_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def book_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ``documents`` table as a book: (doc_id, text), chapters in ``doc_id`` order."""
-    return read_table(spark, sf_dir, "documents", "doc_id", "text", spread_scan=True)
+    return read_table(spark, sf_dir, "documents", "doc_id", "text")

@@ -8,7 +8,7 @@ watermark is a no-op and windows are plain grouping keys.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as K
@@ -88,16 +88,22 @@ def daily_repo_summary(commits: DataFrame, watermark: str = "0 seconds", min_com
                        max_committers: int = K.SUMMARY_MAX_COMMITTERS) -> DataFrame:
     """Per owner/repo and UTC day: commits, distinct committers, total changes and the top
     committer(s) (alphabetical, comma-joined); kept when commits > ``min_commits`` and committers
-    <= ``max_committers``.  Two chained aggregations (append mode on streams)."""
+    <= ``max_committers``.  Two chained aggregations (append mode on streams).
+
+    With at most two committers, the smallest and the largest (count, name) name them all, so days
+    with many committers are never gathered.  A larger ``max_committers`` gathers each day's list."""
     t = _timed(commits, fields.full_name("url").alias("repo"), F.col("commit.committer.name").alias("committer"),
                fields.stat("total").alias("changes"), watermark=watermark)
     per_person = t.groupBy(F.window("ts", "1 day").alias("w"), "repo", "committer").agg(
         F.count(F.lit(1)).alias("n"), F.sum("changes").alias("changes"))
+    person = F.struct("n", "committer")
+    people = ([F.min(person).alias("_low"), F.max(person).alias("_high")] if max_committers <= 2
+              else [F.collect_list(person).alias("_people")])
     per_repo = per_person.groupBy("w", "repo").agg(
         F.sum("n").alias("amountOfCommits"), F.count(F.lit(1)).alias("amountOfCommitters"),
-        F.sum("changes").alias("totalChanges"), F.max("n").alias("_top"),
-        F.collect_list(F.struct("n", "committer")).alias("_people"))
-    top = F.array_join(F.array_sort(F.transform(F.filter("_people", lambda p: p["n"] == F.col("_top")),
+        F.sum("changes").alias("totalChanges"), F.max("n").alias("_top"), *people)
+    named = F.array_distinct(F.array("_low", "_high")) if max_committers <= 2 else F.col("_people")
+    top = F.array_join(F.array_sort(F.transform(F.filter(named, lambda p: p["n"] == F.col("_top")),
                                                 lambda p: p["committer"])), ",")
     return (per_repo.filter((F.col("amountOfCommits") > min_commits) & (F.col("amountOfCommitters") <= max_committers))
             .select("repo", F.date_format("w.start", DAY_FMT).alias("date"), "amountOfCommits",
@@ -140,7 +146,7 @@ def interval_seconds(text: str) -> int:
 
 
 def added_then_removed(commits: DataFrame, within: str = K.ADDED_REMOVED_WITHIN, watermark: str | None = "0 seconds",
-                       dedupe: str = "global") -> DataFrame:
+                       dedupe: str = "watermark") -> DataFrame:
     """(repository, filename) of files removed less than ``within`` (H) after being added
     (strictly later, D16), one row per pair of names.  Static or streaming input.
 
@@ -153,9 +159,9 @@ def added_then_removed(commits: DataFrame, within: str = K.ADDED_REMOVED_WITHIN,
     * across the halves: the earliest removal of the second half comes less than H after the
       latest addition of the first half.
 
-    On a stream the windows are emitted once the watermark passes them (append mode) and names
-    are deduplicated: ``dedupe="global"`` keeps the result's keys as state, ``"watermark"`` only
-    drops repeats within the watermark delay.
+    On a stream the windows are emitted once the watermark passes them (append mode).  Names are
+    deduplicated within the watermark delay (``dedupe="watermark"``), so state stays bounded and a name
+    may come again from a later window; ``"global"`` keeps every name of the result as state for ever.
     """
     h = interval_seconds(within)
     h_us = F.lit(h * 1_000_000)
@@ -173,15 +179,16 @@ def added_then_removed(commits: DataFrame, within: str = K.ADDED_REMOVED_WITHIN,
         F.min(F.when(add & first, us)).alias("a_min"), F.max(F.when(add & first, us)).alias("a_max"),
         F.max(F.when(rem & first, us)).alias("r_max"), F.min(F.when(rem & ~first, us)).alias("r_min"))
     hit = per.filter((F.col("a_min") < F.col("r_max")) | (F.col("r_min") < F.col("a_max") + h_us))
-    names = hit.select("repository", "filename", F.col("w.end").alias("_t"))
+    names = hit.select("repository", "filename")
     if commits.isStreaming:
-        if dedupe == "watermark":
-            return names.dropDuplicatesWithinWatermark(["repository", "filename"]).select("repository", "filename")
+        if dedupe == "watermark":  # window_time keeps the event time's watermark
+            timed = hit.select("repository", "filename", F.window_time("w").alias("_t"))
+            return timed.dropDuplicatesWithinWatermark(["repository", "filename"]).select("repository", "filename")
         return names.dropDuplicates(["repository", "filename"]).select("repository", "filename")
     return names.select("repository", "filename").distinct()
 
 
 def added_then_removed_stream(commits: DataFrame, within: str = K.ADDED_REMOVED_WITHIN, watermark: str = "0 seconds",
-                              dedupe: str = "global") -> DataFrame:
+                              dedupe: str = "watermark") -> DataFrame:
     """C9 on a stream (same plan as ``added_then_removed``; kept as the streaming entry point)."""
     return added_then_removed(commits, within, watermark, dedupe)

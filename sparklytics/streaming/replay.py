@@ -1,10 +1,12 @@
 """Replay a static ``events``-shaped table through Structured Streaming.
 
-The rows are written as time-ordered parquet batches (one file per batch) under the session's
-checkpoint folder, read back with ``readStream`` one file per trigger, pushed through the query
-and written to a parquet sink.  A bounded source ends, but append-mode windows only close when
-the watermark passes them, so an optional sentinel batch (one row far past the end) closes
-every real window; the sentinel's own window never closes, so it never reaches the sink.
+The table is cut into time-ordered batches; rows without a timestamp belong to the first one.  Each
+batch is written to the source folder with the table's own parallelism and then run to its end
+(``availableNow``) on the same checkpoint, so the order of batches comes from the runs, never from
+file times, and no batch goes through a single task.  A bounded source ends, but append-mode windows
+only close when the watermark passes them, so an optional sentinel batch (one row far past the
+end) closes every real window; the sentinel's own window never closes, so it never reaches the sink.
+Source and state are removed when the last run ends; the sink holds the result.
 """
 
 from __future__ import annotations
@@ -21,42 +23,52 @@ from . import jobs
 SENTINEL_GAP = "60 days"
 
 
-def _write_batches(events: DataFrame, src: str, n_batches: int, ts: str, sentinel: bool, id_col: str) -> None:
-    lo, hi, max_id = events.agg(F.min(ts), F.max(ts), F.max(id_col)).first()
-    span = (hi - lo) / n_batches
+def _batches(events: DataFrame, n_batches: int, ts: str, sentinel: bool, id_col: str) -> list[DataFrame]:
+    """Every row is in exactly one batch; the sentinel, if any, is one more."""
+    micros = F.unix_micros(F.col(ts).cast("timestamp"))
+    lo, hi, max_id = events.agg(F.min(micros), F.max(micros), F.max(id_col)).first()
+    if lo is None:  # no timestamps: one batch, and no window to close
+        return [events]
+    cuts = [lo + (hi - lo) * i // n_batches for i in range(1, n_batches)]
+    out = []
     for i in range(n_batches):
-        a, b = lo + span * i, (lo + span * (i + 1) if i < n_batches - 1 else None)
-        part = events.filter(F.col(ts) >= F.lit(a)) if i else events
-        if b is not None:
-            part = part.filter(F.col(ts) < F.lit(b))
-        part.coalesce(1).write.parquet(f"{src}/batch-{i:05d}")
+        inside = F.lit(True)
+        if i:
+            inside = inside & (micros >= cuts[i - 1])
+        if i < n_batches - 1:
+            inside = inside & (micros < cuts[i])
+        out.append(events.filter(inside if i else inside | F.col(ts).isNull()))
     if sentinel:
-        one = events.orderBy(F.col(ts).desc()).limit(1)
-        one = one.withColumn(ts, F.col(ts) + F.expr(f"INTERVAL {SENTINEL_GAP}")) \
-            .withColumn(id_col, F.lit(max_id + 1).cast(events.schema[id_col].dataType))
-        one.coalesce(1).write.parquet(f"{src}/batch-{n_batches:05d}")
+        one = events.orderBy(F.col(ts).desc_nulls_last()).limit(1)
+        out.append(one.withColumn(ts, F.col(ts) + F.expr(f"INTERVAL {SENTINEL_GAP}"))
+                   .withColumn(id_col, F.lit(max_id + 1).cast(events.schema[id_col].dataType)))
+    return out
 
 
 def replay(spark: SparkSession, events: DataFrame, build: Callable[[DataFrame], DataFrame], *,
            n_batches: int = 8, output_mode: str = "append", sentinel: bool = True, ts: str = "ts",
-           id_col: str = "event_id", keys: list[str] | None = None, workdir: str | None = None) -> DataFrame:
+           id_col: str = "event_id", keys: list[str] | None = None, workdir: str | None = None,
+           keep: bool = False) -> DataFrame:
     """Run ``build(stream_of_events)`` as a streaming query over ``events`` and return the sink's rows.
 
     ``append``: the parquet sink's rows.  ``complete``: the last micro-batch's table.
-    ``update``: every micro-batch's changed rows are kept with their batch id; the result is the
-    latest row per ``keys`` (an upsert, computed by one aggregation at the end)."""
+    ``update``: the latest row per ``keys``.  ``keep`` leaves the source and the state in place."""
     base = workdir or f"{checkpoint_dir(spark).rstrip('/')}/replay-{uuid.uuid4().hex}"
     src, out, ckpt = f"{base}/source", f"{base}/sink", f"{base}/state"
-    _write_batches(events, src, n_batches, ts, sentinel, id_col)
-    stream = (spark.readStream.schema(events.schema)
-              .option("recursiveFileLookup", "true").option("maxFilesPerTrigger", 1)
-              .parquet(src))
-    result = build(stream)
-    q = jobs.start(result, out, f"replay_{uuid.uuid4().hex[:8]}", output_mode=output_mode, keys=keys,
-                   trigger={"availableNow": True}, checkpoint=ckpt)
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
+    name = f"replay_{uuid.uuid4().hex[:8]}"
+    for batch in _batches(events, n_batches, ts, sentinel, id_col):
+        batch.write.mode("append").parquet(src)
+        result = build(spark.readStream.schema(events.schema).parquet(src))
+        q = jobs.start(result, out, name, output_mode=output_mode, keys=keys,
+                       trigger={"availableNow": True}, checkpoint=ckpt)
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise RuntimeError(str(q.exception()))
+    if not keep:
+        jobs.remove(spark, src)
+        jobs.remove(spark, ckpt)
     if output_mode == "update":
         return jobs.read_latest(spark, out, keys)
+    if output_mode == "complete":
+        return jobs.read_complete(spark, out)
     return spark.read.schema(result.schema).parquet(out)

@@ -99,7 +99,8 @@ def test_b7_b9_repo_overviews(spark):
     df = commits_df(spark, [commit("1", committer="x", files=[file("a", additions=1, deletions=2)]),
                             commit("2", committer="y", files=[file("a", additions=3, deletions=0)]),
                             commit("3", committer="x", repo="q")])
-    assert rows(pairs.repo_commits_and_committers(df), "repository", "commits") == [("q", 1), ("r", 2)]
+    assert rows(pairs.repo_commits_and_committers(df, nested=True), "repository", "commits") == [("q", 1), ("r", 2)]
+    assert rows(pairs.repo_commit_totals(df), "repository", "commits") == [("q", 1), ("r", 2)]
     r = pairs.repo_file_overview(df, "r", nested=True).collect()[0]
     assert (r["filename"], r["shas"], r["total"], r["additions"], r["deletions"]) == ("a", ["1", "2"], 6, 4, 2)
     assert rows(pairs.repo_file_overview(df, "r")) == [("a", "1", 6, 4, 2), ("a", "2", 6, 4, 2)]

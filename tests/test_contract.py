@@ -4,14 +4,15 @@ import pytest
 from pyspark.sql import types as T
 
 import __spark_entry__ as entry
+from sparklytics.plans.catalog import QUERIES
 
 SF = "/root/testdata/sf0.001"
 ALLOWED = (T.StringType, T.LongType, T.TimestampNTZType, T.BooleanType, T.DoubleType, T.DateType)
 
 
-@pytest.mark.parametrize("name", sorted(k for k in entry.queries() if not k.endswith("_replay")))
+@pytest.mark.parametrize("name", sorted(k for k in QUERIES if not k.endswith("_replay")))
 def test_flat_schema(spark, name):
-    schema = entry.queries()[name](spark, SF).schema
+    schema = QUERIES[name](spark, SF).schema
     names = [f.name for f in schema.fields]
     assert len(names) == len(set(names)), names
     for f in schema.fields:

@@ -3,11 +3,12 @@
 import pytest
 
 import __spark_entry__ as entry
-from sparklytics.plans.verify import compare, duckdb_connection
+from sparklytics.plans.catalog import QUERIES
+from sparklytics.plans.oracle import ORACLE
+
+from .verify import compare, duckdb_connection
 
 SF = "/root/testdata/sf0.001"
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -15,10 +16,9 @@ def con():
     return duckdb_connection(SF)
 
 
-def test_every_query_has_an_oracle_or_a_reason():
-    without = set(QUERIES) - set(ORACLE)
-    assert without == {"find_files_by_name"}  # a directory listing, not a table query
-    assert set(ORACLE) <= set(QUERIES)
+def test_every_query_has_an_oracle():
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
@@ -30,8 +30,3 @@ def test_matches_oracle(spark, con, name):
 def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.columns == ["repository", "week", "year", "count"] and df.count() > 0
-
-
-def test_listing_finds_the_table_file(spark):
-    paths = [r["path"] for r in QUERIES["find_files_by_name"](spark, SF).collect()]
-    assert [p.rsplit("/", 1)[1] for p in paths] == ["lineitem.parquet"]
