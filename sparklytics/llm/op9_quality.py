@@ -223,10 +223,10 @@ def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, pool: int
                 [b.column("chosen_id"), b.column("label"), pa.array([v.tobytes() for v in x], pa.binary())],
                 names=["chosen_id", "label", "x"])
     seen = rows.mapInArrow(view, "chosen_id bigint, label int, x binary").toPandas().sort_values("chosen_id", kind="stable")
-    x = np.frombuffer(b"".join(seen["x"]), np.float32).reshape(len(seen), N_TEXT + N_META)
-    y = seen["label"].to_numpy()
+    y = seen["label"].to_numpy(int)
     if len(set(y[y >= 0])) < 2:  # labels of documents that aren't there
         return float(y[y >= 0].mean()) if (y >= 0).any() else 1.0
+    x = np.frombuffer(b"".join(seen["x"]), np.float32).reshape(len(seen), N_TEXT + N_META)
     return co_train(x[:, :N_TEXT], x[:, N_TEXT:], y)
 
 
