@@ -20,25 +20,27 @@ NOTES = {
     "commits_per_weekday": "partial + final aggregate",
     "author_committer_lag_seconds": "map-only projection",
     "branch_points": "one scan, no join: presence and parent-edge rows grouped by sha; distinct count shuffles by (sha, child), then partial counts per sha",
-    "fork_points": "explode parents, equi-join on sha (sort-merge at scale, AQE splits skewed partitions), distinct",
+    "fork_points": "explode parents, both sides distinct, then an equi-join on sha with nothing above it: AQE splits a hot parent",
     "commit_count": "partial count per task, one row per task to the final count",
-    "file_extension_counts": "flat file rows (no per-commit arrays), partial aggregate",
-    "author_rank": "aggregate, range partition + checkpoint, per-partition offsets (one row per partition) broadcast",
-    "committer_stats_totals": "`isin` before the shuffle, partial sums",
+    "file_extension_counts": "one scan of the files, partial aggregate",
+    "author_rank": "aggregate, range partition + checkpoint (at first use), per-partition offsets (one row per partition) broadcast",
+    "committer_stats_totals": "`isin` reaches the orders before the join; one sum per committer",
     "exclusive_owners_or_authors": "one aggregation over the union of both roles (no full outer join)",
     "longest_revert_streak": "(author, streak) counts, then max(struct) per author over the reduced rows",
-    "repo_commits_and_committers": "(repo, committer) reduced first; list holds distinct committers only",
+    "repo_commits_and_committers": "one partial aggregate per (repo, committer), flat",
     "latest_files_per_repo": "max_by per (repo, file) with a map-side partial aggregate (sort-based: the ordering key is a struct), so a hot file ships one row per task",
-    "repo_file_overview": "per (file, sha) and per file aggregates joined back; no per-file array",
+    "repo_file_overview": "one aggregate per (file, sha); totals per (file, salt) joined back, so a hot file is spread; no per-file array",
     "committer_repo_stats": "partial sums per (committer, repo)",
     "md5_long_id": "map-only expression",
+    "developer_repo_vertices": "distinct pairs, then distinct names of each kind",
+    "developer_repo_edges": "distinct pairs, map-only ids",
+    "repo_commit_totals": "(repo, committer) reduced first, then per repo",
     "developer_repo_graph": "one scan: distinct pairs, each pair exploded to its two ends, one degree aggregate",
     "avg_additions": "global partial aggregate",
     "peak_js_hour": "flat file rows, aggregate, then top-1 (TakeOrderedAndProject)",
     "top_committer_of_repo": "aggregate then top-1",
     "commits_per_repo_in_year": "range predicate on the timestamp (reaches a parquet scan), partial aggregate",
-    "top_file_formats": "flat file rows, aggregate, then top-5",
-    "find_files_by_name": "file listing only; contents never read",
+    "top_file_formats": "one scan of the files, aggregate, then top-5",
     "lines_containing": "map-only filter",
     "first_quoted_requests": "filter then top-3 by line order (each task keeps 3)",
     "post_requests": "map-only parse + filter",
@@ -46,16 +48,16 @@ NOTES = {
     "top_post_client": "partial aggregate, top-1",
     "access_log_to_csv": "map-only parse",
     "top_words": "explode words, partial aggregate (a common word costs one row per task), top-10",
-    "first_sentences": "top-n documents holding a sentence (no split), then split only those",
+    "first_sentences": "one scan: top-n documents holding a sentence, then split only those",
     "fix_lowercase_i": "map-only regex replace",
-    "list_sum_first_n_above": "row_number <= n: map-side WindowGroupLimit before the shuffle",
+    "list_sum_first_n_above": "values above x numbered first, row_number <= n: map-side WindowGroupLimit before the shuffle; every list keeps a row",
     "passing_students": "per-student partial aggregate, then a global count",
     "first_head_sums_tail": "row-local predicate, global min_by",
     "fizzbuzz_label": "map-side CASE, partial aggregate",
     "stream_added_then_removed": "sliding windows (2H, slide H) per file with four conditional min/max aggregates (partial, map-side); no add x remove pairs, same plan on a stream",
     "stream_added_then_removed_1h": "as above with H = 1 hour",
     "stream_weekly_java_changes_by_continent": "equi-join on sha with a time-range condition, weekly window aggregate",
-    "stream_daily_repo_summary": "two chained aggregates: (day, repo, committer) then (day, repo)",
+    "stream_daily_repo_summary": "two chained aggregates: (day, repo, committer) then (day, repo); two (count, name) pairs per group",
 }
 ARRAY_NOTE = "row-local higher-order expression; the lists come from one aggregate per order"
 STREAM_NOTE = "same function as on a stream; windows are grouping keys on static input"
@@ -85,8 +87,6 @@ def main():
              f"Physical plans of the catalogue at `{os.path.basename(sf_dir)}` (AQE off, so these are the static plans;",
              "broadcast joins here become sort-merge joins once inputs exceed the broadcast threshold).",
              "Generated by `tools/plan_report.py`. `*_replay` keys run the same functions through Structured Streaming.",
-             "RoundRobinPartitioning exchanges are `read_table` spreading a single-row-group document scan over the",
-             "cores; on tables with enough splits they are absent.",
              "", "| key | physical shape | why it holds at scale |", "| --- | --- | --- |"]
     for name, fn in QUERIES.items():
         if name.endswith("_replay"):
