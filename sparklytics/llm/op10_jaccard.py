@@ -10,13 +10,20 @@ and two are linked when it is at most r = 1 - threshold.  The result is each doc
    Linked sizes differ by at most the threshold, so a shingle's documents are cut into windows of
    size, and documents on a window's upper edge are replicated into the window before it.  Every linked
    pair meets in a region; documents that share no such shingle with any other drop out here.
-3. Inside a region, cells.  Pivots are taken until each member is within r of one, and each member
-   belongs to its nearest pivot (its Voronoi cell).  Members of a cell are connected through it.
+3. Regions are thinned out by a cheaper distance that never exceeds the number of shingles in which
+   two sets differ: the L1 distance of their histograms over hash buckets, an eightieth of a set's
+   size.  Members within the bound that linked sets must keep form candidate components over
+   all regions; a document alone in its component drops out.  Only now are sets moved, once each.
+4. Inside a candidate component, cells.  Pivots are taken until each member is within r of one, and each
+   member belongs to its nearest pivot (its Voronoi cell).  Members of a cell are connected through it.
    Links between cells can only run between pivots at most 3r apart, and there only between members
    within 2r of the other cell's pivot: these boundary windows are compared exactly.  A member that a
-   pivot finds within r is linked directly.  Regions above ``REGION`` members are split by hash into
-   blocks, and each pair of blocks is such a region (exact, bounded memory).
-4. Regions' components are merged by passing the smallest document on until nothing changes.
+   pivot finds within r is linked directly.
+5. Components are merged by passing the smallest document on until nothing changes.
+
+Regions and candidate components above ``REGION`` members are split by hash into blocks, and each pair of
+blocks is joined by itself: exact, and in bounded memory, at a cost that grows with the square of
+the number of documents that are all nearly alike and not equal.
 
 Frequent shingles only affect the order, not the result: at most ``FREQUENT`` of them are held, those
 that most documents have, counted over all documents.
@@ -39,6 +46,7 @@ from .common import cut, documents, parts, text_or_empty, with_group_first
 SHINGLE, THRESHOLD = 3, (90, 100)
 FREQUENT, FREQUENT_IN_CHUNK = 65_536, 3
 REGION = 2048
+BUCKETS = (32, 4096)  # least and most buckets of a histogram; about a 16th of the set's size
 LAST = (1 << 63) - 1
 NODE = ["rid", "tid"]
 
@@ -98,7 +106,73 @@ def _prefixes(batches, shingle: int, num: int, den: int, frequent: np.ndarray):
             prefix.append(v[np.argsort(order[e - m:e], kind="stable")[:k]].view(np.int64) if m else v.view(np.int64))
         yield pa.RecordBatch.from_arrays(
             [b.column("rid"), b.column("tid"), b.column("doc_id"), pa.array(n), pa.array(d1), pa.array(d2),
-             pa.array(prefix, pa.list_(pa.int64()))], names=["rid", "tid", "doc_id", "n", "d1", "d2", "prefix"])
+             pa.array(prefix, pa.list_(pa.int64())), pa.array([histogram(v).tobytes() for v in every], pa.binary())],
+            names=["rid", "tid", "doc_id", "n", "d1", "d2", "prefix", "hist"])
+
+
+def histogram(v: np.ndarray) -> np.ndarray:
+    """Counts of a set's shingles over hash buckets, a power of two of them, cut off at 16 bits."""
+    size = min(max(BUCKETS[0], 1 << (len(v) // 16).bit_length()), BUCKETS[1])
+    n = np.bincount(((v >> th.U64(20)) & th.U64(size - 1)).astype(np.int64), minlength=size)
+    return np.minimum(n, 65535).astype("<u2")
+
+
+def close_histograms(hists: list[np.ndarray], n: np.ndarray, num: int, den: int) -> list[int]:
+    """For each member the number of the smallest one it is connected with by histograms that linked
+    sets could have: the sets differ in at most (1 - t) / (1 + t) of their summed sizes."""
+    size = min(len(h) for h in hists)
+    h = np.stack([x.reshape(-1, size).sum(0) for x in (y.astype(np.int32) for y in hists)])  # folds larger ones
+    union = _Union(len(n))
+    for i in range(len(n) - 1):
+        apart = np.abs(h[i + 1:] - h[i]).sum(1)
+        for j in np.flatnonzero((num + den) * apart <= (den - num) * (n[i + 1:] + n[i])).tolist():
+            union.join(i, i + 1 + j)
+    return [union.find(i) for i in range(len(n))]
+
+
+def _candidates(batches, num: int, den: int):
+    """Rows arrive by region (and pair of blocks).  Emits its candidate components of two and more."""
+    keys = ["pr", "pt", "a", "b"]
+    held = None
+
+    def flush(t: pa.Table, out):
+        cols = {c: t[c].to_numpy() for c in (*keys, "rid", "tid", "n")}
+        hists = t["hist"].to_pylist()
+        new = np.zeros(t.num_rows, bool)
+        new[0] = True
+        for c in keys:
+            new[1:] |= cols[c][1:] != cols[c][:-1]
+        first = np.r_[np.flatnonzero(new), t.num_rows]
+        for a, z in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
+            if z - a < 2:
+                continue
+            root = np.array(close_histograms([np.frombuffer(x, "<u2") for x in hists[a:z]], cols["n"][a:z], num, den))
+            many = np.bincount(root, minlength=len(root))[root] > 1
+            if many.any():
+                at = a + np.flatnonzero(many)
+                for c in (*keys, "rid", "tid"):
+                    out[c].append(cols[c][at])
+                out["root"].append(root[many])
+    for b in batches:
+        t = pa.Table.from_batches([b]) if held is None else pa.concat_tables([held, pa.Table.from_batches([b])])
+        last = [t[c][t.num_rows - 1].as_py() for c in keys] if t.num_rows else None
+        if last is None:
+            continue
+        same = np.ones(t.num_rows, bool)
+        for c, v in zip(keys, last, strict=True):
+            same &= t[c].to_numpy() == v
+        cut_at = t.num_rows - int(same.sum())
+        held = t.slice(cut_at)
+        out = {c: [] for c in (*keys, "root", "rid", "tid")}
+        if cut_at:
+            flush(t.slice(0, cut_at), out)
+        if out["rid"]:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(v).astype(np.int64)) for v in out.values()], names=[*out])
+    if held is not None:
+        out = {c: [] for c in (*keys, "root", "rid", "tid")}
+        flush(held, out)
+        if out["rid"]:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(v).astype(np.int64)) for v in out.values()], names=[*out])
 
 
 def _regions(batches, num: int, den: int):
@@ -233,21 +307,26 @@ def _join_region(t: pa.Table, num: int, den: int) -> pa.Table:
     return pa.table({**own, "root": root[many].astype(np.int64), "rid": rid[many], "tid": tid[many]})
 
 
-def _spread(batches, shingle: int):
-    """A document's set, once for each of its regions (for each pair of blocks of a large one)."""
-    names = ["pr", "pt", "a", "b", "rid", "tid", "shingles"]
+def _with_sets(batches, shingle: int):
+    names = ["pr", "pt", "blocks", "rid", "tid"]
     for b in th.chunks(batches, "text", 1 << 20):
-        out: list[list] = [[] for _ in names]
-        rid, tid = b.column("rid").to_pylist(), b.column("tid").to_pylist()
-        block = th.mix64(b.column("rid").to_numpy().view(np.uint64) * th.U64(3) + b.column("tid").to_numpy().view(np.uint64))
-        for i, (v, regions) in enumerate(zip(sets(b.column("text"), shingle), b.column("regions").to_pylist(), strict=True)):
-            raw = v.tobytes()
-            for g in regions:
-                c = int(block[i] % th.U64(g["blocks"]))
-                for o in range(g["blocks"]) if g["blocks"] > 1 else (0,):
-                    for k, x in enumerate((g["pr"], g["pt"], min(c, o), max(c, o), rid[i], tid[i], raw)):
-                        out[k].append(x)
-        yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in out[:-1]), pa.array(out[-1], pa.binary())], names=names)
+        every = pa.array([v.tobytes() for v in sets(b.column("text"), shingle)], pa.binary())
+        yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), every], names=[*names, "shingles"])
+
+
+def _in_blocks(rows: DataFrame) -> DataFrame:
+    """Adds (a, b): (0, 0), or of a group in several blocks each pair of blocks that the row's is in."""
+    own = F.pmod(F.xxhash64("rid", "tid"), F.col("blocks"))
+    other = F.explode(F.when(F.col("blocks") > 1, F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))
+                      .otherwise(F.array(F.lit(0).cast("bigint"))))
+    return (rows.withColumn("own", own).withColumn("other", other)
+            .withColumn("a", F.least("own", "other")).withColumn("b", F.greatest("own", "other")).drop("own", "other", "blocks"))
+
+
+def _sized(members: DataFrame, region: int) -> DataFrame:
+    """(pr, pt, rid, tid, blocks) of groups of two and more."""
+    return (with_group_first(members, ["pr", "pt"], NODE)
+            .select("pr", "pt", *NODE, F.ceil(F.col("n_rows") / region).cast("bigint").alias("blocks")))
 
 
 def _merge(groups: DataFrame) -> DataFrame:
@@ -260,7 +339,7 @@ def _merge(groups: DataFrame) -> DataFrame:
         best = passed.groupBy(*NODE).agg(F.min(F.struct(F.col("first.lr"), F.col("first.lt"))).alias("best"))
         new = cut(rows.join(best, NODE).select(
             *NODE, "grp", F.col("best.lr").alias("lr"), F.col("best.lt").alias("lt"),
-            ((F.col("best.lr") != F.col("lr")) | (F.col("best.lt") != F.col("lt"))).alias("moved")), "components")
+            ((F.col("best.lr") != F.col("lr")) | (F.col("best.lt") != F.col("lt"))).alias("moved")), "labels")
         rows = new.drop("moved")
         if not new.filter("moved").limit(1).count():
             return rows.groupBy(*NODE).agg(F.min("lr").alias("lr"), F.min("lt").alias("lt"))
@@ -276,26 +355,28 @@ def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, threshold: tuple
     frequent = frequent_shingles(rows, shingle)
     own = cut(rows.mapInArrow(lambda it: _prefixes(it, shingle, num, den, frequent),
                               "rid bigint, tid bigint, doc_id bigint, n bigint, d1 bigint, d2 bigint, "
-                              "prefix array<bigint>"), "prefixes")
+                              "prefix array<bigint>, hist binary"), "prefixes")
     full = own.filter("n > 0")
-    classes = with_group_first(full, ["d1", "d2", "n"], NODE, singles=True)
-    reps = classes.filter(F.struct(*NODE) == F.col("first"))
+    classes = with_group_first(full.select(*NODE, "n", "d1", "d2"), ["d1", "d2", "n"], NODE, singles=True)
+    reps = cut(classes.filter(F.struct(*NODE) == F.col("first")).select(*NODE).distinct()
+               .join(full.select(*NODE, "n", "prefix", "hist").dropDuplicates(NODE), NODE), "representatives")
     tokens = reps.select(F.explode("prefix").alias("token"), "n", *NODE)
     regions = (tokens.repartition(n_parts, "token").sortWithinPartitions("token", "n", *NODE)
                .mapInArrow(lambda it: _regions(it, num, den), "pr bigint, pt bigint, rid bigint, tid bigint").distinct())
-    members = cut(regions.unionByName(regions.select("pr", "pt", F.col("pr").alias("rid"), F.col("pt").alias("tid")).distinct()),
-                  "regions")
-    sized = with_group_first(members, ["pr", "pt"], NODE)
-    lists = sized.groupBy(*NODE).agg(F.collect_list(F.struct(
-        "pr", "pt", F.ceil(F.col("n_rows") / region).cast("int").alias("blocks"))).alias("regions"))
-    joined = (rows.select(*NODE, "text").join(lists, NODE)
-              .mapInArrow(lambda it: _spread(it, shingle),
-                          "pr bigint, pt bigint, a bigint, b bigint, rid bigint, tid bigint, shingles binary")
-              .groupBy("pr", "pt", "a", "b")
-              .applyInArrow(lambda t: _join_region(t, num, den),
-                            "pr bigint, pt bigint, a bigint, b bigint, root bigint, rid bigint, tid bigint"))
-    groups = cut(joined.select(F.struct("pr", "pt", "a", "b", "root").alias("grp"), *NODE), "region-components")
-    labels = _merge(groups)
+    pivots = regions.select("pr", "pt", F.col("pr").alias("rid"), F.col("pt").alias("tid")).distinct()
+    members = cut(regions.unionByName(pivots), "regions")
+    group = ["pr", "pt", "a", "b"]
+    out = "pr bigint, pt bigint, a bigint, b bigint, root bigint, rid bigint, tid bigint"
+    close = (_in_blocks(_sized(members, region).join(reps.select(*NODE, "n", "hist"), NODE))
+             .repartition(n_parts, *group).sortWithinPartitions(*group, *NODE)
+             .mapInArrow(lambda it: _candidates(it, num, den), out))
+    candidates = _merge(cut(close.select(F.struct(*group, "root").alias("grp"), *NODE), "candidates"))
+    sized = _sized(candidates.select(F.col("lr").alias("pr"), F.col("lt").alias("pt"), *NODE), region)
+    with_sets = (rows.select(*NODE, "text").join(sized, NODE).dropDuplicates(NODE)
+                 .select("pr", "pt", "blocks", *NODE, "text").mapInArrow(
+                     lambda it: _with_sets(it, shingle), "pr bigint, pt bigint, blocks bigint, rid bigint, tid bigint, shingles binary"))
+    joined = _in_blocks(with_sets).groupBy(*group).applyInArrow(lambda t: _join_region(t, num, den), out)
+    labels = _merge(cut(joined.select(F.struct(*group, "root").alias("grp"), *NODE), "components"))
     labelled = (full.select(*NODE, "doc_id", "n", "d1", "d2").join(labels, NODE, "left")
                 .withColumn("lt", F.coalesce("lt", "tid")).withColumn("lr", F.coalesce("lr", "rid")))
     # back from the class's document to all of its copies
