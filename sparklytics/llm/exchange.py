@@ -4,7 +4,8 @@ Documents are dealt into batches of a few megabytes (a hash of id and text decid
 each shard about its distinct keys, with its own counts, in one row: the keys are deduplicated before
 they are shuffled, however many rows of the batch repeat them.  A shard sees what all batches sent,
 answers each row, and a co-group hands the answers back to the batch.  The numbers of batches and
-shards follow the text's bytes, so a task holds a few megabytes at any corpus size.
+shards follow the text's bytes, so a task holds a few megabytes at any corpus size.  A batch sends
+nothing to shards that none of its keys belong to, so rows never outnumber keys.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import texthash as th
-from .common import parts, text_or_empty
+from .common import text_or_empty
 
 BATCH_BYTES = 4 << 20
 
@@ -23,7 +24,7 @@ BATCH_BYTES = 4 << 20
 def dealt(docs: DataFrame, *extra) -> tuple[DataFrame, int]:
     """(batch, doc_id, text, extra columns) and the number of batches."""
     size = docs.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
-    n = max(-(-size // BATCH_BYTES), 2 * parts(docs.sparkSession))
+    n = max(1, -(-size // BATCH_BYTES))
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty().alias("text"), *extra)
     return rows.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).alias("batch"), *rows.columns), n
 

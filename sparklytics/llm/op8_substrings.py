@@ -172,8 +172,9 @@ def _ask_anchors(t: pa.Table, shards: int) -> pa.Table:
     w, rid = Windows(t["text"]), _rid(t)
     keys, many, shard = _batch_anchors(w, rid, shards)
     order, cuts = by_shard(shard, shards)
-    got = [order[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-    return table({"batch": ([t["batch"][0].as_py()] * shards, pa.int64()), "shard": (list(range(shards)), pa.int64()),
+    some = np.flatnonzero(np.diff(cuts))
+    got = [order[cuts[k]:cuts[k + 1]] for k in some]
+    return table({"batch": ([t["batch"][0].as_py()] * len(some), pa.int64()), "shard": (some.tolist(), pa.int64()),
                   "keys": ([pack_sorted(keys[i] & th.U64(BITS40), 5) for i in got], pa.binary()),
                   "many": ([np.packbits(many[i]).tobytes() for i in got], pa.binary())})
 
@@ -208,7 +209,7 @@ class Shared:
         keys, _, shard = _batch_anchors(w, rid, shards)
         order, cuts = by_shard(shard, shards)
         is_shared = np.zeros(len(keys), bool)
-        for s in range(shards):
+        for s in np.flatnonzero(np.diff(cuts)).tolist():
             i = order[cuts[s]:cuts[s + 1]]
             is_shared[i] = np.unpackbits(np.frombuffer(shared[s], np.uint8), count=len(i)).astype(bool)
         short = w.seg_anchor & th.U64(BITS40)
@@ -239,7 +240,7 @@ def _ask_segments(t: pa.Table, replies: pa.Table, shards: int) -> pa.Table:
     s = Shared(w, _rid(t), dict(zip(replies["shard"].to_pylist(), replies["bits"].to_pylist(), strict=True)), shards)
     order, cuts = by_shard(s.shard, shards)
     out = {c: [] for c in names}
-    for k in range(shards):
+    for k in np.flatnonzero(np.diff(cuts)).tolist():
         i = order[cuts[k]:cuts[k + 1]]
         occ = s.example[i]
         n = s.size[occ] + DEPTH - 1
@@ -328,7 +329,7 @@ def _remove(t: pa.Table, replies: pa.Table, shards: int, unchanged: str) -> pa.T
     hit = np.zeros(int(wins.sum()), bool)
     w0 = np.cumsum(wins) - wins
     order, cuts = by_shard(s.shard, shards)
-    for k in range(shards):
+    for k in np.flatnonzero(np.diff(cuts)).tolist():
         i = order[cuts[k]:cuts[k + 1]]
         hit[np.repeat(w0[i], wins[i]) + _ramp(wins[i])] = np.unpackbits(
             np.frombuffer(got[1][k], np.uint8), count=int(wins[i].sum())).astype(bool)
