@@ -3,15 +3,18 @@
 The model is a byte-context trie of order ``ORDER``.  A text is its words (split at ASCII white
 space, A-Z lower-cased), one space between them, closed by an end symbol; so its probability is that
 of its token sequence.  A symbol is predicted in the longest context that training has seen; a
-symbol new to that context escapes to the next shorter one with probability d / (n + d) (n symbols
-seen there, d of them distinct), and there the symbols of the longer context are excluded from n, d and
-the counts.  The last resort is uniform over the symbols never seen.  A text's score is the sum of
+symbol new to that context escapes to the next shorter one with probability d / 2n (n symbols seen
+there, d of them distinct; each distinct symbol gives half a count to the escape), and there the
+symbols of the longer context are excluded from n, d and the counts.  The last resort is uniform over the symbols never seen.  A text's score is the sum of
 log10 probabilities under counts of the whole training set ("pretrained").
 
 The trie grows with the corpus and is never held in one place.  Batches of documents send their
-distinct (context, symbol) pairs with training counts to the shard of the two latest context bytes,
-which holds the whole subtree of orders 2 to ``ORDER``, computes the probabilities, and answers.
-Orders 0 and 1 are one 256 x 256 table, counted first.  Word counts of the base score travel the same way.
+distinct (context, symbol) pairs with training counts to the shard of the two latest context bytes.
+Counts are summed per shard and group of ``GROUP`` batches, then per shard, which so holds the whole subtree
+of orders 2 to ``ORDER`` once and computes its probabilities; the finished subtree goes to each group
+of batches and answers their requests.  So a common context, which every batch asks about, costs a task
+one group of batches at a time, not all of them.  Orders 0 and 1 are one 256 x 256 table, counted
+first.  Word counts of the base score travel the same way.
 
 Defined results: null text is the empty text, which is its end token; a null ``doc_id`` is held out;
 repeated rows are scored (and learned) one by one; without training rows every symbol has probability
@@ -33,6 +36,8 @@ ORDER = 5  # context bytes; with the symbol, a pair is 48 bits
 END = 10   # newline: never inside a normalised text
 FOLDS, HELD_OUT = 7, 2
 WIDTH = ORDER + 1
+GROUP = 32      # batches whose requests one task of a shard answers
+SHARDS = 4096   # at most: there are no more than a few thousand contexts of two bytes
 
 
 def held_out(doc_id: Column) -> Column:
@@ -72,7 +77,7 @@ def pairs(sym: np.ndarray, at: np.ndarray) -> np.ndarray:
     key = sym.astype(np.uint64)
     for j in range(1, ORDER + 1):
         b = np.full(n, END, np.uint64)
-        b[j:] = sym[:n - j]
+        b[j:] = sym[:max(0, n - j)]
         b[place < j] = END
         key |= b << th.U64(8 * (ORDER + 1 - j))
     return key
@@ -129,12 +134,11 @@ def log10_probabilities(key: np.ndarray, count: np.ndarray, low: np.ndarray) ->
             parent = (child_grams >> th.U64(16)) << th.U64(8) | (child_grams & th.U64(255)) if k else child_grams & th.U64(255)
             excluded = np.bincount(child_ctx_of, np.where(child_c > 0, seen(parent), 0), len(child_total))
             rest, kinds = rest - excluded[child_place], kinds - child_distinct[child_place]
-        room = rest + kinds
         hit = ~done & (own > 0)
-        log[hit] += np.log10(own[hit] / room[hit])
+        log[hit] += np.log10((own[hit] - 0.5) / rest[hit])
         done |= hit
-        miss = ~done & (room > 0)
-        log[miss] += np.log10(kinds[miss] / room[miss])
+        miss = ~done & (rest > 0)
+        log[miss] += np.log10(kinds[miss] / 2 / rest[miss])
         child = place, grams, c, ctx_of, total, distinct
     log[~done] -= np.log10(256 - float((low.sum(0) > 0).sum()))
     return log
@@ -145,7 +149,7 @@ def _ask(t: pa.Table, shards: int) -> pa.Table:
     train = ~t["held_out"].to_numpy()
     k = pairs(sym, at)
     mine = np.repeat(train, np.diff(at))
-    out = {c: [] for c in ("batch", "shard", "pairs", "pair_n", "words", "word_n")}
+    out = {c: [] for c in ("batch", "shard", "grp", "pairs", "pair_n", "words", "word_n")}
     keys, n = _with_counts(k, mine)
     order, cuts = by_shard(_pair_shard(keys, shards), shards)
     w, wn = _with_counts(words, train[row])
@@ -153,10 +157,10 @@ def _ask(t: pa.Table, shards: int) -> pa.Table:
     batch = t["batch"][0].as_py()
     for s in range(shards):
         i, j = order[cuts[s]:cuts[s + 1]], worder[wcuts[s]:wcuts[s + 1]]
-        for c, v in zip(out, (batch, s, pack_sorted(keys[i], WIDTH), pack(n[i], 4), pack_sorted(w[j], 8), pack(wn[j], 4)),
+        for c, v in zip(out, (batch, s, batch // GROUP, pack_sorted(keys[i], WIDTH), pack(n[i], 5), pack_sorted(w[j], 8), pack(wn[j], 5)),
                         strict=True):
             out[c].append(v)
-    return table({c: (v, pa.int64() if c in ("batch", "shard") else pa.binary()) for c, v in out.items()})
+    return table({c: (v, pa.int64() if c in ("batch", "shard", "grp") else pa.binary()) for c, v in out.items()})
 
 
 def _with_counts(keys: np.ndarray, mine: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -172,21 +176,43 @@ def _pair_shard(keys: np.ndarray, shards: int) -> np.ndarray:
     return shard_of(keys >> th.U64(8 * (WIDTH - 2)), shards)
 
 
-def _answer(t: pa.Table, low: np.ndarray) -> pa.Table:
+def _total(t: pa.Table, keys: str, counts: str, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct keys of all rows with their summed counts."""
+    every = np.concatenate([unpack_sorted(x, width) for x in t[keys].to_pylist()])
+    n = np.concatenate([unpack(x, 5) for x in t[counts].to_pylist()])
+    found, which = np.unique(every, return_inverse=True)
+    return found, np.bincount(which, n, len(found)).astype(np.int64)
+
+
+def _sum(t: pa.Table) -> pa.Table:
+    """Counts of a shard over one group of batches."""
+    k, n = _total(t, "pairs", "pair_n", WIDTH)
+    w, wn = _total(t, "words", "word_n", 8)
+    return table({"shard": ([t["shard"][0].as_py()], pa.int64()), "pairs": ([pack_sorted(k, WIDTH)], pa.binary()),
+                  "pair_n": ([pack(n, 5)], pa.binary()), "words": ([pack_sorted(w, 8)], pa.binary()),
+                  "word_n": ([pack(wn, 5)], pa.binary())})
+
+
+def _solve(t: pa.Table, low: np.ndarray) -> pa.Table:
+    """The finished subtree of a shard: its pairs with log10 probabilities, its words with counts."""
+    k, n = _total(t, "pairs", "pair_n", WIDTH)
+    w, wn = _total(t, "words", "word_n", 8)
+    return table({"shard": ([t["shard"][0].as_py()], pa.int64()), "pairs": ([pack_sorted(k, WIDTH)], pa.binary()),
+                  "logs": ([log10_probabilities(k, n, low).astype("<f4").tobytes()], pa.binary()),
+                  "words": ([pack_sorted(w, 8)], pa.binary()), "counts": ([pack(wn, 5)], pa.binary()),
+                  "distinct": ([int((wn > 0).sum())], pa.int64()), "tokens": ([int(wn.sum())], pa.int64())})
+
+
+def _answer(t: pa.Table, solved: pa.Table) -> pa.Table:
     rows = t.num_rows
-    ks = [unpack_sorted(x, WIDTH) for x in t["pairs"].to_pylist()]
-    ns = [unpack(x, 4) for x in t["pair_n"].to_pylist()]
-    keys, which = np.unique(np.concatenate(ks), return_inverse=True)
-    log = log10_probabilities(keys, np.bincount(which, np.concatenate(ns), len(keys)), low).astype("<f4")
-    cut = np.cumsum([len(x) for x in ks])[:-1]
-    logs = [log[i].tobytes() for i in np.split(which, cut)]
-    ws = [unpack_sorted(x, 8) for x in t["words"].to_pylist()]
-    words, which = np.unique(np.concatenate(ws), return_inverse=True)
-    count = np.bincount(which, np.concatenate([unpack(x, 4) for x in t["word_n"].to_pylist()]), len(words)).astype(np.int64)
-    counts = [pack(count[i], 5) for i in np.split(which, np.cumsum([len(x) for x in ws])[:-1])]
+    tree = {c: solved[c][0].as_py() for c in solved.column_names}
+    keys, log = unpack_sorted(tree["pairs"], WIDTH), np.frombuffer(tree["logs"], "<f4")
+    words, count = unpack_sorted(tree["words"], 8), unpack(tree["counts"], 5)
+    logs = [log[np.searchsorted(keys, unpack_sorted(x, WIDTH))].tobytes() for x in t["pairs"].to_pylist()]
+    counts = [pack(count[np.searchsorted(words, unpack_sorted(x, 8))], 5) for x in t["words"].to_pylist()]
     return table({"batch": (t["batch"].to_pylist(), pa.int64()), "shard": (t["shard"].to_pylist(), pa.int64()),
                   "logs": (logs, pa.binary()), "counts": (counts, pa.binary()),
-                  "distinct": ([int((count > 0).sum())] * rows, pa.int64()), "tokens": ([int(count.sum())] * rows, pa.int64())})
+                  "distinct": ([tree["distinct"]] * rows, pa.int64()), "tokens": ([tree["tokens"]] * rows, pa.int64())})
 
 
 SCHEMA = ("doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, "
@@ -228,7 +254,8 @@ def _score(t: pa.Table, replies: pa.Table, shards: int, train_docs: int) -> pa.T
 def ppm_scores(docs: DataFrame, held: Column | None = None) -> DataFrame:
     """Scores all rows of ``docs`` (doc_id, text) with the model learned from those not held out."""
     held = held_out(F.col("doc_id")) if held is None else held
-    rows, shards = dealt(docs, held.alias("held_out"))
+    rows, batches = dealt(docs, held.alias("held_out"))
+    shards, groups = min(batches, SHARDS), -(-batches // GROUP)
     low = np.zeros(65536, np.int64)
     train_docs = 0
     counted = (rows.filter(~F.col("held_out")).select("text").mapInArrow(_count_pairs, "pair bigint, n bigint")
@@ -239,10 +266,14 @@ def ppm_scores(docs: DataFrame, held: Column | None = None) -> DataFrame:
         else:
             low[r["pair"]] = r["n"]
     low = low.reshape(256, 256)
-    asked = rows.groupBy("batch").applyInArrow(
-        lambda t: _ask(t, shards), "batch bigint, shard bigint, pairs binary, pair_n binary, words binary, word_n binary")
-    replies = asked.groupBy("shard").applyInArrow(
-        lambda t: _answer(t, low), "batch bigint, shard bigint, logs binary, counts binary, distinct bigint, tokens bigint")
+    blobs = "pairs binary, pair_n binary, words binary, word_n binary"
+    asked = rows.groupBy("batch").applyInArrow(lambda t: _ask(t, shards), f"batch bigint, shard bigint, grp bigint, {blobs}")
+    solved = (asked.groupBy("shard", "grp").applyInArrow(_sum, f"shard bigint, {blobs}")
+              .groupBy("shard").applyInArrow(lambda t: _solve(t, low), "shard bigint, pairs binary, logs binary, "
+                                             "words binary, counts binary, distinct bigint, tokens bigint")
+              .withColumn("grp", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))).withColumn("grp", F.col("grp").cast("bigint")))
+    replies = asked.groupBy("shard", "grp").cogroup(solved.groupBy("shard", "grp")).applyInArrow(
+        _answer, "batch bigint, shard bigint, logs binary, counts binary, distinct bigint, tokens bigint")
     return rows.groupBy("batch").cogroup(replies.groupBy("batch")).applyInArrow(
         lambda t, r: _score(t, r, shards, train_docs), SCHEMA)
 
