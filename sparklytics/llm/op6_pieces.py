@@ -97,9 +97,10 @@ class Lattices:
         left = char0[1:][unit] - chars  # characters from here to the unit's end
         found = []
         single = np.zeros(len(lead), bool)
+        spans = th.Spans(buf)
         for k in sorted(vocab.table):
             c = chars[left >= k]
-            h = th.span_hash(buf, stops[c], stops[c + k])
+            h = spans.hash(stops[c], stops[c + k])
             keys, ids = vocab.table[k]
             at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
             hit = keys[at] == h

@@ -111,13 +111,23 @@ def lines(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
     return _edges(buf != 10, off)
 
 
+class Spans:
+    """Hashes of byte spans of one text array: a polynomial over random byte values, mixed with the length."""
+
+    def __init__(self, buf: np.ndarray):
+        n = len(buf)
+        power, self.inverse = _pow(n + 1)
+        self.acc = np.zeros(n + 1, U64)
+        np.cumsum(_BYTE[buf] * power[:n], out=self.acc[1:])
+
+    def hash(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        return mix64((self.acc[ends] - self.acc[starts]) * self.inverse[starts]
+                     + (ends - starts).astype(U64) * U64(0xD6E8FEB86659FD93))
+
+
 def span_hash(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each byte span: a polynomial over random byte values, mixed with the length."""
-    n = len(buf)
-    power, inverse = _pow(n + 1)
-    acc = np.zeros(n + 1, U64)
-    np.cumsum(_BYTE[buf] * power[:n], out=acc[1:])
-    return mix64((acc[ends] - acc[starts]) * inverse[starts] + (ends - starts).astype(U64) * U64(0xD6E8FEB86659FD93))
+    """64-bit hash of each byte span."""
+    return Spans(buf).hash(starts, ends)
 
 
 def grams(h: np.ndarray, row: np.ndarray, k: int, short: bool = True) -> tuple[np.ndarray, np.ndarray]:
