@@ -25,6 +25,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,6 +35,7 @@ from .common import documents, text_or_empty
 MODEL = "piece_bpe_32k.model"  # of the public_tokenizers folder
 MARK = "▁"
 ALPHA, SHIFT, SEED = 1.0, 100.0, 17
+CHUNK_BYTES = 2 << 20  # of text at once: lattices take some hundred bytes a character of distinct units
 BYTE_PENALTY = -14.0  # log weight of a byte piece: used where nothing else fits
 
 
@@ -63,6 +65,9 @@ class Vocabulary:
                 ids.append(i)
                 rank = max(0.0, -float(sp.get_score(i)))
                 self.log[i] = -np.log(min(rank, 1e6) + SHIFT)
+        self.size = np.array([len(x) for x in self.raw], np.int64)
+        self.start = np.cumsum(self.size) - self.size
+        self.pool = np.frombuffer(b"".join(self.raw), np.uint8)
         # by length in characters: sorted hashes of the pieces' bytes, and their ids
         self.table = {}
         for k, (texts, ids) in by_length.items():
@@ -81,9 +86,8 @@ class Lattices:
     """Forward-filtered lattices of many units at once (flat UTF-8 bytes and offsets).
 
     A unit of n characters has n + 1 nodes, ``node0`` is its first.  The edges into a node are
-    consecutive; ``cum`` holds node number + cumulative probability, so that one search finds the
-    edges of many draws.  ``back`` is an edge's length in characters, ``piece`` its id, or -1 for a
-    character that is written as bytes."""
+    consecutive, ``first`` to ``last``; ``cum`` holds node number + cumulative probability.  ``back`` is
+    an edge's length in characters, ``piece`` its id, or -1 for a character that is written as bytes."""
 
     def __init__(self, buf: np.ndarray, off: np.ndarray, vocab: Vocabulary, alpha: float):
         n_units = len(off) - 1
@@ -137,6 +141,9 @@ class Lattices:
         run -= np.repeat(run[first] - p[first], size)
         run[first + size - 1] = 1.0
         self.cum = np.minimum(run, 1.0) + end
+        # first and last edge into each node
+        self.first, self.last = np.zeros((2, len(lead) + n_units), np.int64)
+        self.first[ends], self.last[ends] = first, first + size - 1
 
 
 def _unit_spans(buf: np.ndarray, off: np.ndarray):
@@ -178,8 +185,11 @@ def encode(col: pa.Array, keys: np.ndarray, path: str, alpha: float = ALPHA, see
     while len(live):
         u = (th.mix64(state[live] + th.U64(step + 1)) >> th.U64(11)).astype(np.float64) / 2.0 ** 53
         node = node0[live] + pos[live]
-        edge = np.searchsorted(cum, node + u, "right")
-        edge = np.minimum(edge, np.searchsorted(cum, node + 1.0, "left"))  # rounding at the node's end
+        edge, last, drawn = lat.first[node], lat.last[node], node + u
+        on = np.flatnonzero((cum[edge] <= drawn) & (edge < last))  # a node has few edges: step to the drawn one
+        while len(on):
+            edge[on] += 1
+            on = on[(cum[edge[on]] <= drawn[on]) & (edge[on] < last[on])]
         drawn_unit.append(live)
         pos[live] -= back[edge]
         drawn_pos.append(pos[live])
@@ -206,9 +216,19 @@ def encode(col: pa.Array, keys: np.ndarray, path: str, alpha: float = ALPHA, see
     return ids, np.r_[0, np.cumsum(per_row)]
 
 
+def decode_column(col: pa.Array, path: str) -> pa.Array:
+    """The texts of a column of id lists."""
+    v = vocabulary(path)
+    at = col.offsets.to_numpy().astype(np.int64)
+    ids = col.values.to_numpy(zero_copy_only=False)[at[0]:at[-1]].astype(np.int64)
+    size, to = v.size[ids], np.r_[0, np.cumsum(v.size[ids])]
+    data = v.pool[np.repeat(v.start[ids] - to[:-1], size) + np.arange(int(to[-1]))]
+    off = to[at - at[0]]
+    return pa.Array.from_buffers(pa.large_string(), len(col), [None, pa.py_buffer(off.astype(np.int64)), pa.py_buffer(data)])
+
+
 def decode(ids, path: str) -> str:
-    raw = vocabulary(path).raw
-    return b"".join([raw[i] for i in ids]).decode()
+    return decode_column(pa.array([list(ids)], pa.list_(pa.int32())), path)[0].as_py()
 
 
 def _keys(ids: pa.Array) -> np.ndarray:
@@ -217,41 +237,40 @@ def _keys(ids: pa.Array) -> np.ndarray:
 
 
 def sample_segmentations(docs: DataFrame, path: str | None = None, alpha: float = ALPHA, seed: int = SEED) -> DataFrame:
-    """doc_id and ids, the sampled pieces of each text."""
+    """doc_id, ids (the sampled pieces of each text) and ids_crc32 (of little-endian 32-bit ids)."""
     path = path or model_path()
 
     def run(batches):
-        for b in th.chunks(batches, "text"):
+        for b in th.chunks(batches, "text", CHUNK_BYTES):
             ids, at = encode(b.column("text"), _keys(b.column("doc_id")), path, alpha, seed)
+            ids = ids.astype("<i4")
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(ids.astype(np.int32)))],
-                names=["doc_id", "ids"])
+                [b.column("doc_id"), pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(ids)),
+                 pa.array([zlib.crc32(ids[x:y]) for x, y in zip(at[:-1], at[1:], strict=True)], pa.int64())],
+                names=["doc_id", "ids", "ids_crc32"])
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty().alias("text")).mapInArrow(
-        run, "doc_id bigint, ids array<int>")
+        run, "doc_id bigint, ids array<int>, ids_crc32 bigint")
 
 
 def decode_segmentations(rows: DataFrame, path: str | None = None) -> DataFrame:
-    """doc_id, ids and text of segmentations (doc_id, ids)."""
+    """``rows`` with a column ids, and the decoded text; a null list gives the empty text."""
     path = path or model_path()
 
     def run(batches):
         for b in batches:
-            out = pa.array([decode(x, path) if x is not None else None for x in b.column("ids").to_pylist()], pa.string())
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("ids"), out], names=["doc_id", "ids", "text"])
-    return rows.select("doc_id", "ids").mapInArrow(run, "doc_id bigint, ids array<int>, text string")
+            for i in range(0, b.num_rows, 1024):
+                c = b.slice(i, 1024)
+                lists = c.column("ids")
+                lists = pc.if_else(lists.is_null(), pa.array([[]], lists.type)[0], lists) if lists.null_count else lists
+                yield pa.RecordBatch.from_arrays([*c.columns, decode_column(lists, path).cast(pa.string())],
+                                                 names=[*c.schema.names, "text"])
+    rest = rows.drop("text")
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rest.schema.fields)
+    return rest.mapInArrow(run, f"{schema}, text string")
 
 
 def op6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_pieces, ids_crc32 (of little-endian 32-bit ids), text_sha256 of the decoded text."""
-    path = model_path()
-
-    def digest(batches):
-        for b in batches:
-            lists = [np.asarray(x, "<u4") for x in b.column("ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array([len(x) for x in lists], pa.int64()),
-                 pa.array([zlib.crc32(x) for x in lists], pa.int64()), b.column("text")],
-                names=["doc_id", "n_pieces", "ids_crc32", "text"])
-    rows = decode_segmentations(sample_segmentations(documents(spark, sf_dir), path), path)
-    return (rows.mapInArrow(digest, "doc_id bigint, n_pieces bigint, ids_crc32 bigint, text string")
-            .select("doc_id", "n_pieces", "ids_crc32", F.sha2("text", 256).alias("text_sha256")))
+    rows = decode_segmentations(sample_segmentations(documents(spark, sf_dir)))
+    return rows.select("doc_id", F.size("ids").cast("bigint").alias("n_pieces"), "ids_crc32",
+                       F.sha2("text", 256).alias("text_sha256"))
