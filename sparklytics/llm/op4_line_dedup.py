@@ -13,8 +13,13 @@ window's ends.  So positions are reduced to the first one per extended fingerpri
 are shuffled, no pairs of positions are built, and a run shared by a third of all documents is
 spread by salts (``with_group_first``).
 
-Defined results: null text is the empty text; documents of fewer lines than ``window`` are never
-changed; blank lines are kept and don't separate runs; a repeat within one document counts; a null
+With ``min_words``, a run of fewer than ``window`` lines counts as well if it has that many words
+(white-space separated): its lines are windows of their own, reduced in the same way, so a long
+passage on one or two lines is found whatever stands around it.  The pipeline works so, with
+``MIN_WORDS``; the registered query keeps to ``ORACLE_SQL``, which has runs of three lines only.
+
+Defined results: null text is the empty text; without ``min_words``, documents of fewer lines than
+``window`` are never changed; blank lines are kept and don't separate runs; a repeat within one document counts; a null
 ``doc_id`` comes after all others; rows that are equal in id and text are one document (each gets the
 same answer); extra columns are carried along.
 """
@@ -30,35 +35,42 @@ from . import texthash as th
 from .common import documents, text_or_empty, with_group_first
 
 WINDOW = 3  # lines
+MIN_WORDS = 13  # of a run of fewer lines, as operator 8's windows
 KEY = ["rid", "tid"]  # row identity: id with nulls last, and the text's hash
 
 
-def _windows(batches, window: int):
-    """(rid, tid, line, fingerprint, extended) of every window of every text.  ``line``: index of
-    the window's first line among the non-empty lines."""
+def _windows(batches, window: int, min_words: int | None):
+    """(rid, tid, line, size, fingerprint, extended) of every window of every text: ``window`` lines,
+    and with ``min_words`` also fewer lines of that many words.  ``line``: index of the window's first
+    line among the non-empty lines; ``size``: its number of lines."""
     from numpy.lib.stride_tricks import sliding_window_view
     for b in th.chunks(batches, "text"):
         buf, off = th.flat(b.column("text"))
         s, e, row = th.lines(buf, off)
         n = len(s)
-        if n < window:
-            continue
         h = th.span_hash(buf, s, e)
-        ok = row[:n - window + 1] == row[window - 1:]
-        view = sliding_window_view(h, window)[ok]
-        if not len(view):
-            continue
-        at = window - 1 - view[:, ::-1].argmin(axis=1)  # the rightmost minimum
-        ext = np.zeros(len(view), np.uint64)
-        for j in range(window):
-            ext = th.mix64(ext * th.U64(0x9E3779B97F4A7C15) + view[:, j] + (at + 1).astype(th.U64))
         first = np.searchsorted(row, row, "left")  # of each line: the first line of its row
-        line = (np.arange(n) - first)[:n - window + 1][ok]
-        r = row[:n - window + 1][ok]
-        yield pa.RecordBatch.from_arrays(
-            [b.column("rid").take(pa.array(r)), b.column("tid").take(pa.array(r)), pa.array(line.astype(np.int64)),
-             pa.array(view[np.arange(len(view)), at].view(np.int64)), pa.array(ext.view(np.int64))],
-            names=["rid", "tid", "line", "fingerprint", "extended"])
+        if min_words is not None:
+            starts = th.words(buf, off)[0]
+            words = np.r_[0, np.cumsum(np.searchsorted(starts, e) - np.searchsorted(starts, s))]
+        for size in range(window if min_words is None else 1, min(window, n) + 1):
+            ok = row[:n - size + 1] == row[size - 1:]
+            if size < window:
+                ok &= words[size:] - words[:n - size + 1] >= min_words
+            view = sliding_window_view(h, size)[ok]
+            if not len(view):
+                continue
+            at = size - 1 - view[:, ::-1].argmin(axis=1)  # the rightmost minimum
+            ext = np.full(len(view), window - size, np.uint64)
+            for j in range(size):
+                ext = th.mix64(ext * th.U64(0x9E3779B97F4A7C15) + view[:, j] + (at + 1).astype(th.U64))
+            line = (np.arange(n) - first)[:n - size + 1][ok]
+            r = pa.array(row[:n - size + 1][ok])
+            yield pa.RecordBatch.from_arrays(
+                [b.column("rid").take(r), b.column("tid").take(r), pa.array(line.astype(np.int64)),
+                 pa.array(np.full(len(view), size, np.int32)),
+                 pa.array(view[np.arange(len(view)), at].view(np.int64)), pa.array(ext.view(np.int64))],
+                names=["rid", "tid", "line", "size", "fingerprint", "extended"])
 
 
 def _cut(text: str, runs) -> tuple[str, int]:
@@ -68,12 +80,12 @@ def _cut(text: str, runs) -> tuple[str, int]:
     return "\n".join(x for i, x in enumerate(lines) if i not in gone), len(gone)
 
 
-def _apply(batches, window: int):
+def _apply(batches):
     for b in th.chunks(batches, "text"):
         kept, gone, total = [], [], []
         for t, at in zip(b.column("text").to_pylist(), b.column("at").to_pylist(), strict=True):
             total.append(sum(map(bool, t.split("\n"))))
-            t, n = (t, 0) if at is None else _cut(t, [(a, a + window) for a in at])
+            t, n = (t, 0) if at is None else _cut(t, [(w["line"], w["line"] + w["size"]) for w in at])
             kept.append(t)
             gone.append(n)
         rest = [i for i, c in enumerate(b.schema.names) if c not in ("text", "at")]
@@ -82,27 +94,29 @@ def _apply(batches, window: int):
             names=[b.schema.names[i] for i in rest] + ["kept_text", "n_lines", "n_removed"])
 
 
-def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(rid, tid, at): per document, the first lines of its windows that occur earlier."""
+def repeated_windows(docs: DataFrame, window: int = WINDOW, min_words: int | None = None) -> DataFrame:
+    """(rid, tid, at): per document, first line and size of its windows that occur earlier."""
     rows = docs.select(*KEY, "text").mapInArrow(
-        lambda it: _windows(it, window), "rid bigint, tid bigint, line bigint, fingerprint bigint, extended bigint")
+        lambda it: _windows(it, window, min_words),
+        "rid bigint, tid bigint, line bigint, size int, fingerprint bigint, extended bigint")
     later = (with_group_first(rows, ["fingerprint", "extended"], [*KEY, "line"])
              .filter(F.struct(*KEY, "line") > F.col("first")))
-    return later.groupBy(*KEY).agg(F.sort_array(F.collect_set("line")).alias("at"))
+    return later.groupBy(*KEY).agg(F.sort_array(F.collect_set(F.struct("line", "size"))).alias("at"))
 
 
-def line_dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """One row per document: all its columns but ``text`` and n_lines, n_removed, kept_text."""
+def line_dedup(docs: DataFrame, window: int = WINDOW, min_words: int | None = None) -> DataFrame:
+    """One row per document: all its columns but ``text`` and n_lines, n_removed, kept_text.  Without
+    ``min_words``, only runs of ``window`` lines or more count as repeats."""
     own = docs.columns
     keyed = docs.select(
         *[F.col(f"`{c}`").alias(f"own_{i}") for i, c in enumerate(own) if c != "text"], text_or_empty().alias("text"),
         F.coalesce(F.col("doc_id").cast("bigint"), F.lit((1 << 63) - 1)).alias("rid"),
         F.xxhash64(text_or_empty()).alias("tid"))
-    joined = keyed.join(repeated_windows(keyed, window), KEY, "left").drop(*KEY)
+    joined = keyed.join(repeated_windows(keyed, window, min_words), KEY, "left").drop(*KEY)
     rest = [f for f in joined.schema.fields if f.name.startswith("own_")]
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rest),
                         "kept_text string, n_lines bigint, n_removed bigint"])
-    out = joined.mapInArrow(lambda it: _apply(it, window), schema)
+    out = joined.mapInArrow(_apply, schema)
     return out.select(*[F.col(f"own_{i}").alias(c) for i, c in enumerate(own) if c != "text"],
                       "n_lines", "n_removed", "kept_text")
 
