@@ -41,6 +41,14 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def one_row_each(rows: DataFrame, key: list[str]) -> DataFrame:
+    """One row of each ``key``: the one of the smallest text hash, then of the smallest columns.  Reduced
+    before the shuffle, so a key with many rows is one row of each task."""
+    rest = [c for c in rows.columns if c not in key]
+    first = F.min(F.struct(F.xxhash64("text").alias("text_hash"), *rest)).alias("first")
+    return rows.groupBy(*key).agg(first).select(*key, *[f"first.{c}" for c in rest])
+
+
 def with_group_first(rows: DataFrame, key: list[str], order: list[str], salts: int = 64, singles: bool = False) -> DataFrame:
     """Rows whose ``key`` occurs more than once (all rows with ``singles``), with ``first`` (the smallest ``order`` struct of the
     key) and ``n_rows``.  Rows are reduced by (key, salt) before they are reduced by key, and the

@@ -17,7 +17,7 @@ Every document is scored over its whole text.  Scores use the text alone.
 
 Defined results: null and empty texts have no words and get the calibration's value for no evidence;
 without labels of both classes every score is the rate of toxic labels (0 without any); a null
-``doc_id`` is held out; repeated rows are scored one by one; extra columns are ignored.
+``doc_id`` is held out; repeated rows are scored one by one (the fit sees one row of an id); extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import texthash as th
-from .common import documents, text_or_empty
+from .common import documents, one_row_each, text_or_empty
 
 TRAIN_ROWS, MAX_UNITS = 20_000, 65_536
 PREFIXES = (4, 5, 6)
@@ -178,7 +178,8 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, max_units: i
         return model
     sample = spark.createDataFrame([(r["doc_id"], r["label"]) for r in chosen], "doc_id bigint, label int")
     text = (docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty().alias("text"))
-            .join(F.broadcast(sample), "doc_id").select("text", "label"))  # at most ``rows`` ids
+            .join(F.broadcast(sample), "doc_id"))
+    text = one_row_each(text, ["doc_id", "label"]).select("text", "label")  # at most ``rows`` rows
     counts = (text.mapInArrow(_count, "unit bigint, toxic bigint, clean bigint")
               .groupBy("unit").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
               .filter(F.col("toxic") + F.col("clean") >= MIN_DOCS))

@@ -10,12 +10,12 @@ calibrated on labelled documents that neither was trained on, and a logistic mod
 calibrated views into the score of every document.
 
 Bounds of the fit (documented parameters): ``LABELLED`` labelled and ``POOL`` unlabelled documents,
-those of the smallest id hash; their feature vectors are the only rows that reach the driver.  Every
-document is scored over its whole text.
+those of the smallest id hash; their feature vectors are the only rows that reach the driver, one for
+each id (of rows that repeat an id, the one of the smallest text hash).  Every document is scored over its whole text.
 
 Defined results: null and empty texts have zero text features; a null source, language or length is a
 value of its own; without labels of both classes every score is the share of good labels (1 without
-any), so nothing is rejected for lack of labels; repeated rows are scored one by one; extra columns
+any), so nothing is rejected for lack of labels; repeated rows are scored one by one (the fit sees one of them); extra columns
 are carried along; metadata columns that are missing count as null.
 """
 
@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import texthash as th
-from .common import documents, text_or_empty
+from .common import documents, one_row_each, text_or_empty
 
 LABELLED, POOL = 12_000, 8_000
 ROUNDS, PER_ROUND = 4, 400
@@ -45,9 +45,10 @@ def text_view(col: pa.Array) -> np.ndarray:
     n = len(col)
     buf, off = th.flat(col)
     size = np.diff(off)
-    row = np.repeat(np.arange(n), size)
     out = np.zeros((n, N_TEXT), np.float32)
-    hist = np.bincount(row * 256 + buf, minlength=n * 256).reshape(n, 256)
+    hist = np.zeros((n, 256), np.int64)
+    for k in range(n):  # by text: one array of 8 bytes a byte less
+        hist[k] = np.bincount(buf[off[k]:off[k + 1]], minlength=256)
     length = np.maximum(size, 1)[:, None]
     out[:, :256] = np.sqrt(hist / length)
 
@@ -96,8 +97,8 @@ def meta_view(b: pa.RecordBatch) -> np.ndarray:
     n = b.num_rows
     buf, off = th.flat(b.column("text"))
     stored = np.array([np.nan if v is None else float(v) for v in b.column("n_chars").to_pylist()])
-    row = np.repeat(np.arange(n), np.diff(off))
-    real = np.bincount(row[(buf & 0xC0) != 0x80], minlength=n)
+    lead = (buf & 0xC0) != 0x80
+    real = np.array([np.count_nonzero(lead[a:z]) for a, z in zip(off[:-1], off[1:], strict=True)], np.int64)
     s, e, r = th.lines(buf, off)
     lines = np.bincount(r, minlength=n)
     mean = np.bincount(r, e - s, n) / np.maximum(lines, 1)
@@ -213,8 +214,8 @@ def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, pool: int
               .join(known, "doc_id", "left_anti").orderBy(F.xxhash64("doc_id"), "doc_id").limit(pool).collect())
     chosen = spark.createDataFrame([(r["doc_id"], r["label"]) for r in first] + [(r["doc_id"], -1) for r in others],
                                    "chosen_id bigint, label int")
-    rows = _viewed(docs.join(F.broadcast(chosen), F.col("doc_id").cast("bigint") == F.col("chosen_id")),
-                   ["chosen_id", "label"])  # at most ``labelled + pool`` ids
+    rows = one_row_each(_viewed(docs.join(F.broadcast(chosen), F.col("doc_id").cast("bigint") == F.col("chosen_id")),
+                                ["chosen_id", "label"]), ["chosen_id", "label"])  # at most ``labelled + pool`` rows
 
     def view(batches):
         for b in th.chunks(batches, "text"):

@@ -1,11 +1,16 @@
 """Findings of the second review: fixtures that failed before."""
 
+import dataclasses
 import random
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
+from sparklytics.llm import op3_toxicity as op3
 from sparklytics.llm import op4_line_dedup as op4
+from sparklytics.llm import op9_quality as op9
 
 from .helpers import corpus, frame, words
 
@@ -56,3 +61,16 @@ def test_pipeline_cuts_long_passages_on_one_line(spark):
         1: rows[0][1], 3: "own third", 4: "a\nb\nc\nd", 5: rows[4][1], 6: rows[5][1], 7: rows[6][1], 8: rows[7][1],
         11: rows[9][1]}
     assert all(r["n_chars"] == len(r["text"]) for r in out)
+
+
+@pytest.mark.parametrize("op", [op3, op9])
+def test_repeated_ids_count_once_in_the_fit(spark, op):
+    r = random.Random(5)
+    rows = [(i, " ".join(r.choice(("vile", "scum", "tree") if i % 3 else ("tree", "river", "stone")) for _ in range(r.randrange(5, 40))))
+            for i in range(240)]
+    docs = frame(spark, rows, clashes=False)
+    labels = spark.createDataFrame([(i, int(i % 3 == 0), int(i % 3 > 0)) for i in range(200)], "doc_id long, quality int, toxic int")
+    again = docs.filter("doc_id in (1, 2, 3, 230)").withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(90)))).drop("k")
+    one, many = op.fit(docs, labels), op.fit(docs.unionByName(again).repartition(3), labels)
+    for f in dataclasses.fields(one):
+        assert np.allclose(getattr(one, f.name), getattr(many, f.name), rtol=1e-6, atol=1e-9), f.name
