@@ -26,7 +26,9 @@ blocks is joined by itself: exact, and in bounded memory, at a cost that grows w
 the number of documents that are all nearly alike and not equal.
 
 Frequent shingles only affect the order, not the result: at most ``FREQUENT`` of them are held, those
-that most documents have, counted over all documents.
+that most documents have.  Their counts leave out chunks of 4 MB of text in which fewer than
+``FREQUENT_IN_CHUNK`` documents have the shingle: one that is that thin in every chunk is never known as
+frequent, however many documents have it in all, and its region can be large (cost only).
 
 Defined results: a text of fewer words than a shingle is one shingle; null and empty texts have
 no set and are linked with nothing; a null ``doc_id`` is larger than any other (a component of only
