@@ -15,6 +15,7 @@ from . import (
     op8_substrings,
     op9_quality,
     op10_jaccard,
+    op13_simhash,
 )
 
 QUERIES = {
@@ -29,6 +30,7 @@ QUERIES = {
     "op8_substrings": op8_substrings.op8_substrings,
     "op9_quality": op9_quality.op9_quality,
     "op10_jaccard": op10_jaccard.op10_jaccard,
+    "op13_simhash": op13_simhash.op13_simhash,
 }
 
 ORACLE = {
