@@ -15,6 +15,7 @@ from . import (
     op8_substrings,
     op9_quality,
     op10_jaccard,
+    op12_alignment,
     op13_simhash,
 )
 
@@ -30,6 +31,7 @@ QUERIES = {
     "op8_substrings": op8_substrings.op8_substrings,
     "op9_quality": op9_quality.op9_quality,
     "op10_jaccard": op10_jaccard.op10_jaccard,
+    "op12_alignment": op12_alignment.op12_alignment,
     "op13_simhash": op13_simhash.op13_simhash,
 }
 
