@@ -15,6 +15,7 @@ from . import (
     op8_substrings,
     op9_quality,
     op10_jaccard,
+    op11_ranked,
     op12_alignment,
     op13_simhash,
 )
@@ -31,6 +32,7 @@ QUERIES = {
     "op8_substrings": op8_substrings.op8_substrings,
     "op9_quality": op9_quality.op9_quality,
     "op10_jaccard": op10_jaccard.op10_jaccard,
+    "op11_ranked": op11_ranked.op11_ranked,
     "op12_alignment": op12_alignment.op12_alignment,
     "op13_simhash": op13_simhash.op13_simhash,
 }
@@ -40,4 +42,5 @@ ORACLE = {
     "op5_exact_dedup": op5_exact_dedup.ORACLE_SQL,
     "op8_substrings": op8_substrings.ORACLE_SQL,
     "op10_jaccard": op10_jaccard.ORACLE_SQL,
+    "op11_ranked": op11_ranked.ORACLE_SQL,
 }

@@ -101,6 +101,11 @@ def _edges(inside: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return starts, ends, np.searchsorted(off, starts, "right") - 1
 
 
+def runs(inside: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and row of every maximal run of bytes marked in ``inside``, within rows."""
+    return _edges(inside, off)
+
+
 def words(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start, end and row of every maximal run of non-white-space bytes, within rows."""
     return _edges(~_WS[buf], off)
