@@ -17,7 +17,7 @@ from .. import constants as K
 from ..operators import commit_collections as coll
 from ..operators import commit_frames as frames
 from ..operators import commit_pairs as pairs
-from ..operators import graph
+from ..operators import graph, lineage
 from ..operators import lists as L
 from ..operators import logs, text
 from ..sources import lists as list_src
@@ -102,6 +102,11 @@ def _a8(spark, d):
     return flat(frames.fork_points(commit_view(spark, d)))
 
 
+@query("fork_first_commits")
+def _a8_first(spark, d):
+    return flat(lineage.fork_first_commits(commit_view(spark, d)))
+
+
 # ---- B: pair-RDD family --------------------------------------------------------------------
 @query("commit_count")
 def _b1(spark, d):

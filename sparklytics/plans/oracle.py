@@ -62,6 +62,21 @@ SELECT DISTINCT p.owner || '/' || p.repo AS repo_name, c.owner || '/' || c.repo
        e.parent_sha, e.child_sha
 FROM parent_flat e JOIN commit_base c ON c.sha = e.child_sha JOIN commit_base p ON p.sha = e.parent_sha
 WHERE p.owner || '/' || p.repo <> c.owner || '/' || c.repo""", "commit_flat", "parent_flat"),
+    # the line of first parents above each fork, walked commit by commit
+    "fork_first_commits": with_views("""
+, line AS (
+  SELECT c.k, c.sha, c.owner || '/' || c.repo AS full_name, p.parent_k FROM commit_base c
+  LEFT JOIN (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 13 = 0 THEN o_orderkey - 1 ELSE o_orderkey - 407 END AS parent_k
+             FROM orders) p ON p.k = c.k AND p.parent_k IN (SELECT k FROM commit_base)),
+fork AS (
+  SELECT u.full_name AS repo_name, c.full_name AS child_repo_name, u.sha AS parent_sha, c.sha AS child_sha, u.k AS pos
+  FROM line c JOIN line u ON c.parent_k = u.k WHERE c.full_name <> u.full_name),
+above AS (
+  SELECT child_sha, child_repo_name, pos FROM fork
+  UNION ALL SELECT a.child_sha, a.child_repo_name, l.parent_k FROM above a JOIN line l ON l.k = a.pos WHERE l.parent_k IS NOT NULL)
+SELECT repo_name, child_repo_name, parent_sha, child_sha FROM fork
+WHERE child_sha NOT IN (SELECT a.child_sha FROM above a JOIN line l ON l.k = a.pos WHERE l.full_name = a.child_repo_name)""",
+                                     "commit_flat").replace("WITH ", "WITH RECURSIVE ", 1),
     # ---- B ----
     "commit_count": with_views("SELECT count(*) AS commits FROM commit_base", "commit_flat"),
     "file_extension_counts": with_views(f"""
