@@ -47,6 +47,7 @@ from .common import cut, documents, parts, text_or_empty, with_group_first
 
 SHINGLE, THRESHOLD = 3, (90, 100)
 FREQUENT, FREQUENT_IN_CHUNK = 65_536, 3
+COUNTED_AT_ONCE = 4 << 20  # bytes of text
 REGION = 2048
 BUCKETS = (32, 4096)  # least and most buckets of a histogram; about a 16th of the set's size
 LAST = (1 << 63) - 1
@@ -77,8 +78,8 @@ def keyed(docs: DataFrame) -> DataFrame:
 def frequent_shingles(rows: DataFrame, shingle: int) -> np.ndarray:
     """At most ``FREQUENT`` shingle hashes, the rarest first."""
     def count(batches):
-        for b in th.chunks(batches, "text"):
-            every = sets(b.column("text"), shingle)
+        for b in th.chunks(batches, "text", COUNTED_AT_ONCE):
+            every = [v for part in th.chunks([b], "text") for v in sets(part.column("text"), shingle)]
             h, n = np.unique(np.concatenate(every), return_counts=True)
             often = n >= FREQUENT_IN_CHUNK
             yield pa.RecordBatch.from_arrays([pa.array(h[often].view(np.int64)), pa.array(n[often])], names=["h", "n"])

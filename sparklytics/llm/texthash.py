@@ -15,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 U64 = np.uint64
-CHUNK_BYTES = 4 << 20  # text bytes worked on at once; one longer text is a chunk of its own
+CHUNK_BYTES = 1 << 20  # text bytes worked on at once; one longer text is a chunk of its own
 
 # ASCII white space (tab to carriage return, and space) and the A-Z fold.
 _WS = np.zeros(256, bool)
@@ -42,16 +42,18 @@ _powers: tuple[np.ndarray, np.ndarray] = (np.ones(1, U64), np.ones(1, U64))
 
 
 def _pow(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse, kept for the longest chunk seen so far."""
+    """Powers of the base and of its inverse.  Those for a chunk are kept; a longer text's are not."""
     global _powers
-    if len(_powers[0]) < n:
-        out = []
-        for b in (_BASE, pow(_BASE, -1, 1 << 64)):
-            v = np.full(n, b, U64)
-            v[0] = 1
-            out.append(np.multiply.accumulate(v))
+    if len(_powers[0]) >= n:
+        return _powers
+    out = []
+    for b in (_BASE, pow(_BASE, -1, 1 << 64)):
+        v = np.full(max(n, CHUNK_BYTES + 1), b, U64)
+        v[0] = 1
+        out.append(np.multiply.accumulate(v))
+    if n <= CHUNK_BYTES + 1:
         _powers = (out[0], out[1])
-    return _powers
+    return out[0], out[1]
 
 
 def flat(col: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
