@@ -17,9 +17,9 @@ from .. import constants as K
 from ..operators import commit_collections as coll
 from ..operators import commit_frames as frames
 from ..operators import commit_pairs as pairs
-from ..operators import graph, lineage
+from ..operators import graph, lineage, nested, summary
 from ..operators import lists as L
-from ..operators import logs, text
+from ..operators import logs, rounds, text
 from ..sources import lists as list_src
 from ..sources import text as text_src
 from ..session import pin_utc
@@ -27,7 +27,9 @@ from ..sources.commits import (commit_file_view, commit_stats_view, commit_view,
                                events_to_geo, geo_view, lineitem_files)
 from ..sources.tables import read_table
 from ..streaming import queries as sq
-from ..streaming.replay import replay
+from ..streaming import jobs, late, running, sequence
+from ..streaming.replay import Feed, replay, replay_all, time_batches
+from ..streaming.replay import feed as feed_all
 from .output import flat
 
 # Fixed parameters of the registered queries.
@@ -107,6 +109,23 @@ def _a8_first(spark, d):
     return flat(lineage.fork_first_commits(commit_view(spark, d)))
 
 
+@query("time_diff_summary")
+def _a4_summary(spark, d):
+    """Summary of A4, merged from one state per year."""
+    diffs = frames.days_since_previous_commit(commit_view(spark, d), FOCUS_COMMITTER).select(F.year("date").alias("year"), "time_diff")
+    s = summary.describe(summary.merge_states(summary.summary_state(diffs, "time_diff", ["year"])))
+    return flat(s.withColumn("mean", F.round("mean", 6)).withColumn("stddev", F.round("stddev", 6)))
+
+
+@query("common_committers")
+def _common_committers(spark, d):
+    """Commits that repositories' committers have in common before and since the focus year."""
+    c = commit_view(spark, d).select(F.year("commit.committer.date").alias("year"), F.substring_index("url", "/commits/", 1).alias("repo_url"),
+                                     F.col("commit.committer.name").alias("committer"))
+    rows = lambda when: c.filter(when).select("repo_url", "committer")
+    return flat(summary.common_rows(rows(F.col("year") < FOCUS_YEAR), rows(F.col("year") >= FOCUS_YEAR)))
+
+
 # ---- B: pair-RDD family --------------------------------------------------------------------
 @query("commit_count")
 def _b1(spark, d):
@@ -281,15 +300,22 @@ def _f2(spark, d):
 
 @query("array_flatten_deep")
 def _f3(spark, d):
-    nested = list_src.order_lists(spark, d)
+    lists = list_src.order_lists(spark, d)
     mixed = F.concat(F.lit("["), F.to_json("xss"), F.lit(","), F.to_json("xs"), F.lit("]"))
-    return flat(nested.select("list_id", L.json_flatten_deep(mixed, "bigint").alias("result")))
+    return flat(lists.select("list_id", L.json_flatten_deep(mixed, "bigint").alias("result")))
 
 
 @query("array_flatten_typed")
 def _f3_typed(spark, d):
-    nested = list_src.order_lists(spark, d)
-    return flat(nested.select("list_id", L.array_flatten_deep(nested, "xss").alias("result")))
+    lists = list_src.order_lists(spark, d)
+    return flat(lists.select("list_id", L.array_flatten_deep(lists, "xss").alias("result")))
+
+
+@query("array_flatten_variant")
+def _f3_variant(spark, d):
+    lists = list_src.order_lists(spark, d)
+    mixed = F.concat(F.lit("["), F.to_json("xss"), F.lit(","), F.to_json("xs"), F.lit("]"))
+    return flat(nested.flattened(nested.flatten_variant(lists, "list_id", mixed), "list_id", "bigint"))
 
 
 @query("array_fold_left")
@@ -500,3 +526,79 @@ def _c4_stream(spark, d):
 def _c3_stream(spark, d):
     return flat(replay(spark, _events(spark, d), lambda ev: sq.extension_counts(events_to_commits(ev)),
                        output_mode="update", keys=["extension"], n_batches=REPLAY_BATCHES, sentinel=False))
+
+
+@query("stream_running_extension_counts")
+def _c3_running(spark, d):
+    return flat(running.running_extension_counts(_ec(spark, d)))
+
+
+@query("stream_running_extension_status_counts")
+def _c4_running(spark, d):
+    return flat(running.running_extension_status_counts(_ec(spark, d)))
+
+
+@query("stream_running_extension_counts_replay")
+def _c3_running_stream(spark, d):
+    ev = _events(spark, d)
+    sink = rounds.scratch(spark, "running")
+    feed = Feed(spark, f"{sink}-source", ev.schema)
+    q = running.start(running.extension_events(events_to_commits(feed.stream())), sink, "running_extension_counts", ["extension"],
+                      trigger={"processingTime": "0 seconds"}, checkpoint=f"{sink}-state")
+    feed_all(q, [feed], [time_batches(ev, REPLAY_BATCHES, "ts")])
+    return flat(running.read(spark, sink))
+
+
+@query("stream_added_then_removed_keyed_replay")
+def _c9_keyed_stream(spark, d):
+    # a file may be reported again once its state has expired: distinct at the end
+    return flat(replay(spark, _events(spark, d), lambda ev: sequence.added_then_removed_keyed(events_to_commits(ev)),
+                       n_batches=REPLAY_BATCHES, sentinel=False).distinct())
+
+
+@query("stream_weekly_java_changes_by_continent_two_sources_replay")
+def _c8_two_sources(spark, d):
+    """Geo events come from a folder of their own, a batch after the commits."""
+    ev, geo = _events(spark, d), geo_view(spark, d)
+    tables = [(ev.schema, time_batches(ev, REPLAY_BATCHES, "ts", True, "event_id")),
+              (geo.schema, time_batches(geo, REPLAY_BATCHES, "createdAt", True))]
+    return flat(replay_all(spark, tables, lambda e, g: sq.weekly_java_changes_by_continent(events_to_commits(e), g), lag=[0, 1]))
+
+
+# Fixed parameters of the late-row replays: every 13th event arrives three days after it happened.
+LATE_EVERY, LATE_BY, LATENESS = 13, "3 days", "1 day"
+
+
+def _split(spark, d) -> tuple[str, DataFrame]:
+    """The events in order of arrival through the split of late rows, with a row far ahead at the end."""
+    ev = _events(spark, d)
+    by = F.when(F.col("event_id") % LATE_EVERY == 0, F.expr(f"INTERVAL {LATE_BY}")).otherwise(F.expr("INTERVAL 0 days"))
+    arriving = ev.withColumn("arrival", F.col("ts") + by)
+    batches = time_batches(arriving, REPLAY_BATCHES, "arrival")
+    batches.append(time_batches(arriving, 1, "ts", True, "event_id")[1])
+    sink = rounds.scratch(spark, "late")
+    feed = Feed(spark, f"{sink}-source", arriving.schema)
+    q = late.split(feed.stream(), sink, "late_events", "ts", LATENESS, trigger={"processingTime": "0 seconds"}, checkpoint=f"{sink}-state")
+    feed_all(q, [feed], [batches])
+    return sink, arriving
+
+
+@query("stream_late_rows_replay")
+def _late_rows(spark, d):
+    sink, arriving = _split(spark, d)
+    rows = late.late_rows(spark, sink, arriving.schema)
+    return flat(events_to_commits(rows).select("sha", F.col("commit.committer.date").alias("ts")))
+
+
+@query("stream_daily_commits_on_time_replay")
+def _on_time_days(spark, d):
+    """C5 behind the split: the late rows are in the side table, and no row is dropped."""
+    sink, arriving = _split(spark, d)
+    out = f"{sink}-daily"
+    q = jobs.start(sq.daily_commits(events_to_commits(late.on_time(spark, sink, arriving.schema))), out, "on_time_days",
+                   trigger={"processingTime": "0 seconds"}, checkpoint=f"{sink}-daily-state")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    return flat(spark.read.parquet(out))

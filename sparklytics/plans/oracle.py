@@ -77,6 +77,19 @@ above AS (
 SELECT repo_name, child_repo_name, parent_sha, child_sha FROM fork
 WHERE child_sha NOT IN (SELECT a.child_sha FROM above a JOIN line l ON l.k = a.pos WHERE l.full_name = a.child_repo_name)""",
                                      "commit_flat").replace("WITH ", "WITH RECURSIVE ", 1),
+    "time_diff_summary": with_views(f"""
+, diffs AS (
+  SELECT coalesce(date_diff('day', CAST(lag(cdate) OVER w AS DATE), CAST(cdate AS DATE)), 0) AS x
+  FROM commit_base WHERE committer = '{cat.FOCUS_COMMITTER}' WINDOW w AS (PARTITION BY committer ORDER BY cdate, sha))
+SELECT count(*) AS count, round(avg(x), 6) AS mean, round(stddev_samp(x), 6) AS stddev, CAST(min(x) AS BIGINT) AS min,
+       CAST(max(x) AS BIGINT) AS max, CAST(quantile_disc(x, 0.25) AS BIGINT) AS p25, CAST(quantile_disc(x, 0.5) AS BIGINT) AS p50,
+       CAST(quantile_disc(x, 0.75) AS BIGINT) AS p75
+FROM diffs""", "commit_flat"),
+    "common_committers": with_views(f"""
+, rows AS (SELECT year(cdate) AS year, 'https://api.github.com/repos/' || owner || '/' || repo AS repo_url, committer FROM commit_base)
+SELECT repo_url, committer, count(*) AS n FROM (
+  SELECT repo_url, committer FROM rows WHERE year < {cat.FOCUS_YEAR}
+  INTERSECT ALL SELECT repo_url, committer FROM rows WHERE year >= {cat.FOCUS_YEAR}) GROUP BY ALL""", "commit_flat"),
     # ---- B ----
     "commit_count": with_views("SELECT count(*) AS commits FROM commit_base", "commit_flat"),
     "file_extension_counts": with_views(f"""
@@ -320,3 +333,34 @@ for _k in ("stream_daily_commits", "stream_size_class_counts", "stream_daily_rep
            "stream_extension_status_counts", "stream_extension_counts", "stream_commit_shas",
            "stream_large_additions", "stream_large_deletion_files"):
     ORACLE[_k + "_replay"] = ORACLE[_k]
+
+ORACLE["array_flatten_variant"] = ORACLE["array_flatten_deep"]
+ORACLE["stream_added_then_removed_keyed_replay"] = ORACLE["stream_added_then_removed"]
+ORACLE["stream_weekly_java_changes_by_continent_two_sources_replay"] = ORACLE["stream_weekly_java_changes_by_continent"]
+_RUNNING = """
+, ev AS (SELECT sha, ts, CAST(0 AS BIGINT) AS position, {ext} AS extension, status FROM ev_commit
+         WHERE ({names}) AND filename IS NOT NULL)
+SELECT sha, ts, position, {keys}, row_number() OVER (PARTITION BY {keys} ORDER BY ts NULLS FIRST, sha, position) AS count FROM ev"""
+ORACLE["stream_running_extension_counts"] = with_views(_RUNNING.format(
+    ext=_EXT, names="ends_with(filename, '.java') OR ends_with(filename, '.scala')", keys="extension"), "ev_commit")
+ORACLE["stream_running_extension_counts_replay"] = ORACLE["stream_running_extension_counts"]
+ORACLE["stream_running_extension_status_counts"] = with_views(_RUNNING.format(
+    ext=_EXT, names="ends_with(filename, '.js') OR ends_with(filename, '.py')", keys="extension, status"), "ev_commit")
+# arrival batches, and what each finds behind the newest event of the batches before it
+_LATE = f"""
+, arriving AS (
+  SELECT event_id, ts, ts + CASE WHEN event_id % {cat.LATE_EVERY} = 0 THEN INTERVAL {cat.LATE_BY} ELSE INTERVAL 0 DAY END AS arrival
+  FROM events),
+ends AS (SELECT epoch_us(min(arrival)) AS lo, epoch_us(max(arrival)) AS hi FROM arriving),
+batched AS (
+  SELECT event_id, ts, (SELECT count(*) FROM range(1, {cat.REPLAY_BATCHES}) r(i)
+                        WHERE epoch_us(arrival) >= lo + (hi - lo) * i // {cat.REPLAY_BATCHES}) AS batch
+  FROM arriving, ends),
+newest AS (SELECT batch, max(max(ts)) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS mark
+           FROM batched GROUP BY batch),
+placed AS (SELECT event_id, ts, coalesce(ts < mark - INTERVAL {cat.LATENESS}, false) AS late FROM batched JOIN newest USING (batch))"""
+ORACLE["stream_late_rows_replay"] = with_views(_LATE + """
+SELECT md5('e' || event_id) AS sha, ts FROM placed WHERE late""", "ev_commit")
+ORACLE["stream_daily_commits_on_time_replay"] = with_views(_LATE + """
+SELECT strftime(time_bucket(INTERVAL 1 day, ts, TIMESTAMP '1970-01-01'), '%d-%m-%Y') AS date, count(*) AS count
+FROM placed WHERE NOT late GROUP BY 1""", "ev_commit")

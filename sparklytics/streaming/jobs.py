@@ -27,6 +27,27 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def rename(spark: SparkSession, path: str, to: str) -> None:
+    """Moves a finished folder into place, so that readers see all of it or nothing."""
+    fs, p = _folder(spark, path)
+    if not fs.rename(p, _folder(spark, to)[1]):
+        raise OSError(f"cannot move {path} to {to}")
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _folder(spark, path)
+    return fs.exists(p)
+
+
+def numbered(spark: SparkSession, path: str, kind: str) -> list[int]:
+    """Numbers of the ``kind-N`` folders, ascending."""
+    fs, p = _folder(spark, path)
+    if not fs.exists(p):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(p)]
+    return sorted(int(n.rsplit("-", 1)[1]) for n in names if n.startswith(kind + "-"))
+
+
 def _finished(spark: SparkSession, path: str, kind: str) -> list[int]:
     """Numbers of the complete ``kind-N`` folders, ascending."""
     fs, p = _folder(spark, path)

@@ -1,21 +1,25 @@
-"""Replay a static ``events``-shaped table through Structured Streaming.
-
-The table is cut into time-ordered batches; rows without a timestamp belong to the first one.  Each
-batch is written to the source folder with the table's own parallelism and then run to its end
-(``availableNow``) on the same checkpoint, so the order of batches comes from the runs, never from
-file times, and no batch goes through a single task.  A bounded source ends, but append-mode windows
-only close when the watermark passes them, so an optional sentinel batch (one row far past the
-end) closes every real window; the sentinel's own window never closes, so it never reaches the sink.
-Source and state are removed when the last run ends; the sink holds the result.
+"""Replay static tables through Structured Streaming.
+
+A table is cut into time-ordered batches; rows without a timestamp belong to the first one.  One query runs
+through the whole replay: a batch is written beside the source folder with the table's own parallelism, renamed into it
+(the query sees all of it or nothing, so one batch is one micro-batch and the order of batches comes
+from the runs, never from file times), and ``processAllAvailable`` waits for it.  Several tables can be replayed
+side by side, each through its own folder, with their batches shifted against each other (``lag``).
+A bounded source ends, but append-mode windows only close when the watermark passes them, so an
+optional sentinel batch (one row far past the end) closes every real window; the sentinel's own window
+never closes, so it never reaches the sink.  Source and state are removed when the query has
+stopped; the sink holds the result.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from ..session import checkpoint_dir
 from . import jobs
@@ -23,12 +27,28 @@ from . import jobs
 SENTINEL_GAP = "60 days"
 
 
-def _batches(events: DataFrame, n_batches: int, ts: str, sentinel: bool, id_col: str) -> list[DataFrame]:
+class Feed:
+    """A folder that a running stream reads and that gets whole batches."""
+
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType):
+        self.spark, self.path, self.schema, self.n = spark, path.rstrip("/"), schema, 0
+
+    def stream(self) -> DataFrame:
+        return self.spark.readStream.schema(self.schema).parquet(f"{self.path}/batch-*")
+
+    def put(self, rows: DataFrame) -> None:
+        staging = f"{self.path}/.staging-{self.n}"
+        rows.write.mode("overwrite").parquet(staging)
+        jobs.rename(self.spark, staging, f"{self.path}/batch-{self.n:06d}")
+        self.n += 1
+
+
+def time_batches(rows: DataFrame, n_batches: int, ts: str, sentinel: bool = False, id_col: str | None = None) -> list[DataFrame]:
     """Every row is in exactly one batch; the sentinel, if any, is one more."""
     micros = F.unix_micros(F.col(ts).cast("timestamp"))
-    lo, hi, max_id = events.agg(F.min(micros), F.max(micros), F.max(id_col)).first()
+    lo, hi, max_id = rows.agg(F.min(micros), F.max(micros), F.max(id_col) if id_col else F.lit(None)).first()
     if lo is None:  # no timestamps: one batch, and no window to close
-        return [events]
+        return [rows]
     cuts = [lo + (hi - lo) * i // n_batches for i in range(1, n_batches)]
     out = []
     for i in range(n_batches):
@@ -37,38 +57,55 @@ def _batches(events: DataFrame, n_batches: int, ts: str, sentinel: bool, id_col:
             inside = inside & (micros >= cuts[i - 1])
         if i < n_batches - 1:
             inside = inside & (micros < cuts[i])
-        out.append(events.filter(inside if i else inside | F.col(ts).isNull()))
+        out.append(rows.filter(inside if i else inside | F.col(ts).isNull()))
     if sentinel:
-        one = events.orderBy(F.col(ts).desc_nulls_last()).limit(1)
-        out.append(one.withColumn(ts, F.col(ts) + F.expr(f"INTERVAL {SENTINEL_GAP}"))
-                   .withColumn(id_col, F.lit(max_id + 1).cast(events.schema[id_col].dataType)))
+        one = rows.orderBy(F.col(ts).desc_nulls_last()).limit(1)
+        one = one.withColumn(ts, F.col(ts) + F.expr(f"INTERVAL {SENTINEL_GAP}"))
+        out.append(one.withColumn(id_col, F.lit(max_id + 1).cast(rows.schema[id_col].dataType)) if id_col else one)
     return out
 
 
-def replay(spark: SparkSession, events: DataFrame, build: Callable[[DataFrame], DataFrame], *,
-           n_batches: int = 8, output_mode: str = "append", sentinel: bool = True, ts: str = "ts",
-           id_col: str = "event_id", keys: list[str] | None = None, workdir: str | None = None,
-           keep: bool = False) -> DataFrame:
-    """Run ``build(stream_of_events)`` as a streaming query over ``events`` and return the sink's rows.
+def feed(query: StreamingQuery, feeds: Sequence[Feed], batches: Sequence[Sequence[DataFrame]], lag: Sequence[int] | None = None) -> None:
+    """Puts the batches of each feed in turn and waits until the query has run each round.  ``lag`` holds a
+    feed's batches back by so many rounds.  The query is stopped in any case."""
+    lag = lag or [0] * len(feeds)
+    try:
+        for i in range(max(len(b) + k for b, k in zip(batches, lag, strict=True))):
+            for f, b, k in zip(feeds, batches, lag, strict=True):
+                if 0 <= i - k < len(b):
+                    f.put(b[i - k])
+            query.processAllAvailable()
+    finally:
+        query.stop()
+
 
-    ``append``: the parquet sink's rows.  ``complete``: the last micro-batch's table.
-    ``update``: the latest row per ``keys``.  ``keep`` leaves the source and the state in place."""
+def replay_all(spark: SparkSession, tables: Sequence[tuple[T.StructType, Sequence[DataFrame]]], build: Callable[..., DataFrame], *,
+               output_mode: str = "append", keys: list[str] | None = None, lag: Sequence[int] | None = None,
+               workdir: str | None = None, keep: bool = False) -> DataFrame:
+    """Runs ``build(stream, ...)`` as one streaming query, a stream for each of ``tables`` (schema, batches), and
+    returns the sink's rows: of ``append`` the parquet sink's, of ``complete`` the last micro-batch's
+    table, of ``update`` the latest row per ``keys``.  ``keep`` leaves the sources and the state in place."""
     base = workdir or f"{checkpoint_dir(spark).rstrip('/')}/replay-{uuid.uuid4().hex}"
-    src, out, ckpt = f"{base}/source", f"{base}/sink", f"{base}/state"
-    name = f"replay_{uuid.uuid4().hex[:8]}"
-    for batch in _batches(events, n_batches, ts, sentinel, id_col):
-        batch.write.mode("append").parquet(src)
-        result = build(spark.readStream.schema(events.schema).parquet(src))
-        q = jobs.start(result, out, name, output_mode=output_mode, keys=keys,
-                       trigger={"availableNow": True}, checkpoint=ckpt)
-        q.awaitTermination()
-        if q.exception() is not None:
-            raise RuntimeError(str(q.exception()))
+    out, ckpt = f"{base}/sink", f"{base}/state"
+    feeds = [Feed(spark, f"{base}/source-{i}", schema) for i, (schema, _) in enumerate(tables)]
+    result = build(*[f.stream() for f in feeds])
+    query = jobs.start(result, out, f"replay_{uuid.uuid4().hex[:8]}", output_mode=output_mode, keys=keys,
+                       trigger={"processingTime": "0 seconds"}, checkpoint=ckpt)
+    feed(query, feeds, [b for _, b in tables], lag)
     if not keep:
-        jobs.remove(spark, src)
-        jobs.remove(spark, ckpt)
+        for path in (*[f.path for f in feeds], ckpt):
+            jobs.remove(spark, path)
     if output_mode == "update":
         return jobs.read_latest(spark, out, keys)
     if output_mode == "complete":
         return jobs.read_complete(spark, out)
     return spark.read.schema(result.schema).parquet(out)
+
+
+def replay(spark: SparkSession, events: DataFrame, build: Callable[[DataFrame], DataFrame], *,
+           n_batches: int = 8, output_mode: str = "append", sentinel: bool = True, ts: str = "ts",
+           id_col: str = "event_id", keys: list[str] | None = None, workdir: str | None = None,
+           keep: bool = False) -> DataFrame:
+    """``replay_all`` of one table, cut by ``ts``."""
+    batches = time_batches(events, n_batches, ts, sentinel, id_col)
+    return replay_all(spark, [(events.schema, batches)], build, output_mode=output_mode, keys=keys, workdir=workdir, keep=keep)
