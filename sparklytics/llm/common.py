@@ -30,13 +30,16 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def cut(df: DataFrame, name: str) -> DataFrame:
-    """Cuts lineage: writes the rows to the shared folder and reads them back."""
-    path = scratch(df.sparkSession, name)
+def written(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def cut(df: DataFrame, name: str) -> DataFrame:
+    """Cuts lineage: writes the rows to the shared folder and reads them back."""
+    return written(df, scratch(df.sparkSession, name))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

@@ -13,12 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..streaming.jobs import remove
-from .common import scratch, with_group_first
-
-
-def _written(df: DataFrame, path: str) -> DataFrame:
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+from .common import scratch, with_group_first, written
 
 
 def _state(links: DataFrame) -> tuple:
@@ -34,7 +29,7 @@ def components(links: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
     allowed, rows with a null are ignored.  A table without links gives no rows."""
     spark = links.sparkSession
     path = scratch(spark, "stars")
-    now = _written(links.filter(F.col(u) != F.col(v)).select(F.greatest(u, v).cast("bigint").alias("u"),
+    now = written(links.filter(F.col(u) != F.col(v)).select(F.greatest(u, v).cast("bigint").alias("u"),
                                                              F.least(u, v).cast("bigint").alias("v")).distinct(), path)
     state = _state(now)
     while state[0]:
@@ -45,7 +40,7 @@ def components(links: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
         least = F.col("v") == F.col("first.v")  # the node itself; the others are handed to the least one
         new = small.select(F.when(least, F.col("u")).otherwise(F.col("v")).alias("u"), F.col("first.v").alias("v")).distinct()
         before, path = path, scratch(spark, "stars")
-        now, last = _written(new, path), state
+        now, last = written(new, path), state
         state = _state(now)
         remove(spark, before)
         if state == last:

@@ -43,11 +43,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import texthash as th
-from .common import cut, documents, parts, text_or_empty, with_group_first
+from ..streaming.jobs import remove
+from .common import cut, documents, parts, scratch, text_or_empty, with_group_first, written
 
 SHINGLE, THRESHOLD = 3, (90, 100)
 FREQUENT, FREQUENT_IN_CHUNK = 65_536, 3
 COUNTED_AT_ONCE = 4 << 20  # bytes of text
+LABEL_SHARE = 8  # labels are a small part of the texts that partitions are sized for: fewer files a round
 REGION = 2048
 BUCKETS = (32, 4096)  # least and most buckets of a histogram; about a 16th of the set's size
 LAST = (1 << 63) - 1
@@ -335,16 +337,21 @@ def _sized(members: DataFrame, region: int) -> DataFrame:
 def _merge(groups: DataFrame) -> DataFrame:
     """(rid, tid, lr, lt): the smallest document of each document's component.  ``groups`` has the
     components of regions, one row per region and member."""
+    spark, path = groups.sparkSession, None
     rows = groups.withColumn("lr", F.col("rid")).withColumn("lt", F.col("tid"))
+    few = max(1, parts(spark) // LABEL_SHARE)
     while True:
         # the smallest label of a group, then of a document's groups
         passed = with_group_first(rows, ["grp"], ["lr", "lt", "rid", "tid"], singles=True)
         best = passed.groupBy(*NODE).agg(F.min(F.struct(F.col("first.lr"), F.col("first.lt"))).alias("best"))
-        new = cut(rows.join(best, NODE).select(
+        before, path = path, scratch(spark, "labels")
+        new = written(rows.join(best, NODE).select(
             *NODE, "grp", F.col("best.lr").alias("lr"), F.col("best.lt").alias("lt"),
-            ((F.col("best.lr") != F.col("lr")) | (F.col("best.lt") != F.col("lt"))).alias("moved")), "labels")
+            ((F.col("best.lr") != F.col("lr")) | (F.col("best.lt") != F.col("lt"))).alias("moved")).coalesce(few), path)
         rows = new.drop("moved")
-        if not new.filter("moved").limit(1).count():
+        if before is not None:
+            remove(spark, before)
+        if new.filter("moved").isEmpty():
             return rows.groupBy(*NODE).agg(F.min("lr").alias("lr"), F.min("lt").alias("lt"))
 
 
