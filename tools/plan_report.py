@@ -21,6 +21,12 @@ NOTES = {
     "author_committer_lag_seconds": "map-only projection",
     "branch_points": "one scan, no join: presence and parent-edge rows grouped by sha; distinct count shuffles by (sha, child), then partial counts per sha",
     "fork_points": "explode parents, both sides distinct, then an equi-join on sha with nothing above it: AQE splits a hot parent",
+    "fork_first_commits": "pointer jumping along first parents and along the tour of the runs' forest: written rounds, log2 of the longest line; then a segmented minimum",
+    "time_diff_summary": "one pass to a small state per year (moments, KLL sketch), states merged",
+    "common_committers": "one aggregation of counts over the union of both sides, no join",
+    "array_flatten_variant": "one written round per nesting level that holds only what is still nested; each element is written once",
+    "stream_running_extension_counts": "segmented scan: range partitions on (key, event order), at most one carried row per partition; no window over a key",
+    "stream_running_extension_status_counts": "as above, keyed by extension and status",
     "commit_count": "partial count per task, one row per task to the final count",
     "file_extension_counts": "one scan of the files, partial aggregate",
     "author_rank": "aggregate, range partition + checkpoint (at first use), per-partition offsets (one row per partition) broadcast",
@@ -93,6 +99,10 @@ def main():
             continue
         if name == "author_rank":
             shape = "checkpointed range partitions + broadcast offsets (see ordering.global_rank)"
+        elif name.startswith("stream_running"):
+            shape = "checkpointed range partitions + broadcast carries (see ordering.segmented_scan)"
+        elif name == "fork_first_commits":
+            shape = "written rounds of one equi-join each (see rounds.jump), then a segmented scan"
         else:
             shape = summarize(fn(spark, sf_dir)._jdf.queryExecution().executedPlan().toString())
         note = NOTES.get(name) or (ARRAY_NOTE if name.startswith(("array_", "list_")) else
