@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import texthash as th
-from .common import documents, one_row_each, text_or_empty
+from .common import cut, documents, one_row_each, text_or_empty
 
 TRAIN_ROWS, MAX_UNITS = 20_000, 65_536
 PREFIXES = (4, 5, 6)
@@ -98,26 +98,29 @@ def word_scores(units: np.ndarray, model: Model) -> np.ndarray:
 
 
 def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
-    """All maximal scoring segments (first word, word after the last, score), in one pass: each
-    positive word opens a candidate, which swallows the candidates before it as long as that raises
-    its score."""
+    """All maximal scoring segments (first word, word after the last, score), in one pass and linear time: each
+    positive word opens a candidate, which swallows the candidates before it as long as that raises its score.
+    A candidate points to the nearest one before it that starts from a smaller sum; looking for such
+    a one follows these pointers, and what a pointer skips is never looked at again."""
     plus = np.flatnonzero(scores > 0)
     if not len(plus):
         return []
     total = np.r_[0.0, np.cumsum(scores)]
-    found: list[tuple[int, int, float, float]] = []  # first, end, total before, total after
-    for i in plus.tolist():
-        cand = (i, i + 1, float(total[i]), float(total[i + 1]))
+    found: list[tuple[int, int, float, float, int]] = []  # first, end, total before, total after, pointer
+    for i, before, after in zip(plus.tolist(), total[plus].tolist(), total[plus + 1].tolist(), strict=True):
+        first, end = i, i + 1
+        j = len(found) - 1
         while True:
-            j = len(found) - 1
-            while j >= 0 and found[j][2] >= cand[2]:
-                j -= 1
-            if j < 0 or found[j][3] >= cand[3]:
-                found.append(cand)
+            while j >= 0 and found[j][2] >= before:
+                j = found[j][4]
+            if j < 0 or found[j][3] >= after:
+                found.append((first, end, before, after, j))
                 break
-            cand = (found[j][0], cand[1], found[j][2], cand[3])
+            first, before = found[j][0], found[j][2]
+            up = found[j][4]
             del found[j:]
-    return [(a, b, after - before) for a, b, before, after in found]
+            j = up
+    return [(a, b, after - before) for a, b, before, after, _ in found]
 
 
 def _features(col: pa.Array, model: Model):
@@ -179,7 +182,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, max_units: i
     sample = spark.createDataFrame([(r["doc_id"], r["label"]) for r in chosen], "doc_id bigint, label int")
     text = (docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty().alias("text"))
             .join(F.broadcast(sample), "doc_id"))
-    text = one_row_each(text, ["doc_id", "label"]).select("text", "label")  # at most ``rows`` rows
+    text = cut(one_row_each(text, ["doc_id", "label"]).select("text", "label"), "labelled")  # at most ``rows`` rows
     counts = (text.mapInArrow(_count, "unit bigint, toxic bigint, clean bigint")
               .groupBy("unit").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
               .filter(F.col("toxic") + F.col("clean") >= MIN_DOCS))
@@ -195,35 +198,38 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, max_units: i
     order = np.argsort(h)
     model.units, model.weight, model.z = h[order], kept["weight"].to_numpy()[order], kept["z"].to_numpy()[order]
 
-    def scan(batches):
+    def word_values(batches):
+        """Word scores of clean texts as (value, number), for the moment equation."""
         for b in th.chunks(batches, "text"):
             row, units = _units(b.column("text"))
-            s = word_scores(units, model)
-            at = th.bounds(row, b.num_rows)
-            best = [max((v for _, _, v in segments(s[x:y])), default=0.0) for x, y in zip(at[:-1], at[1:], strict=True)]
-            # word scores as (value, number), for the moment equation
-            pair = [np.unique(s[x:y], return_counts=True) for x, y in zip(at[:-1], at[1:], strict=True)]
+            clean = b.column("label").to_numpy(zero_copy_only=False) == 0
+            value, count = np.unique(word_scores(units, model)[clean[row]], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(value), pa.array(count)], names=["value", "n"])
+
+    def scan(batches):
+        """Number of words and best segment of each row."""
+        for b in th.chunks(batches, "text"):
+            found = _features(b.column("text"), model)
             yield pa.RecordBatch.from_arrays(
-                [b.column("label"), pa.array(np.diff(at)), pa.array(best, pa.float64()),
-                 pa.array([v for v, _ in pair], pa.list_(pa.float64())), pa.array([c for _, c in pair], pa.list_(pa.int64())),
-                 pa.array([[v for _, _, v in segments(s[x:y])] for x, y in zip(at[:-1], at[1:], strict=True)],
-                          pa.list_(pa.float64()))],
-                names=["label", "n", "best", "values", "counts", "segs"])
-    seen = text.mapInArrow(scan, "label int, n bigint, best double, values array<double>, counts array<bigint>, "
-                                 "segs array<double>").collect()  # at most ``rows`` rows
-    clean = [r for r in seen if r["label"] == 0 and r["n"]]
-    values: dict[float, int] = {}
-    for r in clean:
-        for v, c in zip(r["values"], r["counts"], strict=True):
-            values[v] = values.get(v, 0) + c
+                [b.column("label"), pa.array([k for k, _ in found], pa.int64()),
+                 pa.array([max((v for _, _, v in segs), default=0.0) for _, segs in found], pa.float64())], names=["label", "n", "best"])
+
+    def evidence(batches):
+        for b in th.chunks(batches, "text"):
+            x = np.array([_evidence(k, segs, model) for k, segs in _features(b.column("text"), model)])
+            yield pa.RecordBatch.from_arrays([b.column("label"), pa.array(x[:, 0]), pa.array(x[:, 1])], names=["label", "x", "y"])
+    # at most one row for each weight of the model and one for words without any
+    values = {r["value"]: r["n"] for r in text.mapInArrow(word_values, "value double, n bigint").groupBy("value").agg(
+        F.sum("n").alias("n")).collect()}
     model.decay = _decay(values, model, float(n[0]))
+    seen = text.mapInArrow(scan, "label int, n bigint, best double").collect()  # three numbers for each of at most ``rows`` rows
+    clean = [r for r in seen if r["label"] == 0 and r["n"]]
     rest = [model.decay * r["best"] - np.log(r["n"]) for r in clean if r["best"] > 0]
     # the law's location is the mean less Euler's constant; texts without a positive word lie below
     model.scale = float(np.exp(np.mean(rest) - EULER) * len(rest) / len(clean)) if rest else 1.0 / (1 + sum(values.values()))
-    x = np.array([_evidence(r["n"], [(0, 0, v) for v in r["segs"]], model) for r in seen])
-    y = np.array([r["label"] for r in seen], float)
-    if len(x):
-        model.coef = tuple(float(v) for v in _logistic(x, y))
+    pairs = sorted(tuple(r) for r in text.mapInArrow(evidence, "label int, x double, y double").collect())
+    if pairs:
+        model.coef = tuple(float(v) for v in _logistic(np.array([p[1:] for p in pairs]), np.array([p[0] for p in pairs], float)))
     return model
 
 
