@@ -113,11 +113,16 @@ def merge_fingerprints(prints: DataFrame, key: str, k: int = K) -> DataFrame:
     return kept.groupBy(key).agg(F.base64(F.unhex(joined)).alias("fingerprint"))
 
 
+def _numbers(values, kind: str) -> Column:
+    """A constant array as one literal, however long: a plan of thousands of literals takes minutes to build."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast(f"array<{kind}>")
+
+
 def _range_of(bounds: list[int], order: Column) -> tuple[Column, Column]:
     """(range, whether the id is a bound); ranges count down from the largest id.  A binary search
     over the sorted bounds, in log2 steps."""
     m = len(bounds)
-    a = F.array(*[F.lit(b).cast("bigint") for b in bounds])
+    a = _numbers(bounds, "bigint")
     steps = F.array(*[F.lit(1 << i) for i in reversed(range(m.bit_length()))])
     below = F.aggregate(steps, F.lit(0), lambda pos, s: F.when(
         (pos + s <= m) & (F.get(a, pos + s - 1) < order), pos + s).otherwise(pos))
@@ -158,7 +163,7 @@ def compare_with_edited(docs: DataFrame, k: int = K, shingle: int = SHINGLE) ->
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty().alias("text"), order.alias("ord"))
     m = n * RANGES_PER_TASK
     cuts = rows.agg(F.max("ord").alias("top"),
-                    F.percentile_approx("ord", [i / m for i in range(1, m)], 20 * m).alias("cuts")).first()
+                    F.percentile_approx("ord", _numbers([i / m for i in range(1, m)], "double"), F.lit(20 * m)).alias("cuts")).first()
     bounds = sorted({cuts["top"], *cuts["cuts"]}) if cuts["top"] is not None else [LAST]
     deal, is_bound = _range_of(bounds, F.col("ord"))
     before = F.pmod(F.col("range") - 1, F.lit(len(bounds)))
