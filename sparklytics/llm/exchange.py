@@ -1,11 +1,13 @@
 """Requests and replies between batches of documents and shards of a model, as Spark exchanges.
 
-Documents are dealt into batches of a few megabytes (a hash of id and text decides).  A batch asks
+Documents are dealt into batches of a few megabytes by a hash of each row's number in its partition, so that rows
+equal in id and text are spread, too.  The numbers are the same again when a lost task is run again, if the
+documents are a table or another plan with a fixed order of rows (``common.cut`` makes one).  A batch asks
 each shard about its distinct keys, with its own counts, in one row: the keys are deduplicated before
 they are shuffled, however many rows of the batch repeat them.  A shard sees what all batches sent,
 answers each row, and a co-group hands the answers back to the batch.  The numbers of batches and
-shards follow the text's bytes, so a task holds a few megabytes at any corpus size.  A batch sends
-nothing to shards that none of its keys belong to, so rows never outnumber keys.
+shards follow the text's bytes.  What a shard holds grows with the corpus's distinct keys over the number of shards; the
+operators say what they send to shards that none of a batch's keys belong to.
 """
 
 from __future__ import annotations
@@ -26,7 +28,8 @@ def dealt(docs: DataFrame, *extra) -> tuple[DataFrame, int]:
     size = docs.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     n = max(1, -(-size // BATCH_BYTES))
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty().alias("text"), *extra)
-    return rows.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).alias("batch"), *rows.columns), n
+    number = F.xxhash64(F.monotonically_increasing_id())
+    return rows.select(F.pmod(number, F.lit(n)).alias("batch"), *rows.columns), n
 
 
 def shard_of(keys: np.ndarray, shards: int) -> np.ndarray:
