@@ -219,6 +219,7 @@ def fit(pats: np.ndarray, hist: np.ndarray, iterations: int = ITERATIONS) -> np.
 def plan(hist: np.ndarray, limit: int = LIMIT) -> np.ndarray:
     """Slots (length, first rank, number, first sequence, offset) that place every piece once."""
     left = hist.astype(np.int64).copy()
+    left[0] = 1  # pads patterns of fewer pieces
     taken = np.zeros(limit + 1, np.int64)  # ranks given out so far, by length
     slots: list[tuple[int, int, int, int, int]] = []
     seq = 0
@@ -228,20 +229,30 @@ def plan(hist: np.ndarray, limit: int = LIMIT) -> np.ndarray:
         taken[length] += n
         left[length] -= n
 
-    pats = patterns(np.flatnonzero(left), limit)
-    x = np.rint(fit(pats, left)).astype(np.int64)
-    for p in np.argsort(-x, kind="stable"):
-        if not x[p]:
+    def repeat(pattern, wanted):
+        """Places up to ``wanted`` repeats of a pattern; how many there were pieces for."""
+        nonlocal seq
+        used = [int(v) for v in pattern if v]
+        n = min(wanted, *(int(left[v]) // used.count(v) for v in used))
+        if n > 0:
+            offset = 0
+            for v in sorted(used, reverse=True):
+                place(v, n, seq, offset)
+                offset += v
+            seq += n
+        return max(n, 0)
+
+    while True:
+        # whole parts of the fitted counts, then one more each by largest remainder; what is left is fitted again
+        pats = patterns(np.flatnonzero(left), limit)
+        x = fit(pats, left)
+        whole = np.floor(x).astype(np.int64)
+        placed = sum(repeat(pats[p], int(whole[p])) for p in np.flatnonzero(whole)[np.argsort(-whole[whole > 0], kind="stable")])
+        for p in np.argsort(whole - x, kind="stable"):
+            if (left[pats[p]] > 0).all():  # left[0] stands for no further piece
+                placed += repeat(pats[p], 1)
+        if not placed:
             break
-        used = [int(v) for v in pats[p] if v]
-        n = min(int(x[p]), *(int(left[v]) // used.count(v) for v in used))
-        if n <= 0:
-            continue
-        offset = 0
-        for v in sorted(used, reverse=True):
-            place(v, n, seq, offset)
-            offset += v
-        seq += n
     # residuals: best fit on counts, longest first; open[space] has (first sequence, number)
     open_: list[list[tuple[int, int]]] = [[] for _ in range(limit + 1)]
     for v in range(limit, 0, -1):
