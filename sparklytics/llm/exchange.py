@@ -62,5 +62,12 @@ def by_shard(shard: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray]:
     return order, np.searchsorted(shard[order], np.arange(shards + 1))
 
 
+def runs_by_shard(shard: np.ndarray) -> dict[int, np.ndarray]:
+    """For each shard that occurs, the positions of its entries in their order."""
+    order = np.argsort(shard, kind="stable")
+    ids, first = np.unique(shard[order], return_index=True)
+    return {int(s): i for s, i in zip(ids, np.split(order, first[1:]), strict=True)} if len(ids) else {}
+
+
 def table(columns: dict[str, tuple[list, pa.DataType]]) -> pa.Table:
     return pa.table({k: pa.array(v, t) for k, (v, t) in columns.items()})

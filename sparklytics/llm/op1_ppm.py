@@ -11,10 +11,10 @@ log10 probabilities under counts of the whole training set ("pretrained").
 The trie grows with the corpus and is never held in one place.  Batches of documents send their
 distinct (context, symbol) pairs with training counts to the shard of the two latest context bytes.
 Counts are summed per shard and group of ``GROUP`` batches, then per shard, which so holds the whole subtree
-of orders 2 to ``ORDER`` once and computes its probabilities; the finished subtree goes to each group
-of batches and answers their requests.  So a common context, which every batch asks about, costs a task
-one group of batches at a time, not all of them.  Orders 0 and 1 are one 256 x 256 table, counted
-first.  Word counts of the base score travel the same way.
+of orders 2 to ``ORDER`` once and computes its probabilities.  A group of batches gets back only the pairs
+that it asked for, so what is sent grows with the requests, and a common context, which every batch asks about,
+costs a task one group of batches at a time.  Orders 0 and 1 are one 256 x 256 table, counted
+first.  Word counts of the base score travel the same way.  There are as many shards as batches.
 
 Defined results: null text is the empty text, which is its end token; a null ``doc_id`` is held out;
 repeated rows are scored (and learned) one by one; without training rows every symbol has probability
@@ -30,14 +30,13 @@ from pyspark.sql import functions as F
 
 from . import texthash as th
 from .common import documents
-from .exchange import by_shard, dealt, pack, pack_sorted, shard_of, table, unpack, unpack_sorted
+from .exchange import dealt, pack, pack_sorted, runs_by_shard, shard_of, table, unpack, unpack_sorted
 
 ORDER = 5  # context bytes; with the symbol, a pair is 48 bits
 END = 10   # newline: never inside a normalised text
 FOLDS, HELD_OUT = 7, 2
 WIDTH = ORDER + 1
 GROUP = 32      # batches whose requests one task of a shard answers
-SHARDS = 4096   # at most: there are no more than a few thousand contexts of two bytes
 
 
 def held_out(doc_id: Column) -> Column:
@@ -151,12 +150,13 @@ def _ask(t: pa.Table, shards: int) -> pa.Table:
     mine = np.repeat(train, np.diff(at))
     out = {c: [] for c in ("batch", "shard", "grp", "pairs", "pair_n", "words", "word_n")}
     keys, n = _with_counts(k, mine)
-    order, cuts = by_shard(_pair_shard(keys, shards), shards)
+    of_pair = runs_by_shard(_pair_shard(keys, shards))
     w, wn = _with_counts(words, train[row])
-    worder, wcuts = by_shard(shard_of(w, shards), shards)
+    of_word = runs_by_shard(shard_of(w, shards))
     batch = t["batch"][0].as_py()
-    for s in range(shards):
-        i, j = order[cuts[s]:cuts[s + 1]], worder[wcuts[s]:wcuts[s + 1]]
+    none = np.zeros(0, np.int64)
+    for s in sorted(of_pair.keys() | of_word.keys()):  # nothing is sent to shards that none of the keys belong to
+        i, j = of_pair.get(s, none), of_word.get(s, none)
         for c, v in zip(out, (batch, s, batch // GROUP, pack_sorted(keys[i], WIDTH), pack(n[i], 5), pack_sorted(w[j], 8), pack(wn[j], 5)),
                         strict=True):
             out[c].append(v)
@@ -188,31 +188,36 @@ def _sum(t: pa.Table) -> pa.Table:
     """Counts of a shard over one group of batches."""
     k, n = _total(t, "pairs", "pair_n", WIDTH)
     w, wn = _total(t, "words", "word_n", 8)
-    return table({"shard": ([t["shard"][0].as_py()], pa.int64()), "pairs": ([pack_sorted(k, WIDTH)], pa.binary()),
-                  "pair_n": ([pack(n, 5)], pa.binary()), "words": ([pack_sorted(w, 8)], pa.binary()),
-                  "word_n": ([pack(wn, 5)], pa.binary())})
+    return table({"shard": ([t["shard"][0].as_py()], pa.int64()), "grp": ([t["grp"][0].as_py()], pa.int64()),
+                  "pairs": ([pack_sorted(k, WIDTH)], pa.binary()), "pair_n": ([pack(n, 5)], pa.binary()),
+                  "words": ([pack_sorted(w, 8)], pa.binary()), "word_n": ([pack(wn, 5)], pa.binary())})
 
 
 def _solve(t: pa.Table, low: np.ndarray) -> pa.Table:
-    """The finished subtree of a shard: its pairs with log10 probabilities, its words with counts."""
+    """A shard's finished subtree, cut to what each group of batches asked for: its pairs with log10
+    probabilities, its words with counts."""
     k, n = _total(t, "pairs", "pair_n", WIDTH)
     w, wn = _total(t, "words", "word_n", 8)
-    return table({"shard": ([t["shard"][0].as_py()], pa.int64()), "pairs": ([pack_sorted(k, WIDTH)], pa.binary()),
-                  "logs": ([log10_probabilities(k, n, low).astype("<f4").tobytes()], pa.binary()),
-                  "words": ([pack_sorted(w, 8)], pa.binary()), "counts": ([pack(wn, 5)], pa.binary()),
-                  "distinct": ([int((wn > 0).sum())], pa.int64()), "tokens": ([int(wn.sum())], pa.int64())})
+    log = log10_probabilities(k, n, low).astype("<f4")
+    logs = [log[np.searchsorted(k, unpack_sorted(x, WIDTH))].tobytes() for x in t["pairs"].to_pylist()]
+    counts = [pack(wn[np.searchsorted(w, unpack_sorted(x, 8))], 5) for x in t["words"].to_pylist()]
+    return pa.table({"shard": t["shard"], "grp": t["grp"], "pairs": t["pairs"], "logs": pa.array(logs, pa.binary()), "words": t["words"],
+                     "counts": pa.array(counts, pa.binary())})
+
+
+def _word_totals(t: pa.Table) -> pa.Table:
+    """Distinct training words of a shard, and how often they occur."""
+    _, n = _total(t, "words", "word_n", 8)
+    return table({"distinct": ([int((n > 0).sum())], pa.int64()), "tokens": ([int(n.sum())], pa.int64())})
 
 
 def _answer(t: pa.Table, solved: pa.Table) -> pa.Table:
-    rows = t.num_rows
-    tree = {c: solved[c][0].as_py() for c in solved.column_names}
+    tree = {c: solved[c][0].as_py() for c in ("pairs", "logs", "words", "counts")}
     keys, log = unpack_sorted(tree["pairs"], WIDTH), np.frombuffer(tree["logs"], "<f4")
     words, count = unpack_sorted(tree["words"], 8), unpack(tree["counts"], 5)
     logs = [log[np.searchsorted(keys, unpack_sorted(x, WIDTH))].tobytes() for x in t["pairs"].to_pylist()]
     counts = [pack(count[np.searchsorted(words, unpack_sorted(x, 8))], 5) for x in t["words"].to_pylist()]
-    return table({"batch": (t["batch"].to_pylist(), pa.int64()), "shard": (t["shard"].to_pylist(), pa.int64()),
-                  "logs": (logs, pa.binary()), "counts": (counts, pa.binary()),
-                  "distinct": ([tree["distinct"]] * rows, pa.int64()), "tokens": ([tree["tokens"]] * rows, pa.int64())})
+    return pa.table({"batch": t["batch"], "shard": t["shard"], "logs": pa.array(logs, pa.binary()), "counts": pa.array(counts, pa.binary())})
 
 
 SCHEMA = ("doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, "
@@ -227,21 +232,19 @@ def _score(t: pa.Table, replies: pa.Table, shards: int, train_docs: int) -> pa.T
     sym, at, words, row = symbols(t["text"])
     n = t.num_rows
     by = dict(zip(replies["shard"].to_pylist(), range(replies.num_rows), strict=True))
-    assert len(by) == shards
     k = pairs(sym, at)
     keys, which = np.unique(k, return_inverse=True)
     log = np.empty(len(keys))
-    order, cuts = by_shard(_pair_shard(keys, shards), shards)
     w, wwhich = np.unique(words, return_inverse=True)
     count = np.zeros(len(w), np.int64)
-    worder, wcuts = by_shard(shard_of(w, shards), shards)
     logs, counts = replies["logs"], replies["counts"]
-    for s in range(shards):
-        log[order[cuts[s]:cuts[s + 1]]] = np.frombuffer(logs[by[s]].as_py(), "<f4")
-        count[worder[wcuts[s]:wcuts[s + 1]]] = unpack(counts[by[s]].as_py(), 5)
+    for s, i in runs_by_shard(_pair_shard(keys, shards)).items():
+        log[i] = np.frombuffer(logs[by[s]].as_py(), "<f4")
+    for s, i in runs_by_shard(shard_of(w, shards)).items():
+        count[i] = unpack(counts[by[s]].as_py(), 5)
     score = np.bincount(np.repeat(np.arange(n), np.diff(at)), log[which], n)
-    tokens = sum(replies["tokens"].to_pylist()) + train_docs
-    distinct = sum(replies["distinct"].to_pylist()) + (train_docs > 0)
+    tokens = replies["tokens"][0].as_py() + train_docs
+    distinct = replies["distinct"][0].as_py() + (train_docs > 0)
     c = count[wwhich]
     n_tokens = np.bincount(row, minlength=n) + 1
     known = np.bincount(row, c > 0, n).astype(np.int64) + (train_docs > 0)
@@ -255,7 +258,7 @@ def ppm_scores(docs: DataFrame, held: Column | None = None) -> DataFrame:
     """Scores all rows of ``docs`` (doc_id, text) with the model learned from those not held out."""
     held = held_out(F.col("doc_id")) if held is None else held
     rows, batches = dealt(docs, held.alias("held_out"))
-    shards, groups = min(batches, SHARDS), -(-batches // GROUP)
+    shards = batches
     low = np.zeros(65536, np.int64)
     train_docs = 0
     counted = (rows.filter(~F.col("held_out")).select("text").mapInArrow(_count_pairs, "pair bigint, n bigint")
@@ -268,12 +271,14 @@ def ppm_scores(docs: DataFrame, held: Column | None = None) -> DataFrame:
     low = low.reshape(256, 256)
     blobs = "pairs binary, pair_n binary, words binary, word_n binary"
     asked = rows.groupBy("batch").applyInArrow(lambda t: _ask(t, shards), f"batch bigint, shard bigint, grp bigint, {blobs}")
-    solved = (asked.groupBy("shard", "grp").applyInArrow(_sum, f"shard bigint, {blobs}")
-              .groupBy("shard").applyInArrow(lambda t: _solve(t, low), "shard bigint, pairs binary, logs binary, "
-                                             "words binary, counts binary, distinct bigint, tokens bigint")
-              .withColumn("grp", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))).withColumn("grp", F.col("grp").cast("bigint")))
-    replies = asked.groupBy("shard", "grp").cogroup(solved.groupBy("shard", "grp")).applyInArrow(
-        _answer, "batch bigint, shard bigint, logs binary, counts binary, distinct bigint, tokens bigint")
+    summed = asked.groupBy("shard", "grp").applyInArrow(_sum, f"shard bigint, grp bigint, {blobs}")
+    solved = summed.groupBy("shard").applyInArrow(
+        lambda t: _solve(t, low), "shard bigint, grp bigint, pairs binary, logs binary, words binary, counts binary")
+    totals = (summed.groupBy("shard").applyInArrow(_word_totals, "distinct bigint, tokens bigint")
+              .agg(F.sum("distinct").alias("distinct"), F.sum("tokens").alias("tokens")).withColumn("one", F.lit(1)))  # one row
+    replies = (asked.groupBy("shard", "grp").cogroup(solved.groupBy("shard", "grp"))
+               .applyInArrow(_answer, "batch bigint, shard bigint, logs binary, counts binary")
+               .withColumn("one", F.lit(1)).join(F.broadcast(totals), "one").drop("one"))
     return rows.groupBy("batch").cogroup(replies.groupBy("batch")).applyInArrow(
         lambda t, r: _score(t, r, shards, train_docs), SCHEMA)
 
