@@ -15,8 +15,8 @@ spread by salts (``with_group_first``).
 
 With ``min_words``, a run of fewer than ``window`` lines counts as well if it has that many words
 (white-space separated): its lines are windows of their own, reduced in the same way, so a long
-passage on one or two lines is found whatever stands around it.  The pipeline works so, with
-``MIN_WORDS``; the registered query keeps to ``ORACLE_SQL``, which has runs of three lines only.
+passage on one or two lines is found whatever stands around it.  The pipeline and the registered query work so, with
+``MIN_WORDS``.
 
 Defined results: null text is the empty text; without ``min_words``, documents of fewer lines than
 ``window`` are never changed; blank lines are kept and don't separate runs; a repeat within one document counts; a null
@@ -123,22 +123,28 @@ def line_dedup(docs: DataFrame, window: int = WINDOW, min_words: int | None = No
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
-    return line_dedup(docs).select("doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+    return line_dedup(docs, min_words=MIN_WORDS).select("doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
-ORACLE_SQL = """
+ORACLE_SQL = r"""
 WITH raw AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
          generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i FROM documents),
-full_lines AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS p FROM raw WHERE line <> ''),
+full_lines AS (
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS p, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words
+  FROM raw WHERE line <> ''),
 win AS (
-  SELECT doc_id, p, line || chr(10) || lead(line, 1) OVER w || chr(10) || lead(line, 2) OVER w AS run
+  SELECT doc_id, p, unnest([
+    {'size': 1, 'words': words, 'run': line},
+    {'size': 2, 'words': words + lead(words, 1) OVER w, 'run': line || chr(10) || lead(line, 1) OVER w},
+    {'size': 3, 'words': 13, 'run': line || chr(10) || lead(line, 1) OVER w || chr(10) || lead(line, 2) OVER w}]) AS x
   FROM full_lines WINDOW w AS (PARTITION BY doc_id ORDER BY p)),
 later AS (
-  SELECT doc_id, p FROM (
-    SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id, p) AS k FROM win WHERE run IS NOT NULL)
+  SELECT doc_id, p, size FROM (
+    SELECT doc_id, p, x.size AS size, row_number() OVER (PARTITION BY x.size, x.run ORDER BY doc_id, p) AS k
+    FROM win WHERE x.run IS NOT NULL AND x.words >= 13)
   WHERE k > 1),
-gone AS (SELECT DISTINCT doc_id, p + k AS p FROM later, (SELECT unnest([0, 1, 2]) AS k)),
+gone AS (SELECT DISTINCT doc_id, p + unnest(range(size)) AS p FROM later),
 marked AS (
   SELECT r.doc_id, r.i, r.line, f.p, g.p AS g
   FROM raw r LEFT JOIN full_lines f ON r.doc_id = f.doc_id AND r.i = f.i

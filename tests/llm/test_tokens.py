@@ -190,7 +190,7 @@ def test_registry(spark):
     assert sorted(int(k[2:].split("_")[0]) for k in registry.QUERIES if k != "pipeline") == list(range(1, 11))
 
 
-@pytest.mark.parametrize("name", ["op4_line_dedup", "op5_exact_dedup", "op8_substrings", "op10_jaccard"])
+@pytest.mark.parametrize("name", ["op4_line_dedup", "op5_exact_dedup", "op8_substrings", "op10_jaccard", "op11_ranked"])
 def test_matches_oracle(spark, name):
     from sparklytics.llm import registry
 
