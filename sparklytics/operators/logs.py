@@ -60,6 +60,6 @@ def access_log_to_csv(lines: DataFrame, value: str = "value") -> DataFrame:
                     F.col("status").alias("Status"), F.col("size").alias("Size"))
 
 
-def write_csv(df: DataFrame, path: str, header: bool = False, mode: str = "overwrite") -> None:
-    """CSV sink for E7 (no header, like the shell version)."""
+def write_csv(df: DataFrame, path: str, header: bool = False, mode: str = "errorifexists") -> None:
+    """CSV sink for E7 (no header, like the shell version); an existing folder is an error unless ``mode`` says otherwise."""
     df.write.mode(mode).option("header", header).csv(path)

@@ -1,5 +1,6 @@
 """Logs, text and list analytics on hand-made inputs."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from sparklytics.functions.logparse import parse_access_log
@@ -134,3 +135,13 @@ def test_log_to_csv_tool(spark, tmp_path):
     tool.convert(spark, str(tmp_path / "access_log"), str(tmp_path / "csv"))
     got = sorted(r["value"] for r in spark.read.text(str(tmp_path / "csv")).collect())
     assert len(got) == len(LOG) and "10.0.0.2,10/Mar/2004:12:04:00,POST,/a,200,-" in got
+
+
+def test_csv_sink_does_not_overwrite(spark, tmp_path):
+    out = str(tmp_path / "csv")
+    rows = logs.access_log_to_csv(spark.createDataFrame([(0, LOG[0])], "line_no long, value string"))
+    logs.write_csv(rows, out)
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        logs.write_csv(rows, out)
+    logs.write_csv(rows, out, mode="overwrite")
+    assert spark.read.csv(out).count() == 1
