@@ -222,7 +222,7 @@ def _blocks(items: DataFrame) -> Iterator[tuple[list, list[np.ndarray]]]:
     ids, vectors, held = [], [], set()
     for r in items.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("string").alias("text")).toLocalIterator():
         own = np.unique(terms(pa.array([r["text"]], pa.string()))[0])
-        if ids and (len(ids) >= BLOCK_ITEMS or len(held.union(own.tolist())) > BLOCK_TERMS):
+        if ids and (len(ids) >= BLOCK_ITEMS or len(held) + sum(t not in held for t in own.tolist()) > BLOCK_TERMS):
             yield ids, vectors
             ids, vectors, held = [], [], set()
         ids.append(r["item_id"])
