@@ -13,7 +13,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..streaming.jobs import remove
-from .common import scratch, with_group_first, written
+from .common import parts, scratch, with_group_first, written
+
+SHARE = 8  # links are a small part of the texts that partitions are sized for: fewer files a round
 
 
 def _state(links: DataFrame) -> tuple:
@@ -23,14 +25,14 @@ def _state(links: DataFrame) -> tuple:
 
 
 def components(links: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
-    """(node, root) of every node that has a link to another one; ``root`` is the smallest node reachable.
+    """(node, root) of every node that a smaller one can be reached from; ``root`` is the smallest of them (and has no row
+    of its own).
 
-    ``links`` has two bigint columns; repeated links, links of a node to itself and both directions are
-    allowed, rows with a null are ignored.  A table without links gives no rows."""
+    ``links`` has two columns of one orderable type (numbers, or structs of them); repeated links, links of a node to
+    itself and both directions are allowed, rows with a null are ignored.  A table without links gives no rows."""
     spark = links.sparkSession
-    path = scratch(spark, "stars")
-    now = written(links.filter(F.col(u) != F.col(v)).select(F.greatest(u, v).cast("bigint").alias("u"),
-                                                             F.least(u, v).cast("bigint").alias("v")).distinct(), path)
+    path, few = scratch(spark, "stars"), max(1, parts(spark) // SHARE)
+    now = written(links.filter(F.col(u) != F.col(v)).select(F.greatest(u, v).alias("u"), F.least(u, v).alias("v")).distinct().coalesce(few), path)
     state = _state(now)
     while state[0]:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -38,7 +40,7 @@ def components(links: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
                  .select(F.col("v").alias("u"), F.least("u", "first.v").alias("v")).distinct())
         small = with_group_first(large, ["u"], ["v"], singles=True)
         least = F.col("v") == F.col("first.v")  # the node itself; the others are handed to the least one
-        new = small.select(F.when(least, F.col("u")).otherwise(F.col("v")).alias("u"), F.col("first.v").alias("v")).distinct()
+        new = small.select(F.when(least, F.col("u")).otherwise(F.col("v")).alias("u"), F.col("first.v").alias("v")).distinct().coalesce(few)
         before, path = path, scratch(spark, "stars")
         now, last = written(new, path), state
         state = _state(now)

@@ -19,7 +19,7 @@ and two are linked when it is at most r = 1 - threshold.  The result is each doc
    Links between cells can only run between pivots at most 3r apart, and there only between members
    within 2r of the other cell's pivot: these boundary windows are compared exactly.  A member that a
    pivot finds within r is linked directly.
-5. Components are merged by passing the smallest document on until nothing changes.
+5. Components are merged by stars (``components``), in rounds that grow with the logarithm of a chain's length.
 
 Regions and candidate components above ``REGION`` members are split by hash into blocks, and each pair of
 blocks is joined by itself: exact, and in bounded memory, at a cost that grows with the square of
@@ -43,13 +43,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import texthash as th
-from ..streaming.jobs import remove
-from .common import cut, documents, parts, scratch, text_or_empty, with_group_first, written
+from .common import cut, documents, parts, text_or_empty, with_group_first
+from .components import components as connected
 
 SHINGLE, THRESHOLD = 3, (90, 100)
 FREQUENT, FREQUENT_IN_CHUNK = 65_536, 3
 COUNTED_AT_ONCE = 4 << 20  # bytes of text
-LABEL_SHARE = 8  # labels are a small part of the texts that partitions are sized for: fewer files a round
 REGION = 2048
 BUCKETS = (32, 4096)  # least and most buckets of a histogram; about a 16th of the set's size
 LAST = (1 << 63) - 1
@@ -336,23 +335,11 @@ def _sized(members: DataFrame, region: int) -> DataFrame:
 
 def _merge(groups: DataFrame) -> DataFrame:
     """(rid, tid, lr, lt): the smallest document of each document's component.  ``groups`` has the
-    components of regions, one row per region and member."""
-    spark, path = groups.sparkSession, None
-    rows = groups.withColumn("lr", F.col("rid")).withColumn("lt", F.col("tid"))
-    few = max(1, parts(spark) // LABEL_SHARE)
-    while True:
-        # the smallest label of a group, then of a document's groups
-        passed = with_group_first(rows, ["grp"], ["lr", "lt", "rid", "tid"], singles=True)
-        best = passed.groupBy(*NODE).agg(F.min(F.struct(F.col("first.lr"), F.col("first.lt"))).alias("best"))
-        before, path = path, scratch(spark, "labels")
-        new = written(rows.join(best, NODE).select(
-            *NODE, "grp", F.col("best.lr").alias("lr"), F.col("best.lt").alias("lt"),
-            ((F.col("best.lr") != F.col("lr")) | (F.col("best.lt") != F.col("lt"))).alias("moved")).coalesce(few), path)
-        rows = new.drop("moved")
-        if before is not None:
-            remove(spark, before)
-        if new.filter("moved").isEmpty():
-            return rows.groupBy(*NODE).agg(F.min("lr").alias("lr"), F.min("lt").alias("lt"))
+    components of regions, one row per region and member: each member is linked with its region's smallest one."""
+    stars = with_group_first(groups, ["grp"], NODE)
+    found = connected(stars.select(F.struct(*NODE).alias("u"), F.struct("first.rid", "first.tid").alias("v")))
+    roots = found.select(F.col("root").alias("node"), "root").distinct()
+    return found.unionByName(roots).select("node.rid", "node.tid", F.col("root.rid").alias("lr"), F.col("root.tid").alias("lt"))
 
 
 def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, threshold: tuple[int, int] = THRESHOLD,
