@@ -562,7 +562,8 @@ def _c8_two_sources(spark, d):
     ev, geo = _events(spark, d), geo_view(spark, d)
     tables = [(ev.schema, time_batches(ev, REPLAY_BATCHES, "ts", True, "event_id")),
               (geo.schema, time_batches(geo, REPLAY_BATCHES, "createdAt", True))]
-    return flat(replay_all(spark, tables, lambda e, g: sq.weekly_java_changes_by_continent(events_to_commits(e), g), lag=[0, 1]))
+    return flat(replay_all(spark, tables, lambda e, g: sq.weekly_java_changes_by_continent(events_to_commits(e), g), lag=[0, 1],
+                           sentinel=True))
 
 
 # Fixed parameters of the late-row replays: every 13th event arrives three days after it happened.

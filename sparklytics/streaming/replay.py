@@ -6,8 +6,9 @@ through the whole replay: a batch is written beside the source folder with the t
 from the runs, never from file times), and ``processAllAvailable`` waits for it.  Several tables can be replayed
 side by side, each through its own folder, with their batches shifted against each other (``lag``).
 A bounded source ends, but append-mode windows only close when the watermark passes them, so an
-optional sentinel batch (one row far past the end) closes every real window; the sentinel's own window
-never closes, so it never reaches the sink.  Source and state are removed when the query has
+optional sentinel batch (one row far past the end) moves it past every real window, and is put once more so that a batch
+runs with that watermark; the sentinel's own window never closes, so it never reaches the sink. Between batches of a
+replay nothing is gained by Spark's batches without data, each of which commits all state: they are switched off for the query.  Source and state are removed when the query has
 stopped; the sink holds the result.
 """
 
@@ -25,6 +26,7 @@ from ..session import checkpoint_dir
 from . import jobs
 
 SENTINEL_GAP = "60 days"
+NO_DATA_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
 
 
 class Feed:
@@ -65,9 +67,10 @@ def time_batches(rows: DataFrame, n_batches: int, ts: str, sentinel: bool = Fals
     return out
 
 
-def feed(query: StreamingQuery, feeds: Sequence[Feed], batches: Sequence[Sequence[DataFrame]], lag: Sequence[int] | None = None) -> None:
+def feed(query: StreamingQuery, feeds: Sequence[Feed], batches: Sequence[Sequence[DataFrame]], lag: Sequence[int] | None = None,
+         again: bool = False) -> None:
     """Puts the batches of each feed in turn and waits until the query has run each round.  ``lag`` holds a
-    feed's batches back by so many rounds.  The query is stopped in any case."""
+    feed's batches back by so many rounds; ``again`` puts each feed's last batch once more at the end.  The query is stopped in any case."""
     lag = lag or [0] * len(feeds)
     try:
         for i in range(max(len(b) + k for b, k in zip(batches, lag, strict=True))):
@@ -75,23 +78,39 @@ def feed(query: StreamingQuery, feeds: Sequence[Feed], batches: Sequence[Sequenc
                 if 0 <= i - k < len(b):
                     f.put(b[i - k])
             query.processAllAvailable()
+        if again:
+            for f, b in zip(feeds, batches, strict=True):
+                f.put(b[-1])
+            query.processAllAvailable()
     finally:
         query.stop()
 
 
+def _without_empty_batches(spark: SparkSession, start: Callable[[], StreamingQuery]) -> StreamingQuery:
+    """Starts a query with Spark's batches without data switched off (a query keeps the settings it started with)."""
+    before = spark.conf.get(NO_DATA_BATCHES)
+    spark.conf.set(NO_DATA_BATCHES, "false")
+    try:
+        return start()
+    finally:
+        spark.conf.set(NO_DATA_BATCHES, before)
+
+
 def replay_all(spark: SparkSession, tables: Sequence[tuple[T.StructType, Sequence[DataFrame]]], build: Callable[..., DataFrame], *,
-               output_mode: str = "append", keys: list[str] | None = None, lag: Sequence[int] | None = None,
+               output_mode: str = "append", keys: list[str] | None = None, lag: Sequence[int] | None = None, sentinel: bool = False,
                workdir: str | None = None, keep: bool = False) -> DataFrame:
     """Runs ``build(stream, ...)`` as one streaming query, a stream for each of ``tables`` (schema, batches), and
     returns the sink's rows: of ``append`` the parquet sink's, of ``complete`` the last micro-batch's
-    table, of ``update`` the latest row per ``keys``.  ``keep`` leaves the sources and the state in place."""
+    table, of ``update`` the latest row per ``keys``.  With ``sentinel``, each table's last batch is its sentinel.  ``keep`` leaves
+    the sources and the state in place."""
     base = workdir or f"{checkpoint_dir(spark).rstrip('/')}/replay-{uuid.uuid4().hex}"
     out, ckpt = f"{base}/sink", f"{base}/state"
     feeds = [Feed(spark, f"{base}/source-{i}", schema) for i, (schema, _) in enumerate(tables)]
     result = build(*[f.stream() for f in feeds])
-    query = jobs.start(result, out, f"replay_{uuid.uuid4().hex[:8]}", output_mode=output_mode, keys=keys,
-                       trigger={"processingTime": "0 seconds"}, checkpoint=ckpt)
-    feed(query, feeds, [b for _, b in tables], lag)
+    query = _without_empty_batches(spark, lambda: jobs.start(
+        result, out, f"replay_{uuid.uuid4().hex[:8]}", output_mode=output_mode, keys=keys, trigger={"processingTime": "0 seconds"},
+        checkpoint=ckpt))
+    feed(query, feeds, [b for _, b in tables], lag, again=sentinel)
     if not keep:
         for path in (*[f.path for f in feeds], ckpt):
             jobs.remove(spark, path)
@@ -108,4 +127,6 @@ def replay(spark: SparkSession, events: DataFrame, build: Callable[[DataFrame],
            keep: bool = False) -> DataFrame:
     """``replay_all`` of one table, cut by ``ts``."""
     batches = time_batches(events, n_batches, ts, sentinel, id_col)
-    return replay_all(spark, [(events.schema, batches)], build, output_mode=output_mode, keys=keys, workdir=workdir, keep=keep)
+    closed = len(batches) > n_batches  # a table without timestamps has no sentinel
+    return replay_all(spark, [(events.schema, batches)], build, output_mode=output_mode, keys=keys, sentinel=closed, workdir=workdir,
+                      keep=keep)
