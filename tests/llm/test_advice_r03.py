@@ -80,7 +80,7 @@ def test_toxicity_of_a_text_of_megabytes(spark):
 def test_stage_three_keeps_the_same_copy_of_equal_rows(spark):
     import corpus_pipeline
     long = " ".join(f"word{i}" for i in range(40))
-    rows = [(1, long, x, x * 2) for x in ("d", "b", "c", None, "a")] + [(2, "something else entirely, with words of its own", "z", "z")]
+    rows = [(1, long, x, (x or "") * 2) for x in ("d", "b", "c", None, "a")] + [(2, "something else entirely, with words of its own", "z", "z")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
     seen = {tuple(sorted(map(tuple, corpus_pipeline.near_duplicates(spark, docs.repartition(n, F.rand(n)), "").collect()))) for n in (1, 3, 7)}
     assert len(seen) == 1 and [r[2] for r in next(iter(seen))] == [None, "z"]
