@@ -16,47 +16,42 @@ that grow with the logarithm of the longest line, and not by walking it commit b
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fields
 from .ordering import segmented_scan
 from .rounds import jump, scratch, written
 
-ENTER, EXIT = "<", ">"
 
+def first_parents(commits: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Links (node, next), one row per commit and repository, and heads (node, sha, repo, up, up_sha, up_repo).
 
-def first_parents(commits: DataFrame) -> DataFrame:
-    """(node, sha, repo, up): one row per commit and repository; ``up`` is the node of its first parent.
-
-    A parent that several repositories have is taken in the commit's own one, or else in the first by name; one that
-    the input lacks is null, as is that of a commit that names itself.  Of rows that repeat a commit in a
+    ``node`` is a number, so that what follows shuffles no names.  ``next`` is the first parent in the commit's own repository.  Commits
+    without one are heads; ``up`` is the first parent in another repository: the first by name of those that have it.  A
+    parent that the input lacks is null, as is that of a commit that names itself.  Of rows that repeat a commit in a
     repository with different parents, the smallest parent counts.  Commits without sha or repository are left out."""
+    spark = commits.sparkSession
     own = (commits.select("sha", fields.full_name("url").alias("repo"), F.try_element_at(F.col("parents.sha"), F.lit(1)).alias("parent"))
            .filter("sha IS NOT NULL AND repo IS NOT NULL").groupBy("sha", "repo").agg(F.min("parent").alias("parent")))
-    own = written(own, scratch(commits.sparkSession, "first-parents"))
-    here = own.select(F.col("sha").alias("parent"), "repo", F.lit(True).alias("here"))
-    elsewhere = own.groupBy(F.col("sha").alias("parent")).agg(F.min("repo").alias("other"))
-    up_repo = F.when(F.col("here"), F.col("repo")).otherwise(F.col("other"))
-    linked = own.join(here, ["parent", "repo"], "left").join(elsewhere, "parent", "left")
-    up = F.when(F.col("parent") != F.col("sha"), _node(F.col("parent"), up_repo))
-    return linked.select(_node(F.col("sha"), F.col("repo")).alias("node"), "sha", "repo", up.alias("up"),
-                         F.when(up.isNotNull(), F.col("parent")).alias("up_sha"), F.when(up.isNotNull(), up_repo).alias("up_repo"))
-
-
-def _node(sha, repo):
-    return F.concat(sha, F.lit(" "), repo)
-
-
-def runs(nodes: DataFrame) -> tuple[DataFrame, int]:
-    """``nodes`` with ``head``, the first commit of each commit's run; and the rounds taken."""
-    inside = nodes.select("node", F.when(F.col("up_repo") == F.col("repo"), F.col("up")).alias("next"))
-    found, rounds = jump(inside, "runs")
-    return nodes.join(found.select("node", F.col("last").alias("head")), "node"), rounds
+    # numbers are stored with the rows, so a task that is run again doesn't change them
+    own = written(own.select(F.monotonically_increasing_id().alias("node"), "sha", "repo",
+                             F.when(F.col("parent") != F.col("sha"), F.col("parent")).alias("parent")), scratch(spark, "first-parents"))
+    here = own.select(F.col("sha").alias("parent"), "repo", F.col("node").alias("next"))
+    names = [F.when(F.col("next").isNull(), F.col(c)).alias(c) for c in ("sha", "repo", "parent")]  # of heads only
+    nodes = written(own.join(here, ["parent", "repo"], "left").select("node", "next", *names), scratch(spark, "links"))
+    heads = nodes.filter("next IS NULL").drop("next")
+    wanted = heads.select("parent").filter("parent IS NOT NULL").distinct()
+    elsewhere = (own.select(F.col("sha").alias("parent"), "repo", "node").join(wanted, "parent")
+                 .groupBy("parent").agg(F.min(F.struct("repo", "node")).alias("above")))
+    linked = heads.join(elsewhere, "parent", "left").select(
+        "node", "sha", "repo", F.col("above.node").alias("up"), F.when(F.col("above").isNotNull(), F.col("parent")).alias("up_sha"),
+        F.col("above.repo").alias("up_repo"))
+    return nodes.select("node", "next"), written(linked, scratch(spark, "heads"))
 
 
 def tour(forest: DataFrame) -> tuple[DataFrame, int]:
-    """(node, root, entered, left) of a forest (node, up): steps from entering and from leaving a node to the end of its
+    """(node, root, entered, left) of a forest (node, up) of numbers: steps from entering and from leaving a node to the end of its
     tree's tour, so ``entered`` falls as the tour goes on.  ``root`` names the tree."""
     spark = forest.sparkSession
     forest = written(forest, scratch(spark, "forest"))
@@ -65,17 +60,22 @@ def tour(forest: DataFrame) -> tuple[DataFrame, int]:
     # the next sibling: the least of the larger ones, that is of those before it in descending order
     ordered = segmented_scan(below, ["up"], ["node"], {"sibling": ("min", "node")}, inclusive=False, descending=True)
     enter = forest.join(first, "node", "left").select(
-        F.concat("node", F.lit(ENTER)).alias("node"),
-        F.coalesce(F.concat("child", F.lit(ENTER)), F.concat("node", F.lit(EXIT))).alias("next"))
+        _enter("node").alias("node"), F.coalesce(_enter("child"), _exit("node")).alias("next"))
     leave = forest.join(ordered.select("node", "sibling"), "node", "left").select(
-        F.concat("node", F.lit(EXIT)).alias("node"),
-        F.coalesce(F.concat("sibling", F.lit(ENTER)), F.concat("up", F.lit(EXIT))).alias("next"))
-    at, rounds = jump(enter.unionByName(leave), "tour")
-    kind = F.col("node").substr(F.length("node"), F.lit(1))
-    place = at.select(F.col("node").substr(F.lit(1), F.length("node") - 1).alias("node"), kind.alias("kind"), "last", "steps")
-    both = place.groupBy("node").agg(F.max(F.when(F.col("kind") == ENTER, F.col("steps"))).alias("entered"),
-                                     F.max(F.when(F.col("kind") == EXIT, F.col("steps"))).alias("left"), F.max("last").alias("root"))
-    return both, rounds
+        _exit("node").alias("node"), F.coalesce(_enter("sibling"), _exit("up")).alias("next"))
+    at, rounds = jump(enter.unionByName(leave), "tour", closed=True)
+    entering = F.col("node") % 2 == 0
+    place = at.select(F.shiftright("node", 1).alias("node"), F.when(entering, F.col("steps")).alias("entered"),
+                      F.when(~entering, F.col("steps")).alias("left"), F.col("last").alias("root"))
+    return place.groupBy("node").agg(F.max("entered").alias("entered"), F.max("left").alias("left"), F.max("root").alias("root")), rounds
+
+
+def _enter(node: str) -> Column:
+    return F.col(node) * 2
+
+
+def _exit(node: str) -> Column:
+    return F.col(node) * 2 + 1
 
 
 def fork_first_commits(commits: DataFrame) -> DataFrame:
@@ -85,11 +85,10 @@ def fork_first_commits(commits: DataFrame) -> DataFrame:
     which the fork was made.  A merge from another repository is no fork (its first parent is its own), and a
     line that comes back to a repository after passing through others starts no new fork of it.  Cycles of
     parents, which no commit graph has, are not allowed."""
-    nodes, _ = runs(first_parents(commits))
-    nodes = written(nodes, scratch(commits.sparkSession, "runs"))
-    heads = nodes.filter(F.col("node") == F.col("head"))
-    above = nodes.select(F.col("node").alias("up"), F.col("head").alias("run_above"))
-    forest = heads.join(above, "up", "left").select("node", F.col("run_above").alias("up"))
+    links, heads = first_parents(commits)
+    found, _ = jump(links, "runs", closed=True)
+    above = found.select(F.col("node").alias("up"), F.col("last").alias("run_above"))
+    forest = heads.select("node", "up").join(above, "up", "left").select("node", F.col("run_above").alias("up"))
     where, _ = tour(forest)
     forks = heads.join(where, "node")
     # entered falls along the tour: negated, it orders runs as they are entered

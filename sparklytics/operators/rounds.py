@@ -38,17 +38,21 @@ def repeat(state: DataFrame, step: Callable[[DataFrame], DataFrame], active: str
     return now, rounds
 
 
-def jump(links: DataFrame, name: str = "jump") -> tuple[DataFrame, int]:
+def jump(links: DataFrame, name: str = "jump", closed: bool = False) -> tuple[DataFrame, int]:
     """Pointer jumping: where a walk along ``links`` (node, next) ends, and after how many steps.
 
-    ``node`` is unique; a null ``next``, or one that is no node, ends the walk there.  Returns (node, last, steps) and the
+    ``node`` is unique; a null ``next``, or one that is no node, ends the walk there (``closed``: every one is a node, or null,
+    so this is not looked up).  Returns (node, last, steps) and the
     number of rounds, which is about log2 of the longest walk: a round replaces each pointer by the
     pointer of its target.  Nodes that have arrived are not joined again.  A target that very many nodes
     point to is one row on its side of the join, so AQE's skew join can split the other side.  Links must be
     free of cycles.
     """
-    nodes = links.select(F.col("node").alias("next"), F.lit(True).alias("_known"))
-    first = (links.join(nodes, "next", "left")
+    if closed:
+        known = links.withColumn("_known", F.col("next").isNotNull())
+    else:
+        known = links.join(links.select(F.col("node").alias("next"), F.lit(True).alias("_known")), "next", "left")
+    first = (known
              .select("node", F.when(F.col("_known"), F.col("next")).otherwise(F.col("node")).alias("last"),
                      F.when(F.col("_known"), 1).otherwise(0).cast("bigint").alias("steps"),
                      F.coalesce("_known", F.lit(False)).alias("moving")))

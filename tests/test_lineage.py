@@ -91,6 +91,15 @@ def test_hot_upstream_commit(spark):
     assert got(spark, rows) == expected(rows)
 
 
+def test_rounds_carry_numbers_and_no_names(spark, monkeypatch):
+    """What is written and joined once a round is a few numbers a row, however long the names are."""
+    seen, plain = [], rounds.written
+    monkeypatch.setattr(rounds, "written", lambda df, path: (seen.append(df.schema), plain(df, path))[1])
+    rows = [("a1" * 50, A, []), ("a2" * 50, A, ["a1" * 50]), ("b1" * 50, B, ["a2" * 50]), ("b2" * 50, B, ["b1" * 50])]
+    assert got(spark, rows) == expected(rows)
+    assert len(seen) > 3 and {f.dataType.simpleString() for schema in seen for f in schema} <= {"bigint", "boolean"}
+
+
 def test_rounds_grow_with_the_logarithm_of_the_line(spark):
     n = 100_000
     links = spark.range(n).select(F.col("id").cast("string").alias("node"),
