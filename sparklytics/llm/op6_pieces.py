@@ -53,6 +53,7 @@ class Vocabulary:
         self.raw: list[bytes] = [b""] * n
         self.log = np.zeros(n)
         by_length: dict[int, tuple[list[bytes], list[int]]] = {}
+        longer: dict[int, set[bytes]] = {}  # by length: what a longer piece begins with
         for i in range(n):
             piece = sp.id_to_piece(i)
             if sp.is_byte(i):
@@ -63,18 +64,49 @@ class Vocabulary:
                 texts, ids = by_length.setdefault(len(piece), ([], []))
                 texts.append(self.raw[i])
                 ids.append(i)
+                for k in range(1, len(piece)):
+                    longer.setdefault(k, set()).add(piece[:k].replace(MARK, " ").encode())
                 rank = max(0.0, -float(sp.get_score(i)))
                 self.log[i] = -np.log(min(rank, 1e6) + SHIFT)
         self.size = np.array([len(x) for x in self.raw], np.int64)
         self.start = np.cumsum(self.size) - self.size
         self.pool = np.frombuffer(b"".join(self.raw), np.uint8)
-        # by length in characters: sorted hashes of the pieces' bytes, and their ids
+        # by length in characters: pieces and beginnings of longer ones by the hash of their bytes, the ids (-1:
+        # only a beginning), and whether a longer piece begins so
         self.table = {}
-        for k, (texts, ids) in by_length.items():
-            off = np.r_[0, np.cumsum([len(t) for t in texts])]
-            h = th.span_hash(np.frombuffer(b"".join(texts), np.uint8), off[:-1], off[1:])
-            order = np.argsort(h)
-            self.table[k] = h[order], np.array(ids)[order]
+        for k in range(1, max(by_length, default=0) + 1):
+            texts, ids = by_length.get(k, ([], []))
+            begins = longer.get(k, set())
+            only = sorted(begins.difference(texts))
+            every = [*texts, *only]
+            off = np.r_[0, np.cumsum([len(t) for t in every])].astype(np.int64)
+            h = th.span_hash(np.frombuffer(b"".join(every), np.uint8), off[:-1], off[1:])
+            order = np.argsort(h, kind="stable")
+            self.table[k] = (Sorted(h[order]), np.r_[ids, np.full(len(only), -1)].astype(np.int64)[order],
+                             np.array([t in begins for t in every], bool)[order])
+
+
+class Sorted:
+    """Sorted hashes with the place where each value of their leading bits begins: most look-ups take one step."""
+
+    def __init__(self, keys: np.ndarray):
+        self.n = len(keys)
+        bits = max(1, (4 * self.n).bit_length())
+        self.shift = th.U64(64 - bits)
+        self.begin = np.searchsorted(keys, np.arange(1 << bits, dtype=np.uint64) << self.shift)
+        self.keys = np.r_[keys, ~th.U64(0)]  # ends every search
+
+    def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(which of ``h`` are among the keys, their places)."""
+        at = self.begin[h >> self.shift]
+        key = self.keys[at]
+        on = np.flatnonzero(key < h)
+        while len(on):
+            at[on] += 1
+            key[on] = self.keys[at[on]]
+            on = on[key[on] < h[on]]
+        hit = np.flatnonzero((key == h) & (at < self.n))
+        return hit, at[hit]
 
 
 @lru_cache(maxsize=1)
@@ -99,50 +131,76 @@ class Lattices:
         self.node0 = char0[:-1] + np.arange(n_units)
         node = chars + unit  # of the position before each character
         left = char0[1:][unit] - chars  # characters from here to the unit's end
+        n_nodes = len(lead) + n_units
+        scores = alpha * vocab.log
+        count = np.zeros(n_nodes, np.int64)  # edges into each node
         found = []
+
+        def add(c, k, ids, log):
+            end = node[c] + k  # no node twice
+            nth = count[end]
+            count[end] = nth + 1
+            found.append((end, nth, k, ids, log))
+
         single = np.zeros(len(lead), bool)
         spans = th.Spans(buf)
+        c = chars
         for k in sorted(vocab.table):
-            c = chars[left >= k]
-            h = spans.hash(stops[c], stops[c + k])
-            keys, ids = vocab.table[k]
-            at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
-            hit = keys[at] == h
-            c, i = c[hit], ids[at[hit]]
+            c = c[left[c] >= k]
+            keys, ids, more = vocab.table[k]
+            hit, at = keys.find(spans.hash(stops[c], stops[c + k]))
+            c, i = c[hit], ids[at]
+            whole = np.flatnonzero(i >= 0)
             if k == 1:
-                single[c] = True
-            found.append((node[c], np.full(len(c), k), i, alpha * vocab.log[i]))
+                single[c[whole]] = True
+            add(c[whole], k, i[whole], scores[i[whole]])
+            c = c[more[at]]
         c = chars[~single]
         width = (stops[c + 1] - stops[c]).astype(float)
-        found.append((node[c], np.ones(len(c), np.int64), np.full(len(c), -1), max(alpha, 0.01) * BYTE_PENALTY * width))
-        start, back, piece, log = (np.concatenate(x) for x in zip(*found, strict=True))
-        order = np.argsort(start + back, kind="stable")
-        start, self.back, self.piece, log = start[order], back[order], piece[order], log[order]
-        end = start + self.back
-        first = np.flatnonzero(np.r_[True, end[1:] != end[:-1]])  # first edge of each node that has some
-        ends = end[first]
-        position = ends - self.node0[np.searchsorted(self.node0, ends, "right") - 1]
-        size = np.diff(np.r_[first, len(end)])
-        total = np.zeros(len(lead) + n_units)
-        value = np.empty(len(end))
-        by_position = np.argsort(position, kind="stable")
-        cuts = np.searchsorted(position[by_position], np.arange(1, int(position.max(initial=0)) + 2))
-        for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):  # all units' nodes of one position
-            g = by_position[lo:hi]
-            n = size[g]
-            head = np.cumsum(n) - n
-            e = np.repeat(first[g] - head, n) + np.arange(int(n.sum()))
-            v = total[start[e]] + log[e]
-            top = np.maximum.reduceat(v, head)
-            total[ends[g]] = top + np.log(np.add.reduceat(np.exp(v - np.repeat(top, n)), head))
-            value[e] = v
+        add(c, 1, -1, max(alpha, 0.01) * BYTE_PENALTY * width)
+        # edges in order of the node they end in: each goes to its place, nothing is sorted
+        first = np.cumsum(count) - count
+        n_edges = int(count.sum())
+        self.back, self.piece, start = (np.empty(n_edges, np.int64) for _ in range(3))
+        log = np.empty(n_edges)
+        while found:  # emptied on the way: these arrays are most of a task's memory
+            end, nth, k, ids, score = found.pop()
+            to = first[end] + nth
+            self.back[to], self.piece[to], start[to], log[to] = k, ids, end - k, score
+        # every node but a unit's first has an edge; by position: first nodes, second nodes and so on of all units
+        position = np.arange(n_nodes) - np.repeat(self.node0, np.diff(char0) + 1)
+        ends = np.flatnonzero(position)
+        position = position[ends]
+        longest = int(position.max(initial=0))
+        ordered = np.argsort(position.astype(np.uint16) if longest < 1 << 16 else position, kind="stable")
+        cuts = np.r_[0, np.cumsum(np.bincount(position, minlength=longest + 1)[1:])]
+        by_position, size = ends[ordered], count[ends]
+        n = size[ordered]
+        head = np.cumsum(n) - n
+        edges = np.repeat(first[by_position] - head, n) + np.arange(n_edges)
+        came_from, weight = start[edges], log[edges]
+        del start, log
+        edge_cuts = np.r_[head, n_edges][cuts]
+        total = np.zeros(n_nodes)
+        v_all = np.empty(n_edges)
+        for lo, hi, x, y in zip(cuts[:-1], cuts[1:], edge_cuts[:-1], edge_cuts[1:], strict=True):  # all units' nodes of one position
+            v = total[came_from[x:y]] + weight[x:y]
+            at = head[lo:hi] - x
+            top = np.maximum.reduceat(v, at)
+            total[by_position[lo:hi]] = top + np.log(np.add.reduceat(np.exp(v - np.repeat(top, n[lo:hi])), at))
+            v_all[x:y] = v
+        value = np.empty(n_edges)
+        value[edges] = v_all
+        del edges, v_all, came_from, weight
+        end = np.repeat(ends, size)
+        first = first[ends]
         p = np.exp(value - total[end])
         run = np.cumsum(p)
         run -= np.repeat(run[first] - p[first], size)
         run[first + size - 1] = 1.0
         self.cum = np.minimum(run, 1.0) + end
         # first and last edge into each node
-        self.first, self.last = np.zeros((2, len(lead) + n_units), np.int64)
+        self.first, self.last = np.zeros((2, n_nodes), np.int64)
         self.first[ends], self.last[ends] = first, first + size - 1
 
 
@@ -178,27 +236,32 @@ def encode(col: pa.Array, keys: np.ndarray, path: str, alpha: float = ALPHA, see
     cum, back, piece = lat.cum, lat.back, lat.piece
     unit_no = np.arange(n) - np.searchsorted(row, row, "left")
     state = th.mix64(keys[row] ^ th.mix64(unit_no.astype(np.uint64) + th.U64(seed)))
-    node0, pos = lat.node0[which], chars.copy()
-    live = np.arange(n)
-    drawn_unit, drawn_pos, drawn_edge = [], [], []
+    live, begin = np.arange(n), lat.node0[which]
+    node = begin + chars
+    drawn_unit, drawn_pos, drawn_edge, drawn_step = [], [], [], []
     step = 0
     while len(live):
-        u = (th.mix64(state[live] + th.U64(step + 1)) >> th.U64(11)).astype(np.float64) / 2.0 ** 53
-        node = node0[live] + pos[live]
+        u = (th.mix64(state + th.U64(step + 1)) >> th.U64(11)).astype(np.float64) / 2.0 ** 53
         edge, last, drawn = lat.first[node], lat.last[node], node + u
         on = np.flatnonzero((cum[edge] <= drawn) & (edge < last))  # a node has few edges: step to the drawn one
         while len(on):
             edge[on] += 1
             on = on[(cum[edge[on]] <= drawn[on]) & (edge[on] < last[on])]
+        node = node - back[edge]
         drawn_unit.append(live)
-        pos[live] -= back[edge]
-        drawn_pos.append(pos[live])
+        drawn_pos.append(node - begin)
         drawn_edge.append(edge)
-        live = live[pos[live] > 0]
+        drawn_step.append(np.full(len(live), step))
+        on = np.flatnonzero(node > begin)
+        live, begin, node, state = live[on], begin[on], node[on], state[on]
         step += 1
-    unit, at, edge = (np.concatenate(x) for x in (drawn_unit, drawn_pos, drawn_edge))
-    order = np.lexsort((at, unit))
-    unit, at, ids = unit[order], at[order], piece[edge[order]]
+    # pieces are drawn from a unit's end to its start
+    unit, pos, drawn_edges, steps = (np.concatenate(x) for x in (drawn_unit, drawn_pos, drawn_edge, drawn_step))
+    drawn = np.bincount(unit, minlength=n)
+    to = np.cumsum(drawn)[unit] - 1 - steps
+    at, ids = np.empty((2, len(to)), np.int64)
+    at[to], ids[to] = pos, piece[drawn_edges]
+    unit = np.repeat(np.arange(n), drawn)
     width = np.ones(len(ids), np.int64)
     plain = ids < 0
     if plain.any():  # characters written as bytes: each becomes its UTF-8 length in pieces

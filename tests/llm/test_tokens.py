@@ -83,6 +83,25 @@ def test_segmentations_are_lossless_and_reproducible(spark):
     assert op6.decode([], path) == "" and op6.sample_segmentations(frame(spark, [])).count() == 0
 
 
+def test_lattices_look_up_no_longer_than_a_piece_can_begin(monkeypatch):
+    """A long word of letters that hardly begin pieces costs few look-ups a character, and keeps all its edges."""
+    from sparklytics.llm import texthash as th
+    v = op6.vocabulary(op6.model_path())
+    text = ("qzxjvkwqq" * 50).encode()
+    buf, off = np.frombuffer(text, np.uint8), np.array([0, len(text)])
+    looked, plain = [], th.Spans.hash
+    monkeypatch.setattr(th.Spans, "hash", lambda self, s, e: (looked.append(len(s)), plain(self, s, e))[1])
+    lat = op6.Lattices(buf, off, v, 1.0)
+    assert sum(looked) < 5 * len(text)
+    known = {x for x, size in zip(v.raw, v.size.tolist(), strict=True) if size}
+    one = {i for i in range(len(text)) if text[i:i + 1] in known}
+    longest = max(len(x) for x in known)
+    want = {(j, j - i) for i in range(len(text)) for j in range(i + 1, min(len(text), i + longest) + 1) if text[i:j] in known}
+    want |= {(i + 1, 1) for i in range(len(text)) if i not in one}
+    edges = {(n, int(lat.back[e])) for n in range(1, len(text) + 1) for e in range(lat.first[n], lat.last[n] + 1)}
+    assert edges == want and len(lat.back) == len(want)
+
+
 def test_sampling_follows_the_lattice():
     path = op6.model_path()
     v = op6.vocabulary(path)
