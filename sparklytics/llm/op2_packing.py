@@ -51,6 +51,7 @@ def tokenizer_path() -> str:
 
 SEPARATOR = "<|endoftext|>"  # a special token of the vocabulary; no word that holds one is joined
 CACHE_WORDS = 1 << 20
+JOINED = 512  # words encoded at once
 
 
 class WordIds:
@@ -80,9 +81,10 @@ class WordIds:
         if not words:
             return np.zeros(0, np.uint32), np.zeros(0, np.int64)
         cut_at = self.tokenizer.token_to_id(SEPARATOR)
-        step = 4096
-        texts = [SEPARATOR.join(words[i:i + step]) + SEPARATOR for i in range(0, len(words), step)]
-        ids = np.concatenate([np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, np.uint32) for t in texts])
+        texts = [SEPARATOR.join(words[i:i + JOINED]) + SEPARATOR for i in range(0, len(words), JOINED)]
+        # the fast call keeps no character offsets; one text at a time, so that its lists are freed at once
+        ids = np.concatenate([np.array(self.tokenizer.encode_batch_fast([t], add_special_tokens=False)[0].ids, np.uint32)
+                              for t in texts])
         ends = np.flatnonzero(ids == cut_at)
         return ids[ids != cut_at], np.diff(np.r_[-1, ends]) - 1
 

@@ -70,6 +70,28 @@ def test_plan_places_every_piece_once(seed):
     assert len(fill) <= max(least * 1.1 + 2, (np.arange(limit + 1) > limit / 2) @ hist)
 
 
+def test_words_are_encoded_without_offsets():
+    """Plain words take the tokenizer's call that keeps no offsets, and get the ids of the other one."""
+    class Spy:
+        def __init__(self, tokenizer):
+            self.tokenizer, self.slow = tokenizer, 0
+
+        def __getattr__(self, name):
+            return getattr(self.tokenizer, name)
+
+        def encode(self, *a, **k):
+            self.slow += 1
+            return self.tokenizer.encode(*a, **k)
+
+    cache = op2.WordIds(op2.tokenizer_path())
+    plain, cache.tokenizer = cache.tokenizer, Spy(cache.tokenizer)
+    some = [f"Wörd{i}'s" for i in range(1500)] + ["日本", "e\u0301", "\u0301x", "\x01", "\u00a0", "<|endoftext|>a"]
+    ids, size = cache._encode(some)
+    want = [plain.encode(w, add_special_tokens=False).ids for w in some]
+    assert size.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+    assert cache.tokenizer.slow == 1  # the word that holds a special token
+
+
 def test_segmentations_are_lossless_and_reproducible(spark):
     rows = corpus(1, 20) + [(7000, "a  b ▁▁ \x00 é🙂 \t日本 "), (7001, "▁")]
     path = op6.model_path()
