@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,6 +41,20 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return written(df, scratch(df.sparkSession, name))
 
 
+def release(spark: SparkSession) -> None:
+    """Has the driver collect its garbage: Spark deletes the shuffle files of finished jobs only then, and a driver
+    that has little to do may not collect any for hours, while the files of all jobs before add up.  Reports of
+    finished jobs that listeners have not read yet still hold their plans, so they are waited for; the first
+    collection frees what holds the last job, the second its files."""
+    sc = spark.sparkContext
+    try:
+        sc._jsc.sc().listenerBus().waitUntilEmpty(10_000)
+    except Py4JJavaError:  # listeners are slow: files may stay until the next call
+        pass
+    for _ in range(2):
+        sc._jvm.System.gc()
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

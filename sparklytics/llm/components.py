@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..streaming.jobs import remove
-from .common import parts, scratch, with_group_first, written
+from .common import parts, release, scratch, with_group_first, written
 
 SHARE = 8  # links are a small part of the texts that partitions are sized for: fewer files a round
 
@@ -47,4 +47,5 @@ def components(links: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
         remove(spark, before)
         if state == last:
             break
+    release(spark)
     return now.select(F.col("u").alias("node"), F.col("v").alias("root"))

@@ -13,7 +13,8 @@ and two are linked when it is at most r = 1 - threshold.  The result is each doc
 3. Regions are thinned out by a cheaper distance that never exceeds the number of shingles in which
    two sets differ: the L1 distance of their histograms over hash buckets, an eightieth of a set's
    size.  Members within the bound that linked sets must keep form candidate components over
-   all regions; a document alone in its component drops out.  Only now are sets moved, once each.
+   all regions; a document alone in its component drops out.  Only now are texts moved, once to their
+   components and once to their groups, where sets are made of them.
 4. Inside a candidate component, cells.  Pivots are taken until each member is within r of one, and each
    member belongs to its nearest pivot (its Voronoi cell).  Members of a cell are connected through it.
    Links between cells can only run between pivots at most 3r apart, and there only between members
@@ -43,7 +44,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import texthash as th
-from .common import cut, documents, parts, text_or_empty, with_group_first
+from ..streaming.jobs import remove
+from .common import cut, documents, parts, release, scratch, text_or_empty, with_group_first, written
 from .components import components as connected
 
 SHINGLE, THRESHOLD = 3, (90, 100)
@@ -52,7 +54,7 @@ COUNTED_AT_ONCE = 4 << 20  # bytes of text
 REGION = 2048
 BUCKETS = (32, 4096)  # least and most buckets of a histogram; about a 16th of the set's size
 LAST = (1 << 63) - 1
-NODE = ["rid", "tid"]
+NODE = ["rid", "tid"]  # a row; inside, rows have a number of their own, smaller in a shuffle
 
 
 def sets(col: pa.Array, shingle: int) -> list[np.ndarray]:
@@ -84,7 +86,7 @@ def frequent_shingles(rows: DataFrame, shingle: int) -> np.ndarray:
             h, n = np.unique(np.concatenate(every), return_counts=True)
             often = n >= FREQUENT_IN_CHUNK
             yield pa.RecordBatch.from_arrays([pa.array(h[often].view(np.int64)), pa.array(n[often])], names=["h", "n"])
-    top = (rows.select("text").mapInArrow(count, "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("n"))
+    top = (rows.select("text").mapInArrow(lambda it: th.lean(count(it)), "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("n"))
            .orderBy(F.desc("n"), "h").limit(FREQUENT).collect())
     return np.array([r["h"] for r in reversed(top)], np.int64).view(np.uint64)
 
@@ -136,11 +138,11 @@ def close_histograms(hists: list[np.ndarray], n: np.ndarray, num: int, den: int)
 
 def _candidates(batches, num: int, den: int):
     """Rows arrive by region (and pair of blocks).  Emits its candidate components of two and more."""
-    keys = ["pr", "pt", "a", "b"]
+    keys = ["pr", "a", "b"]
     held = None
 
     def flush(t: pa.Table, out):
-        cols = {c: t[c].to_numpy() for c in (*keys, "rid", "tid", "n")}
+        cols = {c: t[c].to_numpy() for c in (*keys, "no", "n")}
         hists = t["hist"].to_pylist()
         new = np.zeros(t.num_rows, bool)
         new[0] = True
@@ -154,7 +156,7 @@ def _candidates(batches, num: int, den: int):
             many = np.bincount(root, minlength=len(root))[root] > 1
             if many.any():
                 at = a + np.flatnonzero(many)
-                for c in (*keys, "rid", "tid"):
+                for c in (*keys, "no"):
                     out[c].append(cols[c][at])
                 out["root"].append(root[many])
     for b in batches:
@@ -167,34 +169,32 @@ def _candidates(batches, num: int, den: int):
             same &= t[c].to_numpy() == v
         cut_at = t.num_rows - int(same.sum())
         held = t.slice(cut_at)
-        out = {c: [] for c in (*keys, "root", "rid", "tid")}
+        out = {c: [] for c in (*keys, "root", "no")}
         if cut_at:
             flush(t.slice(0, cut_at), out)
-        if out["rid"]:
+        if out["no"]:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(v).astype(np.int64)) for v in out.values()], names=[*out])
     if held is not None:
-        out = {c: [] for c in (*keys, "root", "rid", "tid")}
+        out = {c: [] for c in (*keys, "root", "no")}
         flush(held, out)
-        if out["rid"]:
+        if out["no"]:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(v).astype(np.int64)) for v in out.values()], names=[*out])
 
 
 def _regions(batches, num: int, den: int):
-    """Rows arrive by shingle, size and id.  Emits (pivot, member) for every member but the pivot:
+    """Rows arrive by shingle, size and number.  Emits (pivot, member) for every member but the pivot:
     the pivot is the first of a size window, and a member within reach of the window before, too."""
     token = None  # of the run; then pivots and size limits of the window before and the open one
     before = now = None
     for b in batches:
-        tokens, n, rid, tid = (b.column(c).to_numpy() for c in ("token", "n", "rid", "tid"))
+        tokens, n, no = (b.column(c).to_numpy() for c in ("token", "n", "no"))
         cuts = np.flatnonzero(np.r_[True, tokens[1:] != tokens[:-1], True]) if len(tokens) else np.zeros(1, int)
-        out: list[list[np.ndarray]] = [[], [], [], []]
+        out: list[list[np.ndarray]] = [[], []]
         size = np.diff(cuts)
 
-        def add(pivot, lo, hi, out=out, rid=rid, tid=tid):
-            out[0].append(np.full(hi - lo, pivot[0]))
-            out[1].append(np.full(hi - lo, pivot[1]))
-            out[2].append(rid[lo:hi])
-            out[3].append(tid[lo:hi])
+        def add(pivot, lo, hi, out=out, no=no):
+            out[0].append(np.full(hi - lo, pivot))
+            out[1].append(no[lo:hi])
         # runs of one row are most: only the batch's first and last run can belong to a longer one
         run = np.flatnonzero(size > 1)
         if len(size):
@@ -206,7 +206,7 @@ def _regions(batches, num: int, den: int):
             i = a
             while i < z:
                 if now is None or n[i] * num > now[1] * den:  # beyond the open window: it becomes the one before
-                    before, now = (now[0], now[2]) if now else None, ((rid[i], tid[i]), int(n[i]), int(n[i]))
+                    before, now = (now[0], now[2]) if now else None, (no[i], int(n[i]), int(n[i]))
                     stop = i + int(np.searchsorted(n[i:z], int(n[i]) * den // num, "right"))
                     if stop - i > 1:
                         add(now[0], i + 1, stop)
@@ -221,8 +221,8 @@ def _regions(batches, num: int, den: int):
                 i = stop
         if out[0]:
             got = [np.concatenate(c) for c in out]
-            other = (got[0] != got[2]) | (got[1] != got[3])
-            yield pa.RecordBatch.from_arrays([pa.array(c[other]) for c in got], names=["pr", "pt", "rid", "tid"])
+            other = got[0] != got[1]
+            yield pa.RecordBatch.from_arrays([pa.array(c[other]) for c in got], names=["pr", "no"])
 
 
 class _Union:
@@ -298,29 +298,22 @@ def components(members: list[np.ndarray], num: int, den: int) -> list[int]:
     return [union.find(i) for i in range(m)]
 
 
-def _join_region(t: pa.Table, num: int, den: int) -> pa.Table:
-    order = np.lexsort((t["tid"].to_numpy(), t["rid"].to_numpy()))
-    rid, tid = t["rid"].to_numpy()[order], t["tid"].to_numpy()[order]
-    new = np.r_[True, (rid[1:] != rid[:-1]) | (tid[1:] != tid[:-1])]
-    order, rid, tid = order[new], rid[new], tid[new]
-    blobs = t["shingles"]
-    root = np.array(components([np.frombuffer(blobs[int(i)].as_py(), np.uint64) for i in order], num, den))
+def _join_region(t: pa.Table, shingle: int, num: int, den: int) -> pa.Table:
+    """Sets are made of the texts here: a text takes less room in a shuffle than its shingles' hashes."""
+    every = [v for b in th.chunks(t.select(["text"]).to_batches(), "text") for v in sets(b.column("text"), shingle)]
+    no = t["no"].to_numpy()
+    order = np.argsort(no, kind="stable")
+    no = no[order]
+    root = np.array(components([every[i] for i in order.tolist()], num, den))
     many = np.bincount(root, minlength=len(root))[root] > 1
     n = int(many.sum())
-    own = {c: np.full(n, t[c][0].as_py()) for c in ("pr", "pt", "a", "b")}
-    return pa.table({**own, "root": root[many].astype(np.int64), "rid": rid[many], "tid": tid[many]})
-
-
-def _with_sets(batches, shingle: int):
-    names = ["pr", "pt", "blocks", "rid", "tid"]
-    for b in th.chunks(batches, "text", 1 << 20):
-        every = pa.array([v.tobytes() for v in sets(b.column("text"), shingle)], pa.binary())
-        yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), every], names=[*names, "shingles"])
+    own = {c: np.full(n, t[c][0].as_py()) for c in ("pr", "a", "b")}
+    return pa.table({**own, "root": root[many].astype(np.int64), "no": no[many]})
 
 
 def _in_blocks(rows: DataFrame) -> DataFrame:
     """Adds (a, b): (0, 0), or of a group in several blocks each pair of blocks that the row's is in."""
-    own = F.pmod(F.xxhash64("rid", "tid"), F.col("blocks"))
+    own = F.pmod(F.xxhash64("no"), F.col("blocks"))
     other = F.explode(F.when(F.col("blocks") > 1, F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))
                       .otherwise(F.array(F.lit(0).cast("bigint"))))
     return (rows.withColumn("own", own).withColumn("other", other)
@@ -328,18 +321,18 @@ def _in_blocks(rows: DataFrame) -> DataFrame:
 
 
 def _sized(members: DataFrame, region: int) -> DataFrame:
-    """(pr, pt, rid, tid, blocks) of groups of two and more."""
-    return (with_group_first(members, ["pr", "pt"], NODE)
-            .select("pr", "pt", *NODE, F.ceil(F.col("n_rows") / region).cast("bigint").alias("blocks")))
+    """(pr, no, blocks) of groups of two and more."""
+    return (with_group_first(members, ["pr"], ["no"])
+            .select("pr", "no", F.ceil(F.col("n_rows") / region).cast("bigint").alias("blocks")))
 
 
 def _merge(groups: DataFrame) -> DataFrame:
-    """(rid, tid, lr, lt): the smallest document of each document's component.  ``groups`` has the
-    components of regions, one row per region and member: each member is linked with its region's smallest one."""
-    stars = with_group_first(groups, ["grp"], NODE)
-    found = connected(stars.select(F.struct(*NODE).alias("u"), F.struct("first.rid", "first.tid").alias("v")))
+    """(no, least): the smallest number of each document's component.  ``groups`` has the components
+    of regions, one row per region and member: each member is linked with its region's smallest one."""
+    stars = with_group_first(groups, ["grp"], ["no"])
+    found = connected(stars.select(F.col("no").alias("u"), F.col("first.no").alias("v")))
     roots = found.select(F.col("root").alias("node"), "root").distinct()
-    return found.unionByName(roots).select("node.rid", "node.tid", F.col("root.rid").alias("lr"), F.col("root.tid").alias("lt"))
+    return found.unionByName(roots).select(F.col("node").alias("no"), F.col("root").alias("least"))
 
 
 def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, threshold: tuple[int, int] = THRESHOLD,
@@ -347,40 +340,50 @@ def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, threshold: tuple
     """rid, tid (see ``keyed``), doc_id, n_shingles, component_id and stays (whether the row is its
     component's smallest document); one row per row of ``docs``."""
     num, den = threshold
-    n_parts = parts(docs.sparkSession)
+    spark = docs.sparkSession
+    n_parts = parts(spark)
     rows = keyed(docs)
     frequent = frequent_shingles(rows, shingle)
-    own = cut(rows.mapInArrow(lambda it: _prefixes(it, shingle, num, den, frequent),
-                              "rid bigint, tid bigint, doc_id bigint, n bigint, d1 bigint, d2 bigint, "
-                              "prefix array<bigint>, hist binary"), "prefixes")
-    full = own.filter("n > 0")
-    classes = with_group_first(full.select(*NODE, "n", "d1", "d2"), ["d1", "d2", "n"], NODE, singles=True)
-    reps = cut(classes.filter(F.struct(*NODE) == F.col("first")).select(*NODE).distinct()
-               .join(full.select(*NODE, "n", "prefix", "hist").dropDuplicates(NODE), NODE), "representatives")
-    tokens = reps.select(F.explode("prefix").alias("token"), "n", *NODE)
-    regions = (tokens.repartition(n_parts, "token").sortWithinPartitions("token", "n", *NODE)
-               .mapInArrow(lambda it: _regions(it, num, den), "pr bigint, pt bigint, rid bigint, tid bigint").distinct())
-    pivots = regions.select("pr", "pt", F.col("pr").alias("rid"), F.col("pt").alias("tid")).distinct()
+    path = scratch(spark, "prefixes")
+    own = written(rows.mapInArrow(lambda it: th.lean(_prefixes(it, shingle, num, den, frequent)),
+                                  "rid bigint, tid bigint, doc_id bigint, n bigint, d1 bigint, d2 bigint, "
+                                  "prefix array<bigint>, hist binary").withColumn("no", F.monotonically_increasing_id()), path)
+    release(spark)
+    ids = own.select("no", *NODE, "doc_id", "n", "d1", "d2")
+    classes = with_group_first(ids.filter("n > 0"), ["d1", "d2", "n"], [*NODE, "no"], singles=True)
+    ids = cut(classes.select(*ids.columns, (F.col("first.no") == F.col("no")).alias("stands"))
+              .unionByName(ids.filter("n = 0").withColumn("stands", F.lit(False))), "classes")
+    full = ids.filter("n > 0")
+    reps = own.select("no", "n", "prefix").join(ids.filter("stands").select("no"), "no")
+    tokens = reps.select(F.explode("prefix").alias("token"), "n", "no")
+    regions = (tokens.repartition(n_parts, "token").sortWithinPartitions("token", "n", "no")
+               .mapInArrow(lambda it: th.lean(_regions(it, num, den)), "pr bigint, no bigint").distinct())
+    pivots = regions.select("pr", F.col("pr").alias("no")).distinct()
     members = cut(regions.unionByName(pivots), "regions")
-    group = ["pr", "pt", "a", "b"]
-    out = "pr bigint, pt bigint, a bigint, b bigint, root bigint, rid bigint, tid bigint"
-    close = (_in_blocks(_sized(members, region).join(reps.select(*NODE, "n", "hist"), NODE))
-             .repartition(n_parts, *group).sortWithinPartitions(*group, *NODE)
-             .mapInArrow(lambda it: _candidates(it, num, den), out))
-    candidates = _merge(cut(close.select(F.struct(*group, "root").alias("grp"), *NODE), "candidates"))
-    sized = _sized(candidates.select(F.col("lr").alias("pr"), F.col("lt").alias("pt"), *NODE), region)
-    with_sets = (rows.select(*NODE, "text").join(sized, NODE).dropDuplicates(NODE)
-                 .select("pr", "pt", "blocks", *NODE, "text").mapInArrow(
-                     lambda it: _with_sets(it, shingle), "pr bigint, pt bigint, blocks bigint, rid bigint, tid bigint, shingles binary"))
-    joined = _in_blocks(with_sets).groupBy(*group).applyInArrow(lambda t: _join_region(t, num, den), out)
-    labels = _merge(cut(joined.select(F.struct(*group, "root").alias("grp"), *NODE), "components"))
-    labelled = (full.select(*NODE, "doc_id", "n", "d1", "d2").join(labels, NODE, "left")
+    release(spark)
+    group = ["pr", "a", "b"]
+    out = "pr bigint, a bigint, b bigint, root bigint, no bigint"
+    close = (_in_blocks(_sized(members, region).join(own.select("no", "n", "hist"), "no"))
+             .repartition(n_parts, *group).sortWithinPartitions(*group, "no")
+             .mapInArrow(lambda it: th.lean(_candidates(it, num, den)), out))
+    candidates = cut(close.select(F.struct(*group, "root").alias("grp"), "no"), "candidates")
+    remove(spark, path)
+    candidates = _merge(candidates)
+    sized = _sized(candidates.select(F.col("least").alias("pr"), "no"), region).join(ids.select("no", *NODE), "no")
+    with_text = rows.select(*NODE, "text").join(sized, NODE).dropDuplicates(NODE).select("pr", "blocks", "no", "text")
+    joined = _in_blocks(with_text).groupBy(*group).applyInArrow(lambda t: _join_region(t, shingle, num, den), out)
+    joined = cut(joined.select(F.struct(*group, "root").alias("grp"), "no"), "components")
+    release(spark)
+    # of each component, the smallest document
+    labels = (with_group_first(_merge(joined).join(ids.select("no", *NODE), "no"), ["least"], NODE)
+              .select("no", F.col("first.rid").alias("lr"), F.col("first.tid").alias("lt")))
+    labelled = (full.join(labels, "no", "left")
                 .withColumn("lt", F.coalesce("lt", "tid")).withColumn("lr", F.coalesce("lr", "rid")))
     # back from the class's document to all of its copies
     done = with_group_first(labelled, ["d1", "d2", "n"], ["lr", "lt", "rid", "tid"], singles=True)
     stays = (F.col("first.lr") == F.col("rid")) & (F.col("first.lt") == F.col("tid"))
     return (done.select(*NODE, "doc_id", F.col("n").alias("n_shingles"), F.col("first.lr").alias("component"), stays.alias("stays"))
-            .unionByName(own.filter("n = 0").select(*NODE, "doc_id", F.col("n").alias("n_shingles"),
+            .unionByName(ids.filter("n = 0").select(*NODE, "doc_id", F.col("n").alias("n_shingles"),
                                                     F.col("rid").alias("component"), F.lit(True).alias("stays")))
             .withColumn("component_id", F.when(F.col("component") < LAST, F.col("component"))).drop("component"))
 

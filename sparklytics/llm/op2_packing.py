@@ -163,7 +163,8 @@ def pieces(docs: DataFrame, limit: int = LIMIT, path: str | None = None, with_id
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(out, names=names)
     schema = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint" + ", ids array<int>" * with_ids
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty().alias("text")).mapInArrow(run, schema)
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty().alias("text")).mapInArrow(
+        lambda it: th.lean(run(it)), schema)
 
 
 # ---- the plan, from the histogram alone ----------------------------------------------------------

@@ -97,7 +97,7 @@ def _apply(batches):
 def repeated_windows(docs: DataFrame, window: int = WINDOW, min_words: int | None = None) -> DataFrame:
     """(rid, tid, at): per document, first line and size of its windows that occur earlier."""
     rows = docs.select(*KEY, "text").mapInArrow(
-        lambda it: _windows(it, window, min_words),
+        lambda it: th.lean(_windows(it, window, min_words)),
         "rid bigint, tid bigint, line bigint, size int, fingerprint bigint, extended bigint")
     later = (with_group_first(rows, ["fingerprint", "extended"], [*KEY, "line"])
              .filter(F.struct(*KEY, "line") > F.col("first")))
@@ -116,7 +116,7 @@ def line_dedup(docs: DataFrame, window: int = WINDOW, min_words: int | None = No
     rest = [f for f in joined.schema.fields if f.name.startswith("own_")]
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rest),
                         "kept_text string, n_lines bigint, n_removed bigint"])
-    out = joined.mapInArrow(_apply, schema)
+    out = joined.mapInArrow(lambda it: th.lean(_apply(it)), schema)
     return out.select(*[F.col(f"own_{i}").alias(c) for i, c in enumerate(own) if c != "text"],
                       "n_lines", "n_removed", "kept_text")
 

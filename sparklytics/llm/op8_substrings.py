@@ -363,16 +363,16 @@ def substring_dedup(docs: DataFrame, unchanged: str = "joined") -> DataFrame:
     own = [c for c in docs.columns if c not in ("doc_id", "text")]
     rows, shards = dealt(docs, *[F.col(f"`{c}`").alias(f"own_{i}") for i, c in enumerate(own)])
     anchors = (rows.groupBy("batch")
-               .applyInArrow(lambda t: _ask_anchors(t, shards), "batch bigint, shard bigint, keys binary, many binary")
-               .groupBy("shard").applyInArrow(_share_anchors, "batch bigint, shard bigint, bits binary"))
+               .applyInArrow(lambda t: th.lean_group(_ask_anchors(t, shards)), "batch bigint, shard bigint, keys binary, many binary")
+               .groupBy("shard").applyInArrow(lambda t: th.lean_group(_share_anchors(t)), "batch bigint, shard bigint, bits binary"))
     found = (rows.groupBy("batch").cogroup(anchors.groupBy("batch"))
-             .applyInArrow(lambda t, r: _ask_segments(t, r, shards),
+             .applyInArrow(lambda t, r: th.lean_group(_ask_segments(t, r, shards)),
                            "batch bigint, shard bigint, symbols binary, sizes binary, ids binary")
-             .groupBy("shard").applyInArrow(_search, "batch bigint, shard bigint, bits binary"))
+             .groupBy("shard").applyInArrow(lambda t: th.lean_group(_search(t)), "batch bigint, shard bigint, bits binary"))
     both = anchors.withColumn("round", F.lit(1)).unionByName(found.withColumn("round", F.lit(2)))
     carried = [f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields if f.name.startswith("own_")]
     out = rows.groupBy("batch").cogroup(both.groupBy("batch")).applyInArrow(
-        lambda t, r: _remove(t, r, shards, unchanged),
+        lambda t, r: th.lean_group(_remove(t, r, shards, unchanged)),
         ", ".join(["doc_id bigint", *carried, "n_words bigint, n_removed bigint, kept_text string"]))
     return out.select("doc_id", *[F.col(f"own_{i}").alias(c) for i, c in enumerate(own)], "n_words", "n_removed", "kept_text")
 

@@ -245,7 +245,7 @@ def quality(docs: DataFrame, model: Model | float, column: str = "score") -> Dat
             yield pa.RecordBatch.from_arrays([b.column(i) for i in range(len(names))] + [pa.array(p, pa.float64())],
                                              names=[*b.schema.names[:len(names)], "p"])
     schema = ", ".join([*(f"own_{i} {f.dataType.simpleString()}" for i, f in enumerate(docs.schema.fields)), "p double"])
-    return rows.mapInArrow(run, schema).select(*[F.col(f"own_{i}").alias(c) for i, c in enumerate(names)],
+    return rows.mapInArrow(lambda it: th.lean(run(it)), schema).select(*[F.col(f"own_{i}").alias(c) for i, c in enumerate(names)],
                                                F.col("p").alias(column))
 
 

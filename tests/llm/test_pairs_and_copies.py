@@ -1,14 +1,19 @@
 """Operators 4, 5, 8 and 10 against their plain definitions."""
 
 import hashlib
+import os
+import random
 
 import pytest
 
+from sparklytics.llm import common
 from sparklytics.llm import op4_line_dedup as op4
 from sparklytics.llm import op5_exact_dedup as op5
 from sparklytics.llm import op8_substrings as op8
 from sparklytics.llm import op10_jaccard as op10
 
+from sparklytics.session import checkpoint_dir
+
 from .helpers import corpus, frame, low, sort, words
 
 LAST = 1 << 63
@@ -171,6 +176,39 @@ def test_jaccard_components(spark, k, num, region, seed):
     assert {r["doc_id"] for r in found if r["stays"] and r["doc_id"] is not None} == {x[2] for x in expected if x[2] is not None}
 
 
+def test_jaccard_disk(spark, tmp_path, monkeypatch):
+    """Six near copies of each document: bytes of shuffle files and tables, after every table and at the end."""
+    r = random.Random(5)
+    vocabulary = ["".join(r.choice("abcdefghijklmnop") for _ in range(r.randrange(2, 9))) for _ in range(4000)]
+    base = [[r.choice(vocabulary) for _ in range(500)] for _ in range(200)]
+    rows = [(200 * k + i, " ".join(r.choice(vocabulary) if r.random() < 0.004 else w for w in ws)) for k in range(6) for i, ws in enumerate(base)]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(4).write.parquet(str(tmp_path / "documents"))
+    docs = spark.read.parquet(str(tmp_path / "documents"))
+    tops = [*spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString(),
+            checkpoint_dir(spark).removeprefix("file:")]
+
+    def files(*tops):
+        return {os.path.join(d, f): os.path.getsize(os.path.join(d, f)) for top in tops for d, _, names in os.walk(top) for f in names
+                if not f.startswith("broadcast_")}
+    source = sum(files(str(tmp_path / "documents")).values())
+    common.release(spark)
+    start, used = files(*tops), []
+
+    def measure():
+        now = files(*tops)
+        used.append(sum(now[f] for f in now.keys() - start.keys()) / source)
+
+    def cut(df, name, own=op10.cut):
+        out = own(df, name)
+        measure()
+        return out
+    monkeypatch.setattr(op10, "cut", cut)
+    found = op10.jaccard_components(docs, 5, (80, 100))
+    measure()
+    assert max(used) < 3 and used[-1] < 0.6, used
+    assert {(x["doc_id"], x["component_id"], x["stays"]) for x in found.collect()} == {(i, i % 200, i < 200) for i, _ in rows}
+
+
 def test_jaccard_of_nothing(spark):
     assert op10.jaccard_components(frame(spark, [])).count() == 0
     got = op10.jaccard_components(frame(spark, [(1, None), (2, ""), (None, None)])).collect()
